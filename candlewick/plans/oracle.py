@@ -129,6 +129,11 @@ _FIRST3 = f"(SELECT DISTINCT symbol FROM mart WHERE sector_group IN ({_SECTOR_LI
 
 # --- payloads: plain JSON functions on the same texts ----------------------------
 
+_BAD_NUMBERS = " + ".join(
+    f"CASE WHEN t_{c} IS NOT NULL AND try_cast(t_{c} AS DOUBLE) IS NULL THEN 1 ELSE 0 END"
+    for c in ("open", "high", "low", "close", "adjusted", "volume")
+)
+
 _PAYLOADS = f"""ev AS (
   SELECT event_id, event_type, CAST(user_id AS VARCHAR) AS user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day,
     CAST(CAST(value AS DECIMAL(15,4)) AS VARCHAR) AS v, CAST(json_extract_string(props, '$.k') AS INT) AS k
@@ -146,25 +151,26 @@ shaped AS (SELECT *, coalesce(len(json_keys(series)), 0) AS n_days, json_keys(se
 one_day AS (
   SELECT *, json_extract(series, '$."' || d || '"') AS obs FROM shaped),
 cells AS (
-  SELECT *, list_transform(json_keys(obs), f -> json_extract_string(obs, '$."' || f || '"')) AS texts,
-    json_keys(obs) AS fields, json_extract_string(obs, '$."1. open"') AS t_open,
+  SELECT *, json_keys(obs) AS fields, json_extract_string(obs, '$."1. open"') AS t_open,
     json_extract_string(obs, '$."2. high"') AS t_high, json_extract_string(obs, '$."3. low"') AS t_low,
     json_extract_string(obs, '$."4. close"') AS t_close,
     json_extract_string(obs, '$."5. adjusted close"') AS t_adjusted,
     json_extract_string(obs, '$."6. volume"') AS t_volume
   FROM one_day),
+numbers AS (
+  SELECT *, {_BAD_NUMBERS} AS n_bad FROM cells),
 judged AS (
   SELECT *, CASE WHEN doc IS NULL THEN 'unreadable' WHEN has_error THEN 'error_marker'
       WHEN NOT has_series THEN 'missing_series' WHEN n_days = 0 THEN 'empty_series'
       WHEN NOT regexp_full_match(d, '\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN 'invalid_date'
       WHEN NOT list_has_all(fields, ['1. open', '4. close', '6. volume']) THEN 'missing_field'
-      WHEN len(list_filter(texts, t -> try_cast(t AS DOUBLE) IS NULL)) > 0 THEN 'not_numeric' END AS failed,
+      WHEN n_bad > 0 THEN 'not_numeric' END AS failed,
     CASE WHEN doc IS NULL THEN 'unreadable' WHEN n_days = 0 THEN NULL WHEN len(fields) < 6 THEN 'missing_field'
       WHEN NOT regexp_full_match(d, '\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN 'invalid_date' END AS reject,
     CASE WHEN doc IS NULL THEN 'JSONDecodeError'
       WHEN coalesce(note LIKE '%API call frequency%', FALSE) THEN 'APIValueError'
       WHEN has_error THEN 'API_INVALID_CALL' WHEN NOT has_series THEN 'APIValueError' END AS etype
-  FROM cells),
+  FROM numbers),
 accepted AS (
   SELECT *, n_days > 0 AND coalesce(try_cast(t_open AS DOUBLE) IS NOT NULL AND try_cast(t_close AS DOUBLE) >= 0
     AND try_cast(t_volume AS BIGINT) >= 0, FALSE) AS is_kept
@@ -328,7 +334,7 @@ SELECT event_id, symbol, failed IS NULL AS is_valid, failed AS failed_check,
   CASE failed WHEN 'unreadable' THEN 'not a JSON object' WHEN 'error_marker' THEN error
     WHEN 'missing_series' THEN 'Weekly Adjusted Time Series' WHEN 'empty_series' THEN 'no rows'
     WHEN 'invalid_date' THEN '1' WHEN 'missing_field' THEN '6. volume'
-    WHEN 'not_numeric' THEN CAST(len(list_filter(texts, t -> try_cast(t AS DOUBLE) IS NULL)) AS VARCHAR)
+    WHEN 'not_numeric' THEN CAST(n_bad AS VARCHAR)
   END AS detail FROM judged""",
     "payload_screen": f"{_ON_PAYLOADS} SELECT event_id, symbol, reject AS reject_reason FROM judged",
     "success_split": f"""{_ON_PAYLOADS}
