@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from candlewick import schemas as S
 
-_PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_SPECIAL_NUMBER = r"^(?i)[+-]?(nan|inf|infinity)$"
+_NUMBER = r"^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:nan|inf|infinity))$"
 _PLAIN_INTEGER = r"^[+-]?\d+$"
 
 
@@ -24,7 +23,7 @@ def tolerant_double(c: Column | str) -> Column:
     Spark's own cast also takes padded text and Java suffixes (``1.5d``), hence the guard.
     """
     c = _col(c)
-    return F.when(c.rlike(_PLAIN_NUMBER) | c.rlike(_SPECIAL_NUMBER), c.try_cast("double"))
+    return F.when(c.rlike(_NUMBER), c.try_cast("double"))
 
 
 def tolerant_bigint(c: Column | str) -> Column:

@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 from candlewick import schemas as S
 from candlewick.functions import is_finite, strict_date, tolerant_bigint, tolerant_double
 
+from .ranking import rows_where
+
 KEYS = "_keys"
 DOC = "_doc"
 SERIES = "_series"
+ROWS = "_rows"
 PARSED = [KEYS, DOC, SERIES]
 
 _OVERFLOW = 10.0 ** (S.PRICE.precision - S.PRICE.scale)
@@ -97,8 +100,7 @@ def classify(
 
 def split_outcomes(classified: DataFrame, require_success: bool = True) -> tuple[DataFrame, DataFrame]:
     """Successful and failed envelopes; a flag that is null is in neither."""
-    ok = classified.filter(F.col("success"))
-    failed = classified.filter(~F.col("success"))
+    ok, failed = rows_where(classified, "success"), rows_where(classified, ~F.col("success"))
     if require_success and ok.isEmpty():
         raise ValueError("no extraction was successful")
     return ok, failed
@@ -106,11 +108,8 @@ def split_outcomes(classified: DataFrame, require_success: bool = True) -> tuple
 
 def failure_counts(classified: DataFrame) -> DataFrame:
     """Failures per error type; the failed names stay a frame and are never gathered."""
-    return (
-        classified.filter(~F.col("success"))
-        .groupBy("error_type")
-        .agg(F.count(F.lit(1)).alias("n_failed"))
-    )
+    failed = rows_where(classified, ~F.col("success"))
+    return failed.groupBy("error_type").agg(F.count(F.lit(1)).alias("n_failed"))
 
 
 def _fields() -> Column:
@@ -173,45 +172,58 @@ def validate(
         .drop(*PARSED)
     )
     if raise_on_fail:
-        worst = judged.filter(~F.col("is_valid")).select("symbol", "failed_check", "detail").first()
+        worst = rows_where(judged, ~F.col("is_valid")).select("symbol", "failed_check", "detail").first()
         if worst is not None:
             raise ValueError(f"payload of {worst['symbol']}: {worst['failed_check']} ({worst['detail']})")
     return judged
 
 
-def _stored(row: Column) -> Column:
-    """Row of the series that passes the quality rule, and so would be stored."""
-    opened, close = tolerant_double(row["1. open"]), tolerant_double(row["4. close"])
-    volume = tolerant_bigint(row["6. volume"])
-    keep = is_finite(opened) & is_finite(close) & (close >= 0) & (volume >= 0)
-    return F.coalesce(keep, F.lit(False))
+def _typed(entry: Column) -> Column:
+    """One dated entry of the series with its values cast leniently, and whether it is to be stored."""
+    row = entry["value"]
+    cells = {name: tolerant_double(row[field]) for field, name in S.SERIES_FIELDS.items()}
+    cells["volume"] = tolerant_bigint(row["6. volume"])
+    return F.struct(
+        strict_date(entry["key"]).alias("price_date"), *[c.alias(name) for name, c in cells.items()]
+    )
+
+
+def _overflows(row: Column) -> Column:
+    over = [is_finite(row[name]) & (F.abs(row[name]) >= _OVERFLOW) for name in S.PRICE_COLUMNS]
+    return reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in over])
 
 
-def _too_large(row: Column) -> Column:
-    names = [f for f, column in S.SERIES_FIELDS.items() if column in S.PRICE_COLUMNS]
-    values = [tolerant_double(row[f]) for f in names]
-    over = [F.coalesce(is_finite(v) & (F.abs(v) >= _OVERFLOW), F.lit(False)) for v in values]
-    return reduce(lambda a, b: a | b, over)
+def quality_rule(opened: Column, close: Column, volume: Column) -> Column:
+    """Open and close are ordinary numbers, close and volume are not negative; null fails."""
+    rule = is_finite(opened) & is_finite(close) & (close >= 0) & (volume >= 0)
+    return F.coalesce(rule, F.lit(False))
 
 
 def screen(df: DataFrame, payload: str = "payload", series_key: str = S.SERIES_KEY) -> DataFrame:
-    """Parse and add ``reject_reason``: what would make the load of the whole payload fail.
+    """Parse and add the typed rows, and ``reject_reason``: what makes a load fail as a whole.
 
     A load is all or nothing per payload, so one unusable date, a missing field, a price beyond the
     stored type or an over-long symbol rejects it.  Other payloads go on.
     """
     fields = F.array(*[F.when(_lacks(f), F.lit(f)) for f in S.SERIES_FIELDS])
     lacks = F.exists(fields, lambda f: f.isNotNull())
-    overflow = F.exists(_fields(), lambda row: _stored(row) & _too_large(row))
+    bad_date = F.exists(ROWS, lambda row: row["price_date"].isNull())
+    overflow = F.exists(
+        ROWS, lambda row: quality_rule(row["open"], row["close"], row["volume"]) & _overflows(row)
+    )
     reason = (
         F.when(F.col(KEYS).isNull(), "unreadable")
         .when(F.col("symbol").isNull() | (F.length("symbol") > S.MAX_SYMBOL_LENGTH), "symbol")
         .when(_size() == 0, F.lit(None))
         .when(lacks, "missing_field")
-        .when(_bad_dates() > 0, "invalid_date")
+        .when(bad_date, "invalid_date")
         .when(overflow, "overflow")
     )
-    return parse(df, payload, series_key).withColumn("reject_reason", reason)
+    return (
+        parse(df, payload, series_key)
+        .withColumn(ROWS, F.transform(F.map_entries(SERIES), _typed))
+        .withColumn("reject_reason", reason)
+    )
 
 
 def pack_series(

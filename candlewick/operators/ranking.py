@@ -6,12 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 _RANK = "__rank"
 
 
+def rows_where(df: DataFrame, flag: Column | str) -> DataFrame:
+    """Rows whose flag is true, for a flag that costs much to compute.
+
+    The optimizer would push a plain filter below the projection that computes the flag and copy the
+    whole expression, payload parsing included, once per reference.  It does not look into a generator,
+    so here the flag is computed once per row.
+    """
+    flag = F.col(flag) if isinstance(flag, str) else flag
+    kept = F.explode(F.when(flag, F.array(F.lit(True))))
+    return df.select("*", kept.alias("__kept")).drop("__kept")
+
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key, the first under ``order``, which should be total.
 
@@ -22,11 +33,6 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     return df.withColumn(_RANK, rank).filter(F.col(_RANK) == 1).drop(_RANK)
 
 
-def total_order(df: DataFrame, leading: Sequence[Column | str] = ()) -> list[Column | str]:
-    """``leading`` followed by every orderable column, so that ties cannot stay open."""
-    return [*leading, *[f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]]
-
-
 def insert_or_ignore(
     existing: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 ) -> DataFrame:

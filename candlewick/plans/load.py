@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from candlewick import schemas as S
 from candlewick.operators.payload import classify, screen, split_outcomes, validate
-from candlewick.operators.ranking import insert_or_ignore
-from candlewick.operators.series import clean, flatten, load_counts, standardise
+from candlewick.operators.ranking import insert_or_ignore, rows_where
+from candlewick.operators.series import load_counts, standardise, typed_rows
 from candlewick.sources.bronze import write_bronze
 from candlewick.sources.scratch import materialise
 from candlewick.sources.tables import SILVER, append_audit, append_silver, read_table
@@ -34,8 +34,8 @@ def land_payloads(payloads: DataFrame, path: str, run_time: str) -> Landing:
     """
     ok, failed = split_outcomes(classify(payloads))
     judged = validate(ok.select("symbol", F.col("raw_json").alias("payload")))
-    write_bronze(judged.filter("is_valid"), path, run_time)
-    return Landing(failed, judged.filter(~F.col("is_valid")))
+    write_bronze(rows_where(judged, "is_valid"), path, run_time)
+    return Landing(failed, rows_where(judged, ~F.col("is_valid")))
 
 
 @dataclass(frozen=True)
@@ -46,11 +46,6 @@ class Load:
     rejected: DataFrame
 
 
-def batch_order(columns: list[str]) -> list[str]:
-    """Load order of a batch: origin first, then the values, so that the order is total."""
-    return [*[c for c in ORIGIN if c in columns], *S.PRICE_COLUMNS, "volume"]
-
-
 def bronze_to_silver(payloads: DataFrame, schema: str, run_time: str) -> Load:
     """Load payloads (``symbol``, ``payload``, ``loaded_at``, ``file_path``) into silver.
 
@@ -58,16 +53,14 @@ def bronze_to_silver(payloads: DataFrame, schema: str, run_time: str) -> Load:
     """
     started = time.monotonic()
     spark = payloads.sparkSession
-    screened = screen(payloads)
-    good = screened.filter(F.col("reject_reason").isNull())
-    # Payload text is parsed once into this table; counts and the insert both read it.
-    kept = materialise(
-        clean(standardise(flatten(good, ("symbol", *ORIGIN)), run_time, keep=ORIGIN)), "clean-batch"
-    )
+    # Payload text is parsed once, into this table: kept rows, counts and rejects all read it.
+    typed = materialise(typed_rows(screen(payloads), ("symbol", *ORIGIN)), "typed-batch")
+    batch = standardise(typed, run_time, keep=ORIGIN)
     stored = read_table(spark, schema, SILVER)
-    fresh = materialise(insert_or_ignore(stored, kept, S.SILVER_KEY, batch_order(kept.columns)), "new-rows")
+    order = [*ORIGIN, *S.PRICE_COLUMNS, "volume"]
+    fresh = materialise(insert_or_ignore(stored, batch, S.SILVER_KEY, order), "new-rows")
     append_silver(fresh, schema)
-    counts = materialise(load_counts(screened, kept, fresh), "load-counts")
+    counts = materialise(load_counts(typed, fresh), "load-counts")
     append_audit(counts, schema, time.monotonic() - started)
-    rejected = screened.filter(F.col("reject_reason").isNotNull()).select("symbol", *ORIGIN, "reject_reason")
+    rejected = typed.filter(F.col("reject_reason").isNotNull()).select("symbol", *ORIGIN, "reject_reason")
     return Load(counts, rejected)

@@ -7,8 +7,6 @@ from . import views as V
 
 _CODE = "CASE p_type " + " ".join(f"WHEN '{t}' THEN '{c}'" for t, c in V.TYPE_CODES.items()) + " END"
 _SYMBOL = f"lower(replace(p_brand, 'Brand#', 'b') || '.' || {_CODE})"
-_ORDER = ", ".join(V.LINE_ORDER)
-_FRIDAY = "CAST(date_trunc('week', l_shipdate) AS DATE) + 4"
 
 _LINES = f"""lines AS (
   SELECT l.*, {_SYMBOL} AS symbol, CAST(l_extendedprice AS DECIMAL(15,4)) AS price
@@ -18,12 +16,14 @@ _LINES = f"""lines AS (
 def _prices(name: str = "prices", where: str = "TRUE", extra: str = "") -> str:
     more = f", {extra}" if extra else ""
     return f"""{name} AS (
-  SELECT {_FRIDAY} AS price_date, symbol{more},
-    first(price ORDER BY {_ORDER}) AS open, max(price) AS high, min(price) AS low,
-    last(price ORDER BY {_ORDER}) AS "close",
-    CAST(last(price * (1 - CAST(l_discount AS DECIMAL(4,2))) ORDER BY {_ORDER}) AS DECIMAL(15,4)) AS adjusted_close,
-    CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS volume
-  FROM lines WHERE {where} GROUP BY ALL)"""
+  SELECT CAST(date_trunc('week', day) AS DATE) + 4 AS price_date, symbol{more}, arg_min(low, day) AS open,
+    max(high) AS high, min(low) AS low, arg_max(high, day) AS "close", arg_max(net, day) AS adjusted_close,
+    CAST(sum(quantity) AS BIGINT) AS volume
+  FROM (SELECT symbol{more}, CAST(l_shipdate AS DATE) AS day, min(price) AS low, max(price) AS high,
+      CAST(max(price * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DECIMAL(15,4)) AS net,
+      sum(CAST(l_quantity AS BIGINT)) AS quantity
+    FROM lines WHERE {where} GROUP BY ALL)
+  GROUP BY ALL)"""
 
 
 _SILVER_OUT = """CAST(price_date AS VARCHAR) AS price_date, symbol, CAST(open AS DOUBLE) AS open,

@@ -12,9 +12,17 @@ from pyspark.sql import types as T
 from candlewick import schemas as S
 from candlewick.functions import calendar_columns, symbol_from_path, tolerant_bigint, tolerant_double
 from candlewick.operators import checks as Q
-from candlewick.operators.payload import classify, failure_counts, parse, screen, split_outcomes, validate
-from candlewick.operators.ranking import distinct_sorted, first_n, first_per_key, insert_or_ignore, upserted
-from candlewick.operators.series import clean, flatten, load_counts, quality_rule, standardise, tolerant_casts
+from candlewick.operators.payload import (
+    classify,
+    failure_counts,
+    parse,
+    quality_rule,
+    screen,
+    split_outcomes,
+    validate,
+)
+from candlewick.operators.ranking import distinct_sorted, first_n, first_per_key, insert_or_ignore, rows_where, upserted
+from candlewick.operators.series import flatten, load_counts, standardise, tolerant_casts, typed_rows
 from candlewick.operators.stats import grouped_quantiles, share_of_total, with_zscore
 from candlewick.operators.universe import in_universe, universe
 from candlewick.sources.bronze import latest_bronze, read_bronze, write_bronze
@@ -213,15 +221,15 @@ def sector_filter(spark, folder):
 
 def payload_flatten(spark, folder):
     payloads = V.price_payloads(V.silver(spark, folder))
-    rows = clean(standardise(flatten(parse(payloads)), RUN_TIME))
+    rows = standardise(tolerant_casts(flatten(parse(payloads))), RUN_TIME)
     return plain(rows.drop("_ingestion_timestamp"))
 
 
 def flatten_events(spark, folder):
     """Clean rows of the event payloads that a load accepts."""
-    accepted = screen(V.event_payloads(spark, folder)).filter("reject_reason IS NULL")
-    kept = standardise(flatten(accepted, ("event_id", "symbol")), RUN_TIME, keep=("event_id",))
-    return plain(clean(kept).drop("_ingestion_timestamp", "_data_source", "_processing_date"))
+    typed = typed_rows(screen(V.event_payloads(spark, folder)), ("event_id", "symbol"))
+    kept = standardise(typed, RUN_TIME, keep=("event_id",))
+    return plain(kept.drop("_ingestion_timestamp", "_data_source", "_processing_date"))
 
 
 def payload_classify(spark, folder):
@@ -251,7 +259,7 @@ def failures_by_type(spark, folder):
 
 
 def failed_symbols(spark, folder):
-    failed = classify(V.event_payloads(spark, folder)).filter(~F.col("success"))
+    failed = rows_where(classify(V.event_payloads(spark, folder)), ~F.col("success"))
     return failed.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_failed"))
 
 
@@ -302,7 +310,7 @@ def quality_filter(spark, folder):
     return plain(
         typed.groupBy("event_type").agg(
             F.count(F.lit(1)).alias("n_raw"),
-            F.count_if(quality_rule()).alias("n_kept"),
+            F.count_if(quality_rule(F.col("open"), F.col("close"), F.col("volume"))).alias("n_kept"),
             F.count_if(F.col("high").isNull()).alias("n_null_high"),
             F.count_if(F.col("volume").isNull()).alias("n_null_volume"),
         )
@@ -345,9 +353,7 @@ def latest_per_symbol(spark, folder):
 
 
 def audit_metrics(spark, folder):
-    screened = screen(V.event_payloads(spark, folder))
-    kept = standardise(flatten(screened.filter("reject_reason IS NULL")), RUN_TIME)
-    counts = load_counts(screened, kept)
+    counts = load_counts(typed_rows(screen(V.event_payloads(spark, folder))))
     return counts.withColumn("rows_rejected", F.col("rows_processed") - F.col("rows_loaded"))
 
 
@@ -390,7 +396,7 @@ def bronze_round_trip(spark, folder):
     """Prices landed as payload files and flattened again from the files."""
     path = scratch_path(spark, "bronze")
     land_payloads(V.price_payloads(V.silver(spark, folder)), path, RUN_TIME)
-    rows = clean(standardise(flatten(screen(read_bronze(spark, path))), RUN_TIME))
+    rows = standardise(typed_rows(screen(read_bronze(spark, path))), RUN_TIME)
     return plain(rows.drop("_ingestion_timestamp"))
 
 

@@ -1,7 +1,8 @@
 """Price series and payloads derived from the sample order tables.
 
-A price row is one product line (brand and type) in one week: first, highest, lowest and last price of
-its order lines, the last one net of discount as adjusted close, and the quantity as volume.
+A price row is one product line (brand and type) in one week: it opens at the lowest price of the first
+day, closes at the highest of the last day, takes the highest net price of that day as adjusted close, and
+the quantity as volume.
 """
 
 from __future__ import annotations
@@ -30,17 +31,6 @@ TYPE_GROUPS = {
     "Resources & Infrastructure": ["STANDARD"],
 }
 
-LINE_ORDER = [
-    "l_shipdate",
-    "l_orderkey",
-    "l_linenumber",
-    "l_partkey",
-    "l_suppkey",
-    "l_extendedprice",
-    "l_discount",
-]
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -57,28 +47,34 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def prices(order_lines: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
-    """Silver-shaped price rows; ``extra`` columns split a symbol's week further."""
+    """Silver-shaped price rows; ``extra`` columns split a symbol's week further.
+
+    Daily bars first, weekly bars from those.  All aggregate buffers have a fixed width, so both steps
+    are generated hash aggregates, and the first one shrinks the rows before they are shuffled.
+    """
     price = F.col("l_extendedprice").cast(S.PRICE)
     net = (price * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).cast(S.PRICE)
-    rank = F.struct(*LINE_ORDER)
-    friday = F.date_add(F.date_trunc("week", "l_shipdate").cast("date"), 4)
+    daily = order_lines.groupBy("symbol", F.col("l_shipdate").cast("date").alias("day"), *extra).agg(
+        F.min(price).alias("low"),
+        F.max(price).alias("high"),
+        F.max(net).alias("net"),
+        F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
+    )
+    friday = F.date_add(F.date_trunc("week", "day").cast("date"), 4)
     return (
-        order_lines.groupBy("symbol", friday.alias("price_date"), *extra)
+        daily.groupBy("symbol", friday.alias("price_date"), *extra)
         .agg(
-            F.min_by(price, rank).alias("open"),
-            F.max(price).alias("high"),
-            F.min(price).alias("low"),
-            F.max_by(F.struct(price.alias("close"), net.alias("net")), rank).alias("last"),
-            F.sum(F.col("l_quantity").cast("bigint")).alias("volume"),
+            F.min_by("low", "day").alias("open"),
+            F.max("high").alias("high"),
+            F.min("low").alias("low"),
+            F.max_by("high", "day").alias("close"),
+            F.max_by("net", "day").alias("adjusted_close"),
+            F.sum("quantity").alias("volume"),
         )
         .select(
             "price_date",
             "symbol",
-            "open",
-            "high",
-            "low",
-            F.col("last.close").alias("close"),
-            F.col("last.net").alias("adjusted_close"),
+            *S.PRICE_COLUMNS,
             "volume",
             F.lit("2002-01-01 00:00:00").cast("timestamp").alias("_ingestion_timestamp"),
             F.lit(S.DATA_SOURCE).alias("_data_source"),

@@ -25,13 +25,15 @@ def write_bronze(payloads: DataFrame, path: str, run_time: str) -> None:
     One line per payload.  JSON has no raw line breaks inside strings, so those between tokens are
     replaced by blanks and the document stays the same.
     """
-    day = F.to_date(F.lit(run_time).cast("timestamp"))
+    day = F.lit(run_time).cast("timestamp_ntz").cast("date")
     (
         payloads.select(
             F.regexp_replace("payload", r"[\r\n]+", " ").alias("payload"),
             "symbol",
             F.date_format(day, "yyyy-MM-dd").alias("date"),
         )
+        # A few files per symbol instead of one per task; a large symbol is split again.
+        .hint("rebalance", "symbol")
         .write.mode("append")
         .partitionBy("symbol", "date")
         .text(path)
