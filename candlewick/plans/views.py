@@ -50,10 +50,11 @@ def prices(order_lines: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
     """Silver-shaped price rows; ``extra`` columns split a symbol's week further.
 
     Daily bars first, weekly bars from those.  All aggregate buffers have a fixed width, so both steps
-    are generated hash aggregates, and the first one shrinks the rows before they are shuffled.
+    are generated hash aggregates, and the first one shrinks the rows before they are shuffled.  Prices
+    become decimals after that, once per bar instead of once per line.
     """
-    price = F.col("l_extendedprice").cast(S.PRICE)
-    net = (price * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)"))).cast(S.PRICE)
+    price = F.col("l_extendedprice")
+    net = price * (1 - F.col("l_discount"))
     daily = order_lines.groupBy("symbol", F.col("l_shipdate").cast("date").alias("day"), *extra).agg(
         F.min(price).alias("low"),
         F.max(price).alias("high"),
@@ -74,7 +75,7 @@ def prices(order_lines: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
         .select(
             "price_date",
             "symbol",
-            *S.PRICE_COLUMNS,
+            *[F.col(name).cast(S.PRICE).alias(name) for name in S.PRICE_COLUMNS],
             "volume",
             F.lit("2002-01-01 00:00:00").cast("timestamp").alias("_ingestion_timestamp"),
             F.lit(S.DATA_SOURCE).alias("_data_source"),
