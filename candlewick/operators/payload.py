@@ -68,7 +68,9 @@ def classify(
     malformed = F.concat(
         F.lit("API response for "), F.col("symbol"), F.lit(" is malformed or empty.")
     )
-    unreadable = F.col(KEYS).isNull() & F.try_parse_json(payload).isNull()
+    # Other JSON values (a list, a number) are readable; an object that lost its end is not.
+    other_value = F.try_parse_json(payload).isNotNull() & ~F.ltrim(payload).startswith("{")
+    unreadable = F.col(KEYS).isNull() & ~F.coalesce(other_value, F.lit(False))
     rules = [
         (unreadable, "JSONDecodeError", F.lit("Invalid JSON response from API")),
         (limited, "APIValueError", F.lit(S.RATE_LIMIT_TEXT)),

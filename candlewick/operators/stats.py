@@ -6,10 +6,13 @@ needs the figure of its group, the aggregate is written and joined back.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from candlewick.sources.scratch import materialise
@@ -45,22 +48,28 @@ def grouped_quantiles(
     key: str,
     value: str,
     probs: Sequence[float] = (0.25, 0.5, 0.75),
-    bucket_width: str = "0.01",
 ) -> DataFrame:
     """Exact interpolated quantiles of a decimal column, with min, max and count per group.
 
     Rows collapse to counts per distinct value first.  A first pass finds, from totals per value
-    range, which ranges hold the wanted ranks; only those are ordered value by value.  With a decimal
-    of scale ``s``, a range has at most ``bucket_width * 10**s`` distinct values, so no task has to
-    order a whole group.
+    range, which ranges hold the wanted ranks; only those are ordered value by value.  A decimal has a
+    finite number of values between its extremes; the ranges are as many as the values in each, so
+    neither pass orders more than the square root of that number for one group.
     """
+    dtype = df.schema[value].dataType
+    if not isinstance(dtype, T.DecimalType):
+        raise TypeError(f"{value} must be a decimal; its scale bounds the values in a range")
     counts = (
         df.filter(F.col(value).isNotNull())
         .groupBy(F.col(key).alias("_key"), F.col(value).alias("_value"))
         .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_range", F.floor(F.col("_value") / F.lit(bucket_width).cast("decimal(10,4)")).cast("bigint"))
     )
     counts = materialise(counts, "value-counts")
+    low, high = counts.agg(F.min("_value"), F.max("_value")).first()
+    steps = 1 if low is None else int((high - low).scaleb(dtype.scale)) + 1
+    width = Decimal(math.isqrt(steps) + 1).scaleb(-dtype.scale)
+    offset = F.col("_value") - F.lit(low or Decimal(0))
+    counts = counts.withColumn("_range", F.floor(offset / F.lit(width)).cast("bigint"))
 
     ranges = counts.groupBy("_key", "_range").agg(
         F.sum("_n").alias("_in_range"), F.min("_value").alias("_low"), F.max("_value").alias("_high")

@@ -91,14 +91,16 @@ def build_fact(
 ) -> DataFrame:
     """One row per stock and week with return, range and volatility measures.
 
-    The dimensions should be written tables: their real size then decides how each is joined.
+    The dimensions should be written tables: their real size then decides how each is joined.  The
+    source is one constant for the whole build, so its key is a scalar subquery: two rows under one name
+    stop the build, and none leaves the fact empty, as an inner join would.
     """
-    sources = dim_source.filter(F.col("source_name") == source_name).select("source_id", "source_name")
+    source_id = dim_source.filter(F.col("source_name") == source_name).select("source_id").scalar()
     joined = (
-        staging.withColumn("source_name", F.lit(source_name))
-        .join(dim_stock.select("stock_id", F.col("symbol").alias("stock_symbol")), "stock_symbol")
+        staging.join(dim_stock.select("stock_id", F.col("symbol").alias("stock_symbol")), "stock_symbol")
         .join(dim_date.select("date_id", F.col("week_ending").alias("trade_date")), "trade_date")
-        .join(sources, "source_name")
+        .withColumn("source_id", source_id)
+        .filter(F.col("source_id").isNotNull())
     )
     measures = {name: F.round(name, 4).cast(S.PRICE) for name in ("open_price", "high_price", "low_price")}
     gain = F.col("adjusted_close_price") - F.col("open_price")

@@ -192,7 +192,7 @@ def price_quantiles_lines(spark, folder):
     rows = V.table(spark, folder, "lineitem").select(
         "l_returnflag", F.col("l_extendedprice").cast(S.PRICE).alias("price")
     )
-    return plain(grouped_quantiles(rows, "l_returnflag", "price", (0.1, 0.5, 0.9, 0.99), bucket_width="10"))
+    return plain(grouped_quantiles(rows, "l_returnflag", "price", (0.1, 0.5, 0.9, 0.99)))
 
 
 def price_trend(spark, folder):

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from candlewick.functions import strict_date
 from candlewick.operators.ranking import first_per_key
 
+from .scratch import materialise
+
 # Given, never inferred: a folder of numeric tickers would turn `symbol` into an integer.
 BRONZE_SCHEMA = T.StructType(
     [
@@ -42,7 +44,7 @@ def write_bronze(payloads: DataFrame, path: str, run_time: str) -> None:
 
 def with_origin(df: DataFrame) -> DataFrame:
     """Add the file's modification time and path, which order payloads of one symbol."""
-    return df.select(
+    return df.filter(F.length(F.trim("payload")) > 0).select(
         "symbol",
         strict_date("date").alias("date"),
         "payload",
@@ -53,26 +55,39 @@ def with_origin(df: DataFrame) -> DataFrame:
 
 def read_bronze(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
     """All payloads: one per line, or one per file for documents printed over several lines."""
-    reader = spark.read.schema(BRONZE_SCHEMA).option("wholetext", whole_files)
-    return with_origin(reader.text(path)).filter(F.length(F.trim("payload")) > 0)
+    return with_origin(spark.read.schema(BRONZE_SCHEMA).text(path, wholetext=whole_files))
 
 
-def latest_bronze(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    """Payloads of the newest file of each symbol.
+def newest_files(spark: SparkSession, path: str) -> DataFrame:
+    """Symbol, date and path of the newest file of each symbol, from the listing alone.
 
-    The newest file is found from the listing alone: ``content`` is pruned from the binary scan, so
-    no payload text moves before the choice is made.
+    ``content`` is pruned from the binary scan, so no payload is read for this.
     """
+    # Folder names escape special characters, but leave a plus as it is.
+    symbol = F.replace(F.regexp_extract("path", r"/symbol=([^/]+)/", 1), F.lit("+"), F.lit("%2B"))
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .load(path)
         .select(
-            F.regexp_extract("path", r"/symbol=([^/]+)/", 1).alias("listed_symbol"),
-            F.col("path").alias("file_path"),
+            F.url_decode(symbol).alias("symbol"),
+            F.regexp_extract("path", r"/date=([^/]+)/", 1).alias("date"),
+            F.col("_metadata.file_path").alias("file_path"),
             F.col("modificationTime").alias("modified"),
         )
-        .filter(F.col("listed_symbol") != "")
     )
-    newest = first_per_key(listing, ["listed_symbol"], [F.desc("modified"), F.desc("file_path")])
-    return read_bronze(spark, path, whole_files).join(newest.select("file_path"), "file_path", "left_semi")
+    newest = first_per_key(listing, ["symbol"], [F.desc("modified"), F.desc("file_path")])
+    return newest.select("symbol", "date", "file_path")
+
+
+def latest_bronze(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """Payloads of the newest file of each symbol.
+
+    The written list is small beside the payloads, and its dates and symbols prune the partitions that
+    the payload scan opens.
+    """
+    newest = materialise(newest_files(spark, path), "newest-files").filter(F.col("symbol") != "")
+    payloads = spark.read.schema(BRONZE_SCHEMA).text(path, wholetext=whole_files)
+    located = payloads.select("*", "_metadata").withColumn("file_path", F.col("_metadata.file_path"))
+    chosen = located.join(newest, ["symbol", "date", "file_path"], "left_semi")
+    return with_origin(chosen)

@@ -26,7 +26,7 @@ def pick_up(
 
     A batch that is delivered again is harmless, because the load ignores stored keys.
     """
-    reader = spark.readStream.schema(BRONZE_SCHEMA).option("wholetext", whole_files)
+    reader = spark.readStream.schema(BRONZE_SCHEMA)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
@@ -36,7 +36,7 @@ def pick_up(
             on_batch(result.counts)
 
     query = (
-        with_origin(reader.text(path))
+        with_origin(reader.text(path, wholetext=whole_files))
         .writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(load)

@@ -7,6 +7,7 @@ from candlewick import schemas as S
 from candlewick.operators import Check, ContractViolation, between, has_type, matches, not_null, raise_on_error, relationship, run_checks, unique, unique_combination
 from candlewick.plans import (
     build_dim_source,
+    build_fact,
     build_gold,
     build_staging,
     check_gold,
@@ -79,6 +80,18 @@ def test_source_dimension(spark):
     assert row["source_name"] == "alpha_vantage" and len(row["source_id"]) == 32
 
 
+def test_source_key_of_the_fact(spark, gold):
+    def fact(sources, name="alpha_vantage"):
+        return build_fact(gold.staging, gold.dim_stock, gold.dim_date, sources, name)
+
+    one = build_dim_source(spark)
+    assert fact(one).select("source_id").distinct().collect() == one.select("source_id").collect()
+    assert fact(one, "manual_upload").count() == 0
+    second = build_dim_source(spark, {**S.SOURCE_ROW, "api_version": "v2"})
+    with pytest.raises(Exception, match="SCALAR_SUBQUERY_TOO_MANY_ROWS"):
+        fact(one.unionByName(second)).collect()
+
+
 def test_fact_measures(gold):
     ids = {r["symbol"]: r["stock_id"] for r in gold.dim_stock.collect()}
     days = {r["week_ending"]: r["date_id"] for r in gold.dim_date.collect()}

@@ -49,13 +49,12 @@ def test_shares(spark):
         st.lists(st.integers(-50000, 50000), min_size=1, max_size=60),
         min_size=1,
     ),
-    st.sampled_from(["0.01", "1", "1000"]),
 )
-def test_quantiles_equal_linear_interpolation(spark, groups, width):
+def test_quantiles_equal_linear_interpolation(spark, groups):
     rows = [(k, Decimal(v).scaleb(-4)) for k, vs in groups.items() for v in vs]
     df = spark.createDataFrame(rows, "k string, v decimal(18,4)")
     probs = (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)
-    got = {r["k"]: r for r in grouped_quantiles(df, "k", "v", probs, width).collect()}
+    got = {r["k"]: r for r in grouped_quantiles(df, "k", "v", probs).collect()}
     assert set(got) == set(groups)
     for k, vs in groups.items():
         x = np.array(vs) / 1e4
@@ -68,3 +67,6 @@ def test_quantiles_equal_linear_interpolation(spark, groups, width):
 def test_quantiles_leave_nulls_out(spark):
     df = spark.createDataFrame([("a", Decimal("1.0")), ("a", None)], "k string, v decimal(18,4)")
     assert tuple(grouped_quantiles(df, "k", "v", (0.5,)).first()) == ("a", 1, 1.0, 1.0, 1.0)
+    assert grouped_quantiles(df.limit(0), "k", "v").count() == 0
+    with pytest.raises(TypeError):
+        grouped_quantiles(df.select("k", F.col("v").cast("double")), "k", "v")
