@@ -2,6 +2,7 @@ from .columns import (
     calendar_columns,
     first_by_rule,
     is_finite,
+    is_number,
     normalise_ticker,
     relative_change,
     strict_date,
@@ -16,6 +17,7 @@ __all__ = [
     "calendar_columns",
     "first_by_rule",
     "is_finite",
+    "is_number",
     "normalise_ticker",
     "relative_change",
     "strict_date",

@@ -17,13 +17,18 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def is_number(c: Column | str) -> Column:
+    """Text that is exactly one number, with signs, exponents, NaN and infinity."""
+    return _col(c).rlike(_NUMBER)
+
+
 def tolerant_double(c: Column | str) -> Column:
     """Text to double; text that is not exactly a number gives null.
 
     Spark's own cast also takes padded text and Java suffixes (``1.5d``), hence the guard.
     """
     c = _col(c)
-    return F.when(c.rlike(_NUMBER), c.try_cast("double"))
+    return F.when(is_number(c), c.try_cast("double"))
 
 
 def tolerant_bigint(c: Column | str) -> Column:

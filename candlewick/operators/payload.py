@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick import schemas as S
-from candlewick.functions import is_finite, strict_date, tolerant_bigint, tolerant_double
+from candlewick.functions import is_finite, is_number, strict_date, tolerant_bigint, tolerant_double
 
 from .ranking import rows_where
 
@@ -29,8 +29,11 @@ _OVERFLOW = 10.0 ** (S.PRICE.precision - S.PRICE.scale)
 def parse(df: DataFrame, payload: str = "payload", series_key: str = S.SERIES_KEY) -> DataFrame:
     """Add top-level key names, the parsed document and its series map.
 
-    ``_keys`` is null when the text is not one JSON object; ``{}`` gives an empty list.
+    ``_keys`` is null when the text is not one JSON object; ``{}`` gives an empty list.  A frame that is
+    parsed already comes back as it is, so steps in a row share one parse.
     """
+    if KEYS in df.columns:
+        return df
     text = F.col(payload)
     # The key reader stops at the closing brace, so text after it needs its own test.
     keys = F.when(F.rtrim(text).endswith("}"), F.json_object_keys(text))
@@ -55,6 +58,7 @@ def classify(
     payload: str = "payload",
     series_key: str = S.SERIES_KEY,
     transport_error: str | None = None,
+    keep_parsed: bool = False,
 ) -> DataFrame:
     """Extraction envelope of each payload: success flag, error text and type, record count.
 
@@ -94,9 +98,8 @@ def classify(
         parsed.withColumn("error_msg", chain([text for _, _, text in rules]))
         .withColumn("success", success)
         .withColumn("raw_json", F.when(success, F.col(payload)))
-        .withColumn("record_count", F.when(success, F.coalesce(F.size(SERIES), F.lit(0)).cast("bigint")))
-        .withColumn("record_count", F.greatest("record_count", F.when(success, F.lit(0).cast("bigint"))))
-        .drop(*PARSED)
+        .withColumn("record_count", F.when(success, _size().cast("bigint")))
+        .drop(*([] if keep_parsed else PARSED))
     )
 
 
@@ -126,20 +129,28 @@ def _bad_dates() -> Column:
     return F.size(F.filter(F.map_keys(SERIES), lambda day: strict_date(day).isNull()))
 
 
+def _has_bad_date() -> Column:
+    return F.exists(F.map_keys(SERIES), lambda day: strict_date(day).isNull())
+
+
 def _lacks(field: str) -> Column:
     """True when no row of the series has the field."""
     return ~F.exists(_fields(), lambda row: F.coalesce(F.map_contains_key(row, field), F.lit(False)))
 
 
-def _bad_numbers() -> Column:
-    def row_has_bad(row: Column) -> Column:
-        return F.size(
-            F.map_filter(
-                row, lambda k, v: k.rlike(S.NUMBERED_FIELD) & v.isNotNull() & tolerant_double(v).isNull()
-            )
-        )
+def _is_bad(name: Column, text: Column) -> Column:
+    return name.rlike(S.NUMBERED_FIELD) & text.isNotNull() & ~is_number(text)
+
 
-    return F.aggregate(_fields(), F.lit(0), lambda acc, row: acc + F.greatest(row_has_bad(row), F.lit(0)))
+def _has_bad_number() -> Column:
+    return F.exists(
+        _fields(), lambda row: F.exists(F.map_entries(row), lambda e: _is_bad(e["key"], e["value"]))
+    )
+
+
+def _bad_numbers() -> Column:
+    bad = F.transform(_fields(), lambda row: F.size(F.map_filter(row, _is_bad)))
+    return F.aggregate(bad, F.lit(0), lambda total, n: total + F.greatest(n, F.lit(0)))
 
 
 def validate(
@@ -156,9 +167,9 @@ def validate(
         (_has(S.ERROR_KEY), "error_marker", F.coalesce(_marker(S.ERROR_KEY), F.lit("None"))),
         (~_has(series_key), "missing_series", F.lit(series_key)),
         (_size() == 0, "empty_series", F.lit("no rows")),
-        (_bad_dates() > 0, "invalid_date", _bad_dates().cast("string")),
+        (_has_bad_date(), "invalid_date", _bad_dates().cast("string")),
         (F.size(missing) > 0, "missing_field", F.element_at(missing, 1)),
-        (_bad_numbers() > 0, "not_numeric", _bad_numbers().cast("string")),
+        (_has_bad_number(), "not_numeric", _bad_numbers().cast("string")),
     ]
     name, detail = F.when(checks[0][0], checks[0][1]), None
     for cond, label, _ in checks[1:]:

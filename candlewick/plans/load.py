@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick import schemas as S
-from candlewick.operators.payload import classify, screen, split_outcomes, validate
+from candlewick.operators.payload import PARSED, classify, screen, split_outcomes, validate
 from candlewick.operators.ranking import insert_or_ignore, rows_where
 from candlewick.operators.series import load_counts, standardise, typed_rows
 from candlewick.sources.bronze import write_bronze
@@ -32,10 +32,10 @@ def land_payloads(payloads: DataFrame, path: str, run_time: str) -> Landing:
 
     ``payloads`` has ``symbol`` and ``payload``.  The run stops when no extraction succeeded.
     """
-    ok, failed = split_outcomes(classify(payloads))
-    judged = validate(ok.select("symbol", F.col("raw_json").alias("payload")))
+    ok, failed = split_outcomes(classify(payloads, keep_parsed=True))
+    judged = validate(ok)
     write_bronze(rows_where(judged, "is_valid"), path, run_time)
-    return Landing(failed, rows_where(judged, ~F.col("is_valid")))
+    return Landing(failed.drop(*PARSED), rows_where(judged, ~F.col("is_valid")))
 
 
 @dataclass(frozen=True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import registry as R
 from . import views as V
+from .contracts import CALENDAR_CONTRACTS, CONTRACTS, FACT, STAGING
 
 _CODE = "CASE p_type " + " ".join(f"WHEN '{t}' THEN '{c}'" for t, c in V.TYPE_CODES.items()) + " END"
 _SYMBOL = f"lower(replace(p_brand, 'Brand#', 'b') || '.' || {_CODE})"
@@ -230,8 +231,6 @@ def _checks(checks) -> str:
 
 def _report() -> str:
     """Contract report of the gold build, with the models as CTEs under their table names."""
-    from .contracts import CONTRACTS, FACT, STAGING
-
     models = f"""{STAGING} AS (SELECT *, CAST(adjusted_close_price AS DOUBLE) AS acp FROM stg),
 dim_date AS (SELECT {_key('d')} AS date_id, d AS week_ending FROM (SELECT DISTINCT trade_date AS d FROM stg)),
 dim_source AS (SELECT {_SOURCE_ID} AS source_id, 'alpha_vantage' AS source_name, 'Gold' AS source_tier,
@@ -398,6 +397,8 @@ FROM accepted GROUP BY symbol""",
     "dq_between": _checks(R.DQ_BETWEEN),
     "dq_matches": _checks(R.DQ_MATCHES),
     "dq_type": _checks(R.DQ_TYPE),
+    "dq_calendar": f"""WITH dim_date AS (SELECT year(d) AS year, weekofyear(d) AS week_number, quarter(d) AS quarter
+  FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)) {_checks(CALENDAR_CONTRACTS)}""",
     "dq_orphans": """SELECT l_partkey, count(*) AS n_rows FROM lineitem
 WHERE l_partkey IS NOT NULL AND l_partkey NOT IN (SELECT s_suppkey FROM supplier) GROUP BY l_partkey""",
     "dq_severities": f"""SELECT severity, count(*) AS n_checks, CAST(sum(n_violations) AS BIGINT) AS n_violations

@@ -33,7 +33,8 @@ from candlewick.streaming.pickup import pick_up
 
 from . import mart as M
 from . import views as V
-from .gold import Gold, build_dim_date, build_gold, build_staging, check_gold
+from .contracts import CALENDAR_CONTRACTS
+from .gold import Gold, build_dim_date, build_dim_stock, build_gold, build_staging, check_gold
 from .load import bronze_to_silver, land_payloads
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,8 +67,9 @@ def _gold(spark: SparkSession, folder: str, keep_fact: bool = True) -> Gold:
     )
 
 
-def _mart(spark: SparkSession, folder: str) -> DataFrame:
-    return M.gold_mart(_gold(spark, folder))
+def _mart(spark: SparkSession, folder: str, keep_fact: bool = False) -> DataFrame:
+    """The mart; the fact is written first where a query reads it more than once."""
+    return M.gold_mart(_gold(spark, folder, keep_fact))
 
 
 # --- models -------------------------------------------------------------------
@@ -96,7 +98,8 @@ def calendar_quarters(spark, folder):
 
 
 def dim_stock(spark, folder):
-    return plain(_gold(spark, folder, keep_fact=False).dim_stock.drop("created_at"))
+    staging = build_staging(V.silver(spark, folder))
+    return plain(build_dim_stock(staging, V.seed(spark, folder), V.TYPE_GROUPS).drop("created_at"))
 
 
 def dim_source(spark, folder):
@@ -133,7 +136,7 @@ def sector_performance(spark, folder):
 
 
 def zscore(spark, folder):
-    scored = with_zscore(_mart(spark, folder), "symbol", "adjusted_close_price")
+    scored = with_zscore(_mart(spark, folder, keep_fact=True), "symbol", "adjusted_close_price")
     return plain(scored.select("date", "symbol", "adjusted_close_price", "z_score"))
 
 
@@ -143,7 +146,7 @@ def zscore_events(spark, folder):
 
 
 def anomaly_count(spark, folder):
-    return plain(M.anomaly_count(_mart(spark, folder)))
+    return plain(M.anomaly_count(_mart(spark, folder, keep_fact=True)))
 
 
 def anomaly_count_lines(spark, folder):
@@ -153,19 +156,19 @@ def anomaly_count_lines(spark, folder):
 
 
 def anomalies(spark, folder):
-    scored = with_zscore(_mart(spark, folder), "symbol", "adjusted_close_price")
+    scored = with_zscore(_mart(spark, folder, keep_fact=True), "symbol", "adjusted_close_price")
     return plain(
         scored.filter(F.abs("z_score") > S.ANOMALY_THRESHOLD).select("date", "symbol", "adjusted_close_price", "z_score")
     )
 
 
 def kpis(spark, folder):
-    return plain(M.kpis(_mart(spark, folder)))
+    return plain(M.kpis(_mart(spark, folder, keep_fact=True)))
 
 
 def kpis_default_selection(spark, folder):
     """Indicators for the dashboard's first view: chosen sectors, first three symbols of them."""
-    chosen = M.select_rows(_mart(spark, folder), SECTORS)
+    chosen = M.select_rows(_mart(spark, folder, keep_fact=True), SECTORS)
     return plain(M.kpis(in_universe(chosen, first_n(chosen, "symbol", 3))))
 
 
@@ -513,6 +516,13 @@ def dq_report(spark, folder):
     return check_gold(_gold(spark, folder))
 
 
+def dq_calendar(spark, folder):
+    """Calendar ranges over the order days, with the quarter of the older design."""
+    days = V.table(spark, folder, "orders").select(F.col("o_orderdate").cast("date").alias("trade_date"))
+    calendar = build_dim_date(days).withColumn("quarter", F.quarter("week_ending"))
+    return Q.run_checks({"dim_date": calendar}, CALENDAR_CONTRACTS)
+
+
 def dq_orphans(spark, folder):
     """Part keys of order lines that are no supplier key, with their line counts."""
     tables = _check_tables(spark, folder)
@@ -586,6 +596,7 @@ QUERIES: dict[str, Query] = {
     "dq_between": _checked(*DQ_BETWEEN),
     "dq_matches": _checked(*DQ_MATCHES),
     "dq_type": _checked(*DQ_TYPE),
+    "dq_calendar": dq_calendar,
     "dq_orphans": dq_orphans,
     "dq_severities": dq_row_conditions,
     "dq_report": dq_report,

@@ -80,13 +80,18 @@ def newest_files(spark: SparkSession, path: str) -> DataFrame:
     return newest.select("symbol", "date", "file_path")
 
 
-def latest_bronze(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    """Payloads of the newest file of each symbol.
+def latest_bronze(
+    spark: SparkSession, path: str, whole_files: bool = False, symbol: str | None = None
+) -> DataFrame:
+    """Payloads of the newest file of each symbol, or of one symbol; finding none is an error.
 
     The written list is small beside the payloads, and its dates and symbols prune the partitions that
     the payload scan opens.
     """
-    newest = materialise(newest_files(spark, path), "newest-files").filter(F.col("symbol") != "")
+    newest = materialise(newest_files(spark, path), "newest-files")
+    newest = newest.filter(F.col("symbol") != "" if symbol is None else F.col("symbol") == symbol)
+    if newest.isEmpty():
+        raise ValueError(f"no payload files for {symbol or 'any symbol'} under {path}")
     payloads = spark.read.schema(BRONZE_SCHEMA).text(path, wholetext=whole_files)
     located = payloads.select("*", "_metadata").withColumn("file_path", F.col("_metadata.file_path"))
     chosen = located.join(newest, ["symbol", "date", "file_path"], "left_semi")

@@ -50,12 +50,28 @@ def write_model(df: DataFrame, schema: str, name: str) -> DataFrame:
     return df.sparkSession.table(f"{schema}.{name}")
 
 
+def _complete(rows: DataFrame) -> DataFrame:
+    """Column defaults of the silver table; a missing key stops the write."""
+    silver = {f.name: f for f in S.SILVER_SCHEMA}
+    keys = {
+        name: F.coalesce(name, F.raise_error(F.lit(f"{name} is null")).cast(silver[name].dataType))
+        for name in S.SILVER_KEY
+    }
+    return rows.withColumns(
+        {
+            **keys,
+            "_data_source": F.coalesce("_data_source", F.lit(S.DATA_SOURCE)),
+            "_processing_date": F.coalesce("_processing_date", F.current_date()),
+        }
+    ).select(*silver)
+
+
 def append_silver(rows: DataFrame, schema: str) -> None:
     """Append rows as new files; they become visible when the job commits."""
     spark = rows.sparkSession
     table = f"{schema}.{SILVER}"
+    rows = _complete(rows)
     buckets = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Num Buckets'").first()
-    rows = rows.select(*S.SILVER_SCHEMA.names)
     if buckets is not None:
         # Same hash as the table's buckets: each task then writes one file.
         rows = rows.repartition(int(buckets["data_type"]), *S.SILVER_KEY)

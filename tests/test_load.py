@@ -126,6 +126,17 @@ def test_stored_keys_are_not_shuffled(spark, schema):
     assert plan.count() == 0
 
 
+def test_silver_defaults_and_keys(spark, schema):
+    row = {"symbol": "A", "price_date": "2023-10-27"}
+    columns = [F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in S.SILVER_SCHEMA]
+    rows = spark.range(1).select(*columns)
+    append_silver(rows, schema)
+    stored = read_table(spark, schema, SILVER).first()
+    assert stored["_data_source"] == "alpha_vantage" and stored["_processing_date"] is not None
+    with pytest.raises(Exception, match="symbol is null"):
+        append_silver(rows.withColumn("symbol", F.lit(None).cast("string")), schema)
+
+
 def test_audit_failure_is_only_logged(spark):
     metrics = spark.createDataFrame([("A", 3, 2)], "symbol string, rows_processed bigint, rows_loaded bigint")
     assert append_audit(metrics, "no_such_schema") is False
@@ -169,6 +180,9 @@ def test_latest_file_per_symbol(spark, folder):
     assert got == {"A": ("2025-12-08", True), "B+#1 x": ("2025-12-01", False)}
     plan = latest._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan
+    assert [r["symbol"] for r in latest_bronze(spark, folder, symbol="A").collect()] == ["A"]
+    with pytest.raises(ValueError, match="no payload files for C"):
+        latest_bronze(spark, folder, symbol="C")
 
 
 def test_stream_picks_up_each_file_once(spark, schema, folder):
