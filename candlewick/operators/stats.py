@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -67,8 +66,9 @@ def grouped_quantiles(
     counts = materialise(counts, "value-counts")
     low, high = counts.agg(F.min("_value"), F.max("_value")).first()
     steps = 1 if low is None else int((high - low).scaleb(dtype.scale)) + 1
-    width = Decimal(math.isqrt(steps) + 1).scaleb(-dtype.scale)
-    offset = F.col("_value") - F.lit(low or Decimal(0))
+    width = (math.isqrt(steps) + 1) * 10.0**-dtype.scale
+    # Doubles are enough here: each step keeps the order of the values, and equal values stay together.
+    offset = F.col("_value").cast("double") - F.lit(float(low or 0))
     counts = counts.withColumn("_range", F.floor(offset / F.lit(width)).cast("bigint"))
 
     ranges = counts.groupBy("_key", "_range").agg(
@@ -93,7 +93,7 @@ def grouped_quantiles(
         ]
     )
     hit = (F.col("want.rank") >= F.col("_before")) & (F.col("want.rank") < F.col("_before") + F.col("_in_range"))
-    targets = placed.select("*", F.explode(wanted).alias("want")).filter(hit)
+    targets = materialise(placed.select("*", F.explode(wanted).alias("want")).filter(hit), "rank-targets")
 
     needed = targets.select(F.col("_key").alias("_k"), F.col("_range").alias("_r")).distinct()
     same_range = F.col("_key").eqNullSafe(F.col("_k")) & F.col("_range").eqNullSafe(F.col("_r"))
