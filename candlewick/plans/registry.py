@@ -326,7 +326,7 @@ def quality_filter(spark, folder):
 def _split_load(spark, folder):
     """Finished lines as the stored table, open lines as a batch with up to three rows per key."""
     order_lines = V.lines(spark, folder)
-    stored = V.prices(order_lines.filter(F.col("l_linestatus") == "F"))
+    stored = materialise(V.prices(order_lines.filter(F.col("l_linestatus") == "F")), "stored")
     batch = V.prices(order_lines.filter(F.col("l_linestatus") == "O"), extra=("l_returnflag",))
     return stored, batch
 

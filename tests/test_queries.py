@@ -31,6 +31,19 @@ def test_same_result_as_sql(spark, duck, name):
     assert rows > 0
 
 
+@pytest.mark.parametrize("name", ["fact_prices", "anomaly_count", "volatility_quartiles", "upsert_ignore"])
+def test_same_result_when_nothing_is_broadcast(spark, duck, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = queries()[name](spark, FOLDER)
+        assert "BroadcastHashJoin" not in df._jdf.queryExecution().executedPlan().toString()
+        assert difference(df, duck, oracle_sql()[name])[1] is None
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize(
     "name",
     ["fact_prices", "zscore", "kpis", "volume_share", "volatility_quartiles", "payload_validate", "upsert_ignore", "dq_relationships"],
