@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -24,7 +22,5 @@ def local_session(cores: int | str = "*", app: str = "candlewick", **extra: str)
     for name, value in {**SETTINGS, **extra}.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
-    if spark.conf.get("spark.checkpoint.dir", None) is None:
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="candlewick-"))
     spark.sparkContext.setLogLevel("ERROR")
     return spark

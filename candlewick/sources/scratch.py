@@ -8,18 +8,31 @@ sort-merge join, where adaptive execution splits hot keys.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="candlewick-")
+
+
+def _root(spark: SparkSession) -> str:
+    """The shared folder the cluster names; on one machine without one, a folder of this process."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root:
+        return root.rstrip("/")
+    if spark.sparkContext.master.startswith("local"):
+        return _local_root()
+    raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """Fresh folder under ``spark.checkpoint.dir``, grouped by application for later clean-up."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    return f"{root.rstrip('/')}/candlewick/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{_root(spark)}/candlewick/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -227,3 +227,16 @@ def test_scratch_is_under_the_checkpoint_folder(spark):
     written = materialise(spark.range(3), "check")
     assert written.count() == 3
     assert spark.conf.get("spark.checkpoint.dir") in written.inputFiles()[0]
+
+
+@pytest.mark.parametrize(("master", "allowed"), [("local[4]", True), ("yarn", False)])
+def test_scratch_without_a_shared_folder(master, allowed):
+    class Bare:
+        conf = {}
+        sparkContext = type("Context", (), {"master": master, "applicationId": "app"})
+
+    if allowed:
+        assert "/candlewick/app/x-" in scratch_path(Bare, "x")
+    else:
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            scratch_path(Bare, "x")
