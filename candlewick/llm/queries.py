@@ -9,12 +9,17 @@ from pyspark.sql import functions as F
 
 from candlewick.sources.scratch import materialise
 
-from . import quality
+from . import quality, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     measured = materialise(quality.measure(docs, keep=["doc_id", "lang"]), "quality-measures")
@@ -25,5 +30,6 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
 }
