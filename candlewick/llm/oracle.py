@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import mixing as M
 from . import quality as Q
 
 # --- quality rules ---------------------------------------------------------------
@@ -70,6 +71,31 @@ OP10 = f"""WITH {_MEASURED}, {_CUTOFFS}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND NOT ({_REJECTED}) AS kept FROM based"""
 
+# --- mixing ------------------------------------------------------------------------
+
+# Sources by rising size per weight: the capped ones come first, so running sums decide.
+_WEIGHT = " ".join(f"WHEN {i} THEN {float(w)}" for i, w in enumerate(M.WEIGHTS))
+OP3 = f"""WITH sized AS (SELECT doc_id, source,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents),
+sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS s FROM sized GROUP BY source),
+weighted AS (SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(M.WEIGHTS)} {_WEIGHT} END AS w
+  FROM sources),
+running AS (SELECT *, (SELECT sum(s) FROM sources) AS total,
+    coalesce(sum({M.MAX_RATE} * s) OVER before, 0) AS capped, sum(w) OVER rest AS open FROM weighted
+  WINDOW before AS (ORDER BY s / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    rest AS (ORDER BY s / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+level AS (SELECT total - capped AS top, open AS bottom FROM running
+  WHERE NOT {M.MAX_RATE} * s * open < w * (total - capped) ORDER BY s / w, source NULLS LAST LIMIT 1),
+goals AS (SELECT source, s, CAST(CASE WHEN {M.MAX_RATE} * s * bottom < w * top THEN {M.MAX_RATE} * s
+    ELSE CAST(w * top AS DOUBLE) / CAST(bottom AS DOUBLE) END AS DOUBLE) AS target FROM weighted, level),
+rated AS (SELECT doc_id, size, s, target, CASE WHEN s = 0 THEN 0 ELSE target / s END AS rate,
+    CAST('0x' || substr(md5('{M.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 12) AS BIGINT)
+      / {float(1 << 48)} AS u
+  FROM sized JOIN goals ON sized.source IS NOT DISTINCT FROM goals.source)
+SELECT doc_id, size, s AS source_size, target,
+  CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM rated"""
+
 ORACLE: dict[str, str] = {
+    "op3_mixing": OP3,
     "op10_quality_rules": OP10,
 }

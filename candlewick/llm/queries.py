@@ -9,12 +9,19 @@ from pyspark.sql import functions as F
 
 from candlewick.sources.scratch import materialise
 
-from . import quality, simhash
+from . import mixing, quality, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    sized = materialise(docs.select("doc_id", "source", mixing.word_count("text").alias("size")), "document-sizes")
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return mixing.plan(sized).select("doc_id", "size", "source_size", "target", taken)
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -30,6 +37,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_mixing": op3_mixing,
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
 }
