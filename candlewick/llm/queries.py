@@ -9,12 +9,33 @@ from pyspark.sql import functions as F
 
 from candlewick.sources.scratch import materialise
 
-from . import mixing, quality, simhash
+from . import bpe, mixing, quality, simhash
 from .common import table
 
+#: Name of the vocabulary file, found by the installed package of public tokenizers.
+VOCABULARY = "word_bpe_49k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = vocabulary_path()
+    encoded = bpe.encode(table(spark, folder, "documents"), path, keep=["doc_id"])
+    decoded = bpe.decode(encoded, path)
+    return decoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("tokens", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     sized = materialise(docs.select("doc_id", "source", mixing.word_count("text").alias("size")), "document-sizes")
@@ -37,6 +58,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
