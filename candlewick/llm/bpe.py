@@ -18,6 +18,7 @@ Only the tables, whose size the vocabulary bounds, are broadcast.
 from __future__ import annotations
 
 import json
+import struct
 import unicodedata
 from collections.abc import Iterator, Sequence
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import text_or_empty
 
 #: Distinct words and transitions that a worker remembers before it starts afresh.
-MEMORY = 200_000
+MEMORY = 400_000
 
 
 def byte_symbols() -> list[str]:
@@ -115,6 +116,7 @@ class Encoder:
         self.tables = tables
         self.transitions: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
+        self.inner, self.final, self.longest = tables["inner"], tables["final"], tables["longest"]
         self.pieces = regex.compile(tables["pattern"])
         self.special = tables["special"]
         escaped = "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))
@@ -122,45 +124,52 @@ class Encoder:
         self.never = len(tables["born"]) + len(tables["removed"])
 
     def _may_follow(self, state: int, label: int) -> bool:
-        at = state << 20 | label
-        found = self.transitions.get(at)
-        if found is None:
-            if len(self.transitions) > 5 * MEMORY:
-                self.transitions.clear()
-            found = self.transitions[at] = arc_exists(self.tables, state, label, self.never)
+        if len(self.transitions) > 5 * MEMORY:
+            self.transitions.clear()
+        found = arc_exists(self.tables, state, label, self.never)
+        self.transitions[state << 20 | label] = found
         return found
 
     def word(self, word: bytes) -> list[int]:
-        """Labels of the one path that spells a pre-split word."""
-        n, longest = len(word), self.tables["longest"]
-        states = [-1] * (n + 1)
-        for i in range(1, n + 1):
-            arcs = self.tables["final" if i == n else "inner"]
-            for j in range(max(0, i - longest), i):
-                label = arcs.get(word[j:i])
-                if label is not None and (j == 0 or self._may_follow(states[j], label)):
-                    states[i] = label
-                    break
-        born, left, right = self.tables["born"], self.tables["left"], self.tables["right"]
-        out, i = [], n
-        while i:
-            out.append(states[i])
-            # The length of a label in bytes follows from its parts.
-            todo, size = [states[i]], 0
-            while todo:
-                t = todo.pop()
-                if born[t] < 0:
-                    size += 1
-                else:
-                    todo += (left[t], right[t])
-            i -= size
-        return out[::-1]
+        """Labels of the one path that spells a pre-split word.
+
+        Longer labels are tried first.  A prefix has one path only, so a place from which the word could not be
+        finished is not entered again, and the work is linear in the length.
+        """
+        inner, final, known = self.inner, self.final, self.transitions.get
+        label = final.get(word)
+        if label is not None:
+            return [label]
+        n, i, state, path, back, dead = len(word), 0, -1, [], [], set()
+        size = min(self.longest, n)
+        while True:
+            while size > 0:
+                j = i + size
+                label = final.get(word[i:]) if j == n else inner.get(word[i:j])
+                if label is not None and j not in dead:
+                    fits = True if state < 0 else known(state << 20 | label)
+                    if fits is None:
+                        fits = self._may_follow(state, label)
+                    if fits:
+                        path.append(label)
+                        if j == n:
+                            return path
+                        back.append((i, state, size))
+                        i, state, size = j, label, min(self.longest, n - j) + 1
+                size -= 1
+            dead.add(i)
+            i, state, size = back.pop()
+            path.pop()
+            size -= 1
 
     def chunk(self, chunk: str) -> bytes:
         """Ids of text without special tokens, as little-endian unsigned 32-bit integers."""
         folded = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        ids = [i for piece in self.pieces.findall(folded) for i in self.word(piece.encode("utf-8"))]
-        return b"".join(i.to_bytes(4, "little") for i in ids)
+        if folded.isalpha():
+            ids = self.word(folded.encode("utf-8"))
+        else:
+            ids = [i for piece in self.pieces.findall(folded) for i in self.word(piece.encode("utf-8"))]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def plain(self, text: str) -> bytes:
         # White space always separates words; only the four separators below do so in Python alone.
