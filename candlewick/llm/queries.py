@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.sources.scratch import materialise
 
-from . import bpe, mixing, quality, simhash
+from . import bpe, mixing, quality, secret_scan, simhash
 from .common import table
 
 #: Name of the vocabulary file, found by the installed package of public tokenizers.
@@ -43,6 +43,23 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.plan(sized).select("doc_id", "size", "source_size", "target", taken)
 
 
+def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.find(table(spark, folder, "documents"))
+
+    def listed(spans: str) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[number(k) for k in ("assign", "access", "hex")],
+        F.sha2(listed("base"), 256).alias("base_sha256"),
+        listed("spans").alias("spans"),
+    )
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -60,6 +77,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
+    "op5_secrets": op5_secrets,
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
 }
