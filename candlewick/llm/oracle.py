@@ -95,7 +95,24 @@ rated AS (SELECT doc_id, size, s, target, CASE WHEN s = 0 THEN 0 ELSE target / s
 SELECT doc_id, size, s AS source_size, target,
   CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM rated"""
 
+# --- archives ----------------------------------------------------------------------
+
+# Base32 by groups of five bits of the digest's 160, four hex digits of the padded groups at a time.
+_B32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+_QUANTUM = " || ".join(
+    f"substr('{_B32}', CAST((q >> {35 - 5 * i}) & 31 AS INTEGER) + 1, 1)".replace("q", "CAST('0x' || substr(h, {at}, 10) AS BIGINT)")
+    for i in range(8)
+)
+OP1 = f"""WITH hashed AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+    sha1(coalesce(html, '')) AS h FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first_id FROM hashed)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  {" || ".join(_QUANTUM.replace("{at}", str(1 + 10 * i)) for i in range(4))} AS payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to FROM firsts"""
+
 ORACLE: dict[str, str] = {
+    "op1_warc": OP1,
     "op3_mixing": OP3,
     "op10_quality_rules": OP10,
 }

@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candlewick.sources.scratch import materialise
+from candlewick.sources.scratch import materialise, scratch_path
 
-from . import bpe, mixing, quality, secret_scan, simhash
+from . import bpe, mixing, quality, secret_scan, simhash, warc
 from .common import table
 
 #: Name of the vocabulary file, found by the installed package of public tokenizers.
@@ -18,6 +18,20 @@ VOCABULARY = "word_bpe_49k.json"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", F.col("html").alias("payload"))
+    files = materialise(warc.write(warc.mark_revisits(pages), scratch_path(spark, "warc")), "warc-files")
+    listed = materialise(warc.index(files), "warc-index")
+    read = materialise(warc.measured(warc.read(listed)), "warc-records")
+    return warc.resolved(read).select(
+        warc.page_id("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_id("refers_to").alias("refers_to"),
+    )
+
+
 def vocabulary_path() -> str:
     import public_tokenizers
 
@@ -75,6 +89,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_warc": op1_warc,
     "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
     "op5_secrets": op5_secrets,
