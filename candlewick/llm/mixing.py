@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from candlewick.sources.scratch import materialise
 
 from .common import text_or_empty
+from .ranking import ranked
 
 WEIGHTS = (5, 2, 1)
 MAX_RATE = 3
@@ -32,25 +33,6 @@ def uniform(key: Column, seed: int = SEED) -> Column:
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint") / F.lit(float(1 << 48))
 
 
-def ranked(keys: DataFrame, column: str) -> DataFrame:
-    """``keys`` with ``__rank``, its 0-based place by ``column`` ascending with null last.
-
-    The range sort numbers rows within each partition; only one count per partition meets in a window.
-    """
-    placed = keys.orderBy(F.col(column).asc_nulls_last()).withColumn("__at", F.monotonically_increasing_id())
-    placed = materialise(placed, "sorted-keys")
-    part = F.shiftright("__at", 33)
-    counts = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
-    before = F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")
-    starts = counts.select("__part", before.alias("__start"))
-    return (
-        placed.withColumn("__part", part)
-        .join(starts, "__part")
-        .withColumn("__rank", F.col("__start") + F.col("__at").bitwiseAND((1 << 33) - 1))
-        .drop("__part", "__start", "__at")
-    )
-
-
 def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_rate: float = MAX_RATE) -> DataFrame:
     """``source``, ``source_size`` and ``target`` from ``sizes`` (``source``, ``source_size``).
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from candlewick.sources.scratch import materialise, scratch_path
 
-from . import bpe, mixing, quality, secret_scan, simhash, warc
+from . import bpe, embedding_dedup, mixing, quality, secret_scan, simhash, warc
 from .common import table
 
 #: Name of the vocabulary file, found by the installed package of public tokenizers.
@@ -74,6 +74,10 @@ def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
@@ -93,6 +97,7 @@ QUERIES: dict[str, Query] = {
     "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
     "op5_secrets": op5_secrets,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
 }
