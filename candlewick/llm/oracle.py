@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from . import mixing as M
 from . import quality as Q
+from . import sharding as S
+from .embedding_dedup import THRESHOLD
 
 # --- quality rules ---------------------------------------------------------------
 
@@ -111,8 +113,42 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
   CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to FROM firsts"""
 
+# --- shards ------------------------------------------------------------------------
+
+OP4 = f"""WITH hashed AS (SELECT row_number() OVER () AS rid, doc_id,
+    CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n_bytes,
+    lpad(bin(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null') || ':' || coalesce(text, '')), 1,
+      {S.BITS // 4}) AS BIGINT)), {S.BITS}, '0') AS bits FROM documents),
+paths AS (SELECT rid, doc_id, n_bytes, d, substr(bits, 1, d) AS shard
+  FROM (SELECT *, unnest(range({S.BITS + 1})) AS d FROM hashed)),
+buckets AS (SELECT *, sum(n_bytes) OVER same AS b, count(*) OVER same AS n FROM paths
+  WINDOW same AS (PARTITION BY d, shard)),
+fits AS (SELECT *, row_number() OVER (PARTITION BY rid ORDER BY d) AS k FROM buckets WHERE b <= {S.LIMIT_BYTES} OR n = 1)
+SELECT doc_id, n_bytes, shard, CAST(d AS INTEGER) AS depth, CAST(b AS BIGINT) AS shard_bytes,
+  CAST(n AS BIGINT) AS shard_rows FROM fits WHERE k = 1"""
+
+# --- vectors: every pair ------------------------------------------------------------
+
+OP6 = f"""WITH RECURSIVE rows_ AS (SELECT row_number() OVER () AS rid, vec_id, CAST(embedding AS DOUBLE[]) AS v
+  FROM embeddings),
+parts AS (SELECT rid, unnest(v) AS x FROM rows_),
+sound AS (SELECT rid FROM parts GROUP BY rid HAVING count(*) = count(x)
+  AND bool_and(coalesce(isfinite(x), FALSE)) AND bool_or(x <> 0)),
+good AS (SELECT rows_.* FROM rows_ JOIN sound USING (rid)),
+pairs AS (SELECT a.rid AS l, b.rid AS r FROM good a JOIN good b
+  ON a.rid < b.rid AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= {THRESHOLD}),
+links AS (SELECT l, r FROM pairs UNION ALL SELECT r, l FROM pairs),
+reach AS (SELECT rid, rid AS other FROM rows_ UNION SELECT reach.rid, links.r FROM reach JOIN links ON links.l = reach.other),
+degree AS (SELECT l AS rid, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id,
+  vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM rows_ JOIN (SELECT reach.rid, min(o.vec_id) AS component_id FROM reach JOIN rows_ o ON o.rid = reach.other
+  GROUP BY reach.rid) USING (rid) LEFT JOIN degree USING (rid)"""
+
 ORACLE: dict[str, str] = {
     "op1_warc": OP1,
     "op3_mixing": OP3,
+    "op4_sharding": OP4,
+    "op6_embedding_dedup": OP6,
     "op10_quality_rules": OP10,
 }

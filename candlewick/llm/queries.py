@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from candlewick.sources.scratch import materialise, scratch_path
 
-from . import bpe, embedding_dedup, mixing, quality, secret_scan, simhash, warc
+from . import bpe, embedding_dedup, mixing, quality, secret_scan, sharding, simhash, warc
 from .common import table
 
 #: Name of the vocabulary file, found by the installed package of public tokenizers.
@@ -57,6 +57,10 @@ def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.plan(sized).select("doc_id", "size", "source_size", "target", taken)
 
 
+def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.assign(table(spark, folder, "documents"), keep=["doc_id"])
+
+
 def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.find(table(spark, folder, "documents"))
 
@@ -96,6 +100,7 @@ QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_bpe": op2_bpe,
     "op3_mixing": op3_mixing,
+    "op4_sharding": op4_sharding,
     "op5_secrets": op5_secrets,
     "op6_embedding_dedup": op6_embedding_dedup,
     "op9_simhash": op9_simhash,
