@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from . import license_scan as L
 from . import mixing as M
 from . import quality as Q
 from . import sharding as S
@@ -145,10 +146,41 @@ SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id,
 FROM rows_ JOIN (SELECT reach.rid, min(o.vec_id) AS component_id FROM reach JOIN rows_ o ON o.rid = reach.other
   GROUP BY reach.rid) USING (rid) LEFT JOIN degree USING (rid)"""
 
+# --- licences -----------------------------------------------------------------------
+
+_TEMPLATES = ", ".join(
+    f"('{name}', {i}, {len(grams)}, '{g}')"
+    for name, texts in L.TEMPLATES.items()
+    for i, grams in enumerate(map(L.template_bigrams, texts))
+    for g in grams
+)
+OP8 = f"""WITH known(license, template, n_template, bigram) AS (VALUES {_TEMPLATES}),
+docs AS (SELECT row_number() OVER () AS rid, doc_id,
+    lower(regexp_replace(coalesce(text, ''), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')) AS plain FROM documents),
+parted AS (SELECT *, string_split(plain, chr(10)) AS lines, string_split_regex(plain, '\\n *\\n') AS paragraphs FROM docs),
+units AS (
+  SELECT rid, doc_id, 'line' AS unit, unnest(range(len(lines))) AS unit_no, unnest(lines) AS body FROM parted
+  UNION ALL SELECT * FROM (SELECT rid, doc_id, 'paragraph', unnest(range(len(paragraphs))), unnest(paragraphs) AS body
+    FROM parted) WHERE contains(body, chr(10))
+  UNION ALL SELECT rid, doc_id, 'document', 0, plain FROM parted WHERE len(paragraphs) > 1),
+worded AS (SELECT *, regexp_extract_all(body, '[^ \\n]+') AS w FROM units),
+grams AS (SELECT DISTINCT rid, doc_id, unit, unit_no, w[i] || ' ' || w[i + 1] AS bigram
+  FROM (SELECT *, unnest(range(1, len(w))) AS i FROM worded)),
+sized AS (SELECT *, count(*) OVER (PARTITION BY rid, unit, unit_no) AS n_bigrams FROM grams),
+counted AS (SELECT rid, doc_id, unit, unit_no, n_bigrams, license, template, n_template, count(*) AS shared
+  FROM sized JOIN known USING (bigram) GROUP BY ALL),
+hits AS (SELECT *, round(2 * shared / (n_bigrams + n_template), 6) AS dice FROM counted
+  WHERE 2 * shared / (n_bigrams + n_template) >= {L.THRESHOLD}),
+best AS (SELECT *, row_number() OVER (PARTITION BY rid, unit, unit_no ORDER BY dice DESC, license, template) AS k FROM hits)
+SELECT doc_id, unit, CAST(unit_no AS INTEGER) AS unit_no, license, CAST(shared AS BIGINT) AS shared,
+  CAST(n_bigrams AS INTEGER) AS n_bigrams, CAST(n_template AS INTEGER) AS n_template, CAST(dice AS DOUBLE) AS dice
+FROM best WHERE k = 1"""
+
 ORACLE: dict[str, str] = {
     "op1_warc": OP1,
     "op3_mixing": OP3,
     "op4_sharding": OP4,
     "op6_embedding_dedup": OP6,
+    "op8_licenses": OP8,
     "op10_quality_rules": OP10,
 }
