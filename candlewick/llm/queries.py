@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from candlewick.sources.scratch import materialise, scratch_path
 
-from . import bpe, embedding_dedup, license_scan, mixing, quality, secret_scan, sharding, simhash, warc
+from . import bpe, embedding_dedup, license_scan, mixing, passage_dedup, quality, secret_scan, sharding, simhash, warc
 from .common import table
 
 #: Name of the vocabulary file, found by the installed package of public tokenizers.
@@ -82,6 +82,10 @@ def op6_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
 
 
+def op7_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return passage_dedup.find(table(spark, folder, "documents"))
+
+
 def op8_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.find(table(spark, folder, "documents"))
 
@@ -107,6 +111,7 @@ QUERIES: dict[str, Query] = {
     "op4_sharding": op4_sharding,
     "op5_secrets": op5_secrets,
     "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_passages": op7_passages,
     "op8_licenses": op8_licenses,
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
