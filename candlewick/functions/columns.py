@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from candlewick import schemas as S
 
-_NUMBER = r"^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:nan|inf|infinity))$"
-_PLAIN_INTEGER = r"^[+-]?\d+$"
+_NUMBER = r"^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:nan|inf|infinity))\z"
+_PLAIN_INTEGER = r"^[+-]?\d+\z"
 
 
 def _col(c: Column | str) -> Column:

@@ -17,30 +17,55 @@ from candlewick.functions import is_finite, is_number, strict_date, tolerant_big
 
 from .ranking import rows_where
 
+READABLE = "_readable"
 KEYS = "_keys"
 DOC = "_doc"
 SERIES = "_series"
 ROWS = "_rows"
-PARSED = [KEYS, DOC, SERIES]
+PARSED = [READABLE, KEYS, DOC, SERIES]
 
 _OVERFLOW = 10.0 ** (S.PRICE.precision - S.PRICE.scale)
 
 
+def _last_wins(m: Column) -> Column:
+    """A map in which each key has the last of its values, as JSON readers have it.
+
+    Only a map with repeated keys is rebuilt.
+    """
+    keys = F.map_keys(m)
+    once = F.array_distinct(keys)
+    last = F.transform(once, lambda k: F.element_at(F.filter(F.map_entries(m), lambda e: e["key"] == k), -1)["value"])
+    return F.when(F.size(keys) > F.size(once), F.map_from_arrays(once, last)).otherwise(m)
+
+
+def _repeats(m: Column) -> Column:
+    return F.size(F.map_keys(m)) > F.size(F.array_distinct(F.map_keys(m)))
+
+
 def parse(df: DataFrame, payload: str = "payload", series_key: str = S.SERIES_KEY) -> DataFrame:
-    """Add top-level key names, the parsed document and its series map.
+    """Add whether the text is one JSON document, its key names, the parsed document and its series map.
 
-    ``_keys`` is null when the text is not one JSON object; ``{}`` gives an empty list.  A frame that is
-    parsed already comes back as it is, so steps in a row share one parse.
+    ``_keys`` is null when the text is not one JSON object; ``{}`` gives an empty list.  Of repeated dates and
+    fields the last one counts.  A series that is no map of maps is null.  A frame that is parsed already comes back
+    as it is, so steps in a row share one parse.
     """
     if KEYS in df.columns:
         return df
     text = F.col(payload)
-    # The key reader stops at the closing brace, so text after it needs its own test.
-    keys = F.when(F.rtrim(text).endswith("}"), F.json_object_keys(text))
+    # The other JSON readers stop at the end of the first document.
+    single = F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
+    by_date = F.col(SERIES)
     return (
-        df.withColumn(KEYS, keys)
-        .withColumn(DOC, F.from_json(text, S.payload_schema(series_key)))
-        .withColumn(SERIES, F.col(DOC)[series_key])
+        df.withColumn(READABLE, single)
+        .withColumn(KEYS, F.when(F.col(READABLE), F.json_object_keys(text)))
+        .withColumn(DOC, F.from_json(F.when(F.col(READABLE), text), S.payload_schema(series_key)))
+        .withColumn(SERIES, _last_wins(F.col(DOC)[series_key]))
+        .withColumn(
+            SERIES,
+            F.when(
+                F.exists(F.map_values(by_date), _repeats), F.transform_values(by_date, lambda _, row: _last_wins(row))
+            ).otherwise(by_date),
+        )
     )
 
 
@@ -49,6 +74,12 @@ def _has(key: str) -> Column:
     return F.coalesce(F.array_contains(KEYS, key), F.lit(False))
 
 
+def _malformed(series_key: str) -> Column:
+    """The series is there, but it is no map, or one of its entries is none."""
+    no_entry = F.exists(F.map_values(SERIES), lambda row: row.isNull())
+    return _has(series_key) & (F.col(SERIES).isNull() | F.coalesce(no_entry, F.lit(False)))
+
+
 def _marker(key: str) -> Column:
     return F.col(DOC)[key]
 
@@ -63,7 +94,7 @@ def classify(
     """Extraction envelope of each payload: success flag, error text and type, record count.
 
     The first rule that holds decides: transport failure (when such a column is named), unreadable
-    JSON, rate limit, business error, series present, and anything else is malformed.
+    JSON, rate limit, business error, series missing, series malformed.
     """
     limited = F.coalesce(_marker(S.NOTE_KEY).contains(S.RATE_LIMIT_PHRASE), F.lit(False))
     business = F.concat(
@@ -72,14 +103,14 @@ def classify(
     malformed = F.concat(
         F.lit("API response for "), F.col("symbol"), F.lit(" is malformed or empty.")
     )
-    # Other JSON values (a list, a number) are readable; an object that lost its end is not.
-    other_value = F.try_parse_json(payload).isNotNull() & ~F.ltrim(payload).startswith("{")
-    unreadable = F.col(KEYS).isNull() & ~F.coalesce(other_value, F.lit(False))
+    no_map = F.concat(F.lit("series of "), F.col("symbol"), F.lit(" is no map of rows"))
     rules = [
-        (unreadable, "JSONDecodeError", F.lit("Invalid JSON response from API")),
+        # Other JSON values (a list, a number) are readable; they have no series.
+        (~F.col(READABLE), "JSONDecodeError", F.lit("Invalid JSON response from API")),
         (limited, "APIValueError", F.lit(S.RATE_LIMIT_TEXT)),
         (_has(S.ERROR_KEY), "API_INVALID_CALL", business),
         (~_has(series_key), "APIValueError", malformed),
+        (_malformed(series_key), "AttributeError", no_map),
     ]
     if transport_error is not None:
         failed = F.col(transport_error)
@@ -166,6 +197,7 @@ def validate(
         (F.col(KEYS).isNull(), "unreadable", F.lit("not a JSON object")),
         (_has(S.ERROR_KEY), "error_marker", F.coalesce(_marker(S.ERROR_KEY), F.lit("None"))),
         (~_has(series_key), "missing_series", F.lit(series_key)),
+        (_malformed(series_key), "malformed_series", F.lit(series_key)),
         (_size() == 0, "empty_series", F.lit("no rows")),
         (_has_bad_date(), "invalid_date", _bad_dates().cast("string")),
         (F.size(missing) > 0, "missing_field", F.element_at(missing, 1)),
@@ -215,7 +247,7 @@ def quality_rule(opened: Column, close: Column, volume: Column) -> Column:
 def screen(df: DataFrame, payload: str = "payload", series_key: str = S.SERIES_KEY) -> DataFrame:
     """Parse and add the typed rows, and ``reject_reason``: what makes a load fail as a whole.
 
-    A load is all or nothing per payload, so one unusable date, a missing field, a price beyond the
+    A load is all or nothing per payload, so one unusable date, an entry that is no row, a missing field, a price beyond the
     stored type or an over-long symbol rejects it.  Other payloads go on.
     """
     fields = F.array(*[F.when(_lacks(f), F.lit(f)) for f in S.SERIES_FIELDS])
@@ -227,6 +259,7 @@ def screen(df: DataFrame, payload: str = "payload", series_key: str = S.SERIES_K
     reason = (
         F.when(F.col(KEYS).isNull(), "unreadable")
         .when(F.col("symbol").isNull() | (F.length("symbol") > S.MAX_SYMBOL_LENGTH), "symbol")
+        .when(_malformed(series_key), "malformed_series")
         .when(_size() == 0, F.lit(None))
         .when(lacks, "missing_field")
         .when(bad_date, "invalid_date")

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from candlewick.sources.scratch import materialise
+
 _RANK = "__rank"
 
 
@@ -34,15 +36,21 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
 
 
 def insert_or_ignore(
-    existing: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
+    existing: DataFrame,
+    batch: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column | str],
+    used: list[str] | None = None,
 ) -> DataFrame:
     """Rows of ``batch`` to append: the first per key, and only keys not stored yet.
 
     Stored keys are never updated.  The batch holds one row per key before the join, so no key is
-    hot in it.
+    hot in it.  It is written first: with its real size known, stored keys stream past the batch's where those can be
+    broadcast, and are neither shuffled nor sorted; the few hits are then taken out of the batch.
     """
-    fresh = first_per_key(batch, keys, order)
-    return fresh.join(existing.select(*keys), list(keys), "left_anti").select(*batch.columns)
+    fresh = materialise(first_per_key(batch, keys, order), "first-per-key", used)
+    hits = existing.select(*keys).join(fresh.select(*keys), list(keys), "left_semi")
+    return fresh.join(hits, list(keys), "left_anti").select(*batch.columns)
 
 
 def upserted(

@@ -3,64 +3,89 @@
 from __future__ import annotations
 
 import time
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candlewick import schemas as S
-from candlewick.operators.payload import PARSED, classify, screen, split_outcomes, validate
-from candlewick.operators.ranking import insert_or_ignore, rows_where
+from candlewick.operators.payload import PARSED, classify, screen, validate
+from candlewick.operators.ranking import insert_or_ignore
 from candlewick.operators.series import load_counts, standardise, typed_rows
 from candlewick.sources.bronze import write_bronze
-from candlewick.sources.scratch import materialise
-from candlewick.sources.tables import SILVER, append_audit, append_silver, read_table
+from candlewick.sources.scratch import discard, materialise
+from candlewick.sources.tables import append_audit, append_quarantine, append_silver, stored_years
 
 ORIGIN = ("loaded_at", "file_path")
 
 
 @dataclass(frozen=True)
 class Landing:
-    """What one landing run left out of bronze."""
+    """What one landing run left out of bronze, and symbol and key of what it wrote."""
 
     failed: DataFrame
     invalid: DataFrame
+    written: DataFrame
 
 
 def land_payloads(payloads: DataFrame, path: str, run_time: str) -> Landing:
     """Classify, drop failures, validate and write the rest to bronze.
 
-    ``payloads`` has ``symbol`` and ``payload``.  The run stops when no extraction succeeded.
+    ``payloads`` has ``symbol`` and ``payload``.  They are judged once, into a table that all the rest reads, so a
+    source that cannot be read twice alike gives one answer.  The run stops when no extraction succeeded.
     """
-    ok, failed = split_outcomes(classify(payloads, keep_parsed=True))
-    judged = validate(ok)
-    write_bronze(rows_where(judged, "is_valid"), path, run_time)
-    return Landing(failed.drop(*PARSED), rows_where(judged, ~F.col("is_valid")))
+    judged = materialise(validate(classify(payloads, keep_parsed=True)).drop(*PARSED), "judged-payloads")
+    ok, failed = judged.filter("success"), judged.filter("NOT success")
+    if ok.isEmpty():
+        raise ValueError("no extraction was successful")
+    written = write_bronze(ok.filter("is_valid"), path, run_time)
+    return Landing(failed.drop("is_valid", "failed_check", "detail"), ok.filter("NOT is_valid"), written)
 
 
 @dataclass(frozen=True)
 class Load:
-    """Counts per symbol and the payloads that were turned away."""
+    """Counts per symbol and the payloads that were turned away; both are stored as well.
+
+    ``release`` deletes the scratch tables they are read from.
+    """
 
     counts: DataFrame
     rejected: DataFrame
+    scratch: list[str] = field(default_factory=list)
+
+    def release(self) -> None:
+        discard(self.counts.sparkSession, self.scratch)
+
+
+class PayloadsRejected(Exception):
+    """A load that must be clean met payloads it had to turn away."""
 
 
-def bronze_to_silver(payloads: DataFrame, schema: str, run_time: str) -> Load:
+def bronze_to_silver(payloads: DataFrame, schema: str, run_time: str, raise_on_reject: bool = False) -> Load:
     """Load payloads (``symbol``, ``payload``, ``loaded_at``, ``file_path``) into silver.
 
-    Running it again, also after a failure half way, adds nothing twice.  One writer per table.
+    Rejected payloads go to the quarantine table with their reason; ``raise_on_reject`` stops the run after that, before
+    silver is touched.  Running it again, also after a failure half way, adds nothing twice.  One writer per table.
     """
     started = time.monotonic()
-    spark = payloads.sparkSession
+    used: list[str] = []
+    screened = screen(payloads).withColumn("rejected_text", F.when(F.col("reject_reason").isNotNull(), F.col("payload")))
     # Payload text is parsed once, into this table: kept rows, counts and rejects all read it.
-    typed = materialise(typed_rows(screen(payloads), ("symbol", *ORIGIN)), "typed-batch")
+    typed = materialise(typed_rows(screened, ("symbol", *ORIGIN, "rejected_text")), "typed-batch", used)
+    rejected = typed.filter("reject_reason IS NOT NULL").select(
+        "symbol", *ORIGIN, "reject_reason", F.col("rejected_text").alias("payload")
+    )
+    append_quarantine(rejected, schema)
+    if raise_on_reject:
+        first = rejected.first()
+        if first is not None:
+            raise PayloadsRejected(f"payload of {first['symbol']} in {first['file_path']}: {first['reject_reason']}")
     batch = standardise(typed, run_time, keep=ORIGIN)
-    stored = read_table(spark, schema, SILVER)
-    order = [*ORIGIN, *S.PRICE_COLUMNS, "volume"]
-    fresh = materialise(insert_or_ignore(stored, batch, S.SILVER_KEY, order), "new-rows")
+    # Landing time, then values: file names are random and only tell equal rows apart.
+    order = ["loaded_at", *S.PRICE_COLUMNS, "volume", "file_path"]
+    stored = stored_years(batch, schema)
+    fresh = materialise(insert_or_ignore(stored, batch, S.SILVER_KEY, order, used), "new-rows", used)
     append_silver(fresh, schema)
-    counts = materialise(load_counts(typed, fresh), "load-counts")
+    counts = materialise(load_counts(typed, fresh), "load-counts", used)
     append_audit(counts, schema, time.monotonic() - started)
-    rejected = typed.filter(F.col("reject_reason").isNotNull()).select("symbol", *ORIGIN, "reject_reason")
-    return Load(counts, rejected)
+    return Load(counts, rejected, used)

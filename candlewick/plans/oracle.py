@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from . import registry as R
 from . import views as V
-from .contracts import CALENDAR_CONTRACTS, CONTRACTS, FACT, STAGING
+from .contracts import CALENDAR_CONTRACTS, CONTRACTS, FACT, SILVER, SILVER_CONTRACTS, STAGING
 
-_CODE = "CASE p_type " + " ".join(f"WHEN '{t}' THEN '{c}'" for t, c in V.TYPE_CODES.items()) + " END"
+_CODE = "CASE p_type " + " ".join(f"WHEN '{t}' THEN '{c}'" for t, c in V.TYPE_CODES.items()) + " ELSE lower(p_type) END"
 _SYMBOL = f"lower(replace(p_brand, 'Brand#', 'b') || '.' || {_CODE})"
 
 _LINES = f"""lines AS (
@@ -140,15 +140,20 @@ _PAYLOADS = f"""ev AS (
     CAST(CAST(value AS DECIMAL(15,4)) AS VARCHAR) AS v, CAST(json_extract_string(props, '$.k') AS INT) AS k
   FROM events),
 payloads AS (SELECT event_id, 'U' || user_id AS symbol, {V.EVENT_PAYLOAD_SQL} AS payload FROM ev),
+single AS (
+  SELECT event_id, symbol, CASE WHEN event_type = 'view' AND k BETWEEN 80 AND 91
+    THEN {V._ONE_DAY} ELSE payload END AS payload FROM payloads JOIN ev USING (event_id)),
 docs AS (
-  SELECT *, CASE WHEN json_valid(payload) THEN CAST(payload AS JSON) END AS doc FROM payloads),
+  SELECT *, CASE WHEN json_valid(payload) THEN CAST(payload AS JSON) END AS doc FROM single),
 parts AS (
   SELECT *, list_contains(json_keys(doc), 'Weekly Adjusted Time Series') AS has_series,
     list_contains(json_keys(doc), 'Error Message') AS has_error, json_extract_string(doc, '$.Note') AS note,
     json_extract_string(doc, '$."Error Message"') AS error,
     json_extract(doc, '$."Weekly Adjusted Time Series"') AS series
   FROM docs),
-shaped AS (SELECT *, coalesce(len(json_keys(series)), 0) AS n_days, json_keys(series)[1] AS d FROM parts),
+kinds AS (SELECT *, has_series AND (json_type(series) <> 'OBJECT' OR CAST(series AS VARCHAR) LIKE '%:null%')
+    AS malformed, CASE WHEN json_type(series) = 'OBJECT' THEN series END AS days FROM parts),
+shaped AS (SELECT *, coalesce(len(json_keys(days)), 0) AS n_days, json_keys(days)[1] AS d FROM kinds),
 one_day AS (
   SELECT *, json_extract(series, '$."' || d || '"') AS obs FROM shaped),
 cells AS (
@@ -162,15 +167,16 @@ numbers AS (
   SELECT *, {_BAD_NUMBERS} AS n_bad FROM cells),
 judged AS (
   SELECT *, CASE WHEN doc IS NULL THEN 'unreadable' WHEN has_error THEN 'error_marker'
-      WHEN NOT has_series THEN 'missing_series' WHEN n_days = 0 THEN 'empty_series'
+      WHEN NOT has_series THEN 'missing_series' WHEN malformed THEN 'malformed_series' WHEN n_days = 0 THEN 'empty_series'
       WHEN NOT regexp_full_match(d, '\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN 'invalid_date'
       WHEN NOT list_has_all(fields, ['1. open', '4. close', '6. volume']) THEN 'missing_field'
       WHEN n_bad > 0 THEN 'not_numeric' END AS failed,
-    CASE WHEN doc IS NULL THEN 'unreadable' WHEN n_days = 0 THEN NULL WHEN len(fields) < 6 THEN 'missing_field'
+    CASE WHEN doc IS NULL THEN 'unreadable' WHEN malformed THEN 'malformed_series' WHEN n_days = 0 THEN NULL WHEN len(fields) < 6 THEN 'missing_field'
       WHEN NOT regexp_full_match(d, '\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN 'invalid_date' END AS reject,
     CASE WHEN doc IS NULL THEN 'JSONDecodeError'
       WHEN coalesce(note LIKE '%API call frequency%', FALSE) THEN 'APIValueError'
-      WHEN has_error THEN 'API_INVALID_CALL' WHEN NOT has_series THEN 'APIValueError' END AS etype
+      WHEN has_error THEN 'API_INVALID_CALL' WHEN NOT has_series THEN 'APIValueError'
+      WHEN malformed THEN 'AttributeError' END AS etype
   FROM numbers),
 accepted AS (
   SELECT *, n_days > 0 AND coalesce(try_cast(t_open AS DOUBLE) IS NOT NULL AND try_cast(t_close AS DOUBLE) >= 0
@@ -221,7 +227,7 @@ def _check_sql(check) -> str:
         )
     return _row(
         check,
-        f"SELECT CASE WHEN (SELECT typeof({c}) FROM {t} LIMIT 1) = '{o['type']}' THEN 0 ELSE 1 END",
+        f"SELECT count({c}) FROM {t} WHERE lower(typeof({c})) <> '{str(o['type']).lower()}'",
     )
 
 
@@ -326,12 +332,14 @@ SELECT event_id, symbol, etype IS NULL AS success, etype AS error_type,
     WHEN etype = 'API_INVALID_CALL' THEN 'API business error: ' || error
     WHEN etype = 'APIValueError' AND note LIKE '%API call frequency%'
       THEN 'Alpha Vantage Rate Limit Exceeded (5 calls/min or 500/day).'
+    WHEN etype = 'AttributeError' THEN 'series of ' || symbol || ' is no map of rows'
     WHEN etype = 'APIValueError' THEN 'API response for ' || symbol || ' is malformed or empty.' END AS error_msg,
   CASE WHEN etype IS NULL THEN CAST(n_days AS BIGINT) END AS record_count FROM judged""",
     "payload_validate": f"""{_ON_PAYLOADS}
 SELECT event_id, symbol, failed IS NULL AS is_valid, failed AS failed_check,
   CASE failed WHEN 'unreadable' THEN 'not a JSON object' WHEN 'error_marker' THEN error
-    WHEN 'missing_series' THEN 'Weekly Adjusted Time Series' WHEN 'empty_series' THEN 'no rows'
+    WHEN 'missing_series' THEN 'Weekly Adjusted Time Series' WHEN 'malformed_series' THEN 'Weekly Adjusted Time Series'
+    WHEN 'empty_series' THEN 'no rows'
     WHEN 'invalid_date' THEN '1' WHEN 'missing_field' THEN '6. volume'
     WHEN 'not_numeric' THEN CAST(n_bad AS VARCHAR)
   END AS detail FROM judged""",
@@ -380,8 +388,56 @@ FROM pages GROUP BY 1""",
   count(*) FILTER (WHERE l_returnflag = 'R') AS n_bad_rows, CAST(sum(l_orderkey) AS BIGINT) AS sum_orderkey
 FROM lineitem GROUP BY l_returnflag""",
     "bronze_round_trip": f"{_SILVER} SELECT {_SILVER_OUT} FROM prices",
-    "bronze_latest": f"""WITH {_LINES}
-SELECT DISTINCT symbol, CASE WHEN symbol LIKE '%ec' THEN '2002-01-08' ELSE '2002-01-01' END AS date FROM lines""",
+    "bronze_latest": f"""{_SILVER},
+landed AS (SELECT *, symbol LIKE '%ec' AS again, year(price_date) AS y FROM prices)
+SELECT symbol, CASE WHEN late THEN '2002-01-08' ELSE '2002-01-01' END AS date,
+  CASE WHEN late AND n_late > 0 THEN '103000' ELSE '000000' END AS run,
+  CASE WHEN late AND n_late > 0 THEN y_late ELSE y_all END AS n_payloads,
+  CASE WHEN late AND n_late > 0 THEN n_late ELSE n_all END AS n_rows
+FROM (SELECT symbol, bool_or(again) AS late, count(*) AS n_all, count(*) FILTER (y > 1994) AS n_late,
+  count(DISTINCT y) AS y_all, count(DISTINCT y) FILTER (y > 1994) AS y_late FROM landed GROUP BY symbol)""",
+    "load_rejects": f"""{_ON_PAYLOADS}
+SELECT symbol, reject AS reject_reason, count(*) AS n_payloads, CAST(sum(length(payload)) AS BIGINT) AS n_chars
+FROM (SELECT DISTINCT event_id, symbol, reject, payload FROM judged WHERE reject IS NOT NULL) GROUP BY 1, 2""",
+    "stream_rejects": f"""{_ON_PAYLOADS},
+audit AS (SELECT symbol, CAST(sum(n_days) AS BIGINT) AS p, count(*) FILTER (WHERE is_kept) AS i FROM accepted GROUP BY symbol),
+turned AS (SELECT symbol, count(*) AS n FROM judged WHERE reject IS NOT NULL GROUP BY symbol)
+SELECT symbol, coalesce(p, 0) AS rows_processed, coalesce(i, 0) AS rows_inserted, coalesce(p - i, 0) AS rows_rejected,
+  coalesce(n, 0) AS n_rejected FROM audit FULL JOIN turned USING (symbol)""",
+    "silver_contracts": f"""{_ON_PAYLOADS}, {SILVER} AS (SELECT DISTINCT ON (symbol, d) d AS price_date, symbol,
+  try_cast(t_adjusted AS DOUBLE) AS adjusted_close, try_cast(t_volume AS BIGINT) AS volume FROM accepted WHERE is_kept)
+{_checks(SILVER_CONTRACTS)}""",
+    "gold_catalog": f"""{_SILVER}
+SELECT upper(symbol) AS symbol, count(*) AS n_weeks, CAST(sum(volume) AS BIGINT) AS total_volume,
+  CAST(max(adjusted_close) AS DOUBLE) AS top_price FROM prices GROUP BY 1""",
+    "seed_file": f"{_GOLD} SELECT * FROM dim_stock",
+    "payload_transport": f"""{_ON_PAYLOADS}, typed AS (SELECT judged.*, ev.k, ev.event_type FROM judged JOIN ev USING (event_id)),
+named AS (SELECT *, event_type = 'error' AND k < 40 AS lost FROM typed)
+SELECT CASE WHEN lost THEN 'RequestException' ELSE etype END AS error_type,
+  CASE WHEN lost THEN 'Network/MTU Error: timed out after ' || k
+    WHEN etype = 'JSONDecodeError' THEN 'Invalid JSON response from API'
+    WHEN etype = 'API_INVALID_CALL' THEN 'API business error: ' || error
+    WHEN etype = 'APIValueError' AND note LIKE '%API call frequency%'
+      THEN 'Alpha Vantage Rate Limit Exceeded (5 calls/min or 500/day).'
+    WHEN etype = 'AttributeError' THEN 'series of ' || symbol || ' is no map of rows'
+    WHEN etype = 'APIValueError' THEN 'API response for ' || symbol || ' is malformed or empty.' END AS error_msg,
+  count(*) AS n_payloads FROM named GROUP BY 1, 2""",
+    "column_types": f"""{_ON_MART}, counted AS (SELECT count(*) AS n, count(*) FILTER (low_price <> 0) AS v,
+    count(*) FILTER (open_price <> 0) AS w FROM stg),
+listed(table_name, column_name, type, n_values) AS (
+  {" UNION ALL ".join(
+      f"SELECT '{t}', '{c}', '{k}', {n} FROM counted" for t, c, k, n in [
+          ("staging", "trade_date", "date", "n"), ("staging", "trade_volume", "bigint", "n"),
+          ("staging", "_processing_date", "date", "n"),
+          *[("staging", f"{c}_price", "decimal(15,4)", "n") for c in ("open", "high", "low", "close", "adjusted_close")],
+          *[("fact", f"{c}_price", "decimal(15,4)", "n") for c in ("open", "high", "low", "adjusted_close")],
+          ("fact", "trade_volume", "bigint", "n"), ("fact", "weekly_return_abs", "decimal(16,4)", "n"),
+          ("fact", "weekly_return_pct", "decimal(20,4)", "w"), ("fact", "trading_range_abs", "decimal(16,4)", "n"),
+          ("fact", "volatility_pct", "decimal(20,4)", "v"), ("mart", "date", "date", "n"),
+          ("mart", "adjusted_close_price", "decimal(15,4)", "n"), ("mart", "weekly_return_pct", "decimal(20,4)", "w"),
+          ("mart", "volatility_pct", "decimal(20,4)", "v"), ("mart", "trade_volume", "bigint", "n"),
+      ]
+  )}) SELECT * FROM listed""",
     "silver_load": f"{_SILVER} SELECT {_SILVER_OUT} FROM prices",
     "audit_table": f"""{_ON_PAYLOADS}
 SELECT 'transform_load_silver' AS pipeline_step, symbol AS stock_symbol,

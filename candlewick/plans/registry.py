@@ -26,14 +26,14 @@ from candlewick.operators.series import flatten, load_counts, standardise, toler
 from candlewick.operators.stats import grouped_quantiles, share_of_total, with_zscore
 from candlewick.operators.universe import in_universe, universe
 from candlewick.sources.bronze import latest_bronze, read_bronze, write_bronze
-from candlewick.sources.files import read_csv
+from candlewick.sources.files import read_csv, read_seed
 from candlewick.sources.scratch import materialise, scratch_path
-from candlewick.sources.tables import AUDIT, SILVER, read_table, setup_tables
-from candlewick.streaming.pickup import pick_up
+from candlewick.sources.tables import AUDIT, QUARANTINE, SILVER, read_table, setup_tables
+from candlewick.streaming.pickup import pick_up, refresh
 
 from . import mart as M
 from . import views as V
-from .contracts import CALENDAR_CONTRACTS
+from .contracts import CALENDAR_CONTRACTS, SILVER_CONTRACTS
 from .gold import Gold, build_dim_date, build_dim_stock, build_gold, build_staging, check_gold
 from .load import bronze_to_silver, land_payloads
 
@@ -404,22 +404,114 @@ def bronze_round_trip(spark, folder):
 
 
 def bronze_latest(spark, folder):
-    """Two landings: the files of the later one are the newest of every symbol that has one."""
+    """Three landings, two of them on one day: the newest of each symbol with all its payloads and rows."""
     path = scratch_path(spark, "bronze")
     rows = materialise(V.silver(spark, folder), "prices")
     packed = V.price_payloads(rows)
     write_bronze(packed, path, RUN_TIME)
     write_bronze(packed.filter(F.col("symbol").endswith("ec")), path, "2002-01-08 00:00:00")
-    newest = latest_bronze(spark, path)
-    return plain(newest.groupBy("symbol").agg(F.max("date").alias("date")))
+    later = rows.filter(F.col("symbol").endswith("ec") & (F.year("price_date") > 1994))
+    write_bronze(V.price_payloads(later), path, "2002-01-08 10:30:00")
+    newest = parse(latest_bronze(spark, path))
+    return plain(
+        newest.groupBy("symbol", "date", "run").agg(
+            F.count(F.lit(1)).alias("n_payloads"), F.sum(F.size("_series")).cast("bigint").alias("n_rows")
+        )
+    )
 
 
-def _fresh_schema(spark, buckets=None):
+def _fresh_schema(spark):
     name = f"cw_{uuid.uuid4().hex}"
-    setup_tables(spark, name, scratch_path(spark, name), buckets)
+    setup_tables(spark, name, scratch_path(spark, name))
     return name
 
 
+def _event_load(spark, folder):
+    return V.event_payloads(spark, folder).select(
+        "symbol",
+        "payload",
+        F.lit(RUN_TIME).cast("timestamp").alias("loaded_at"),
+        F.format_string("event-%012d", "event_id").alias("file_path"),
+    )
+
+
+def load_rejects(spark, folder):
+    """Event payloads loaded twice: what the quarantine holds, by symbol and reason."""
+    schema = _fresh_schema(spark)
+    for _ in range(2):
+        bronze_to_silver(_event_load(spark, folder), schema, RUN_TIME)
+    kept = read_table(spark, schema, QUARANTINE)
+    return kept.groupBy("symbol", "reject_reason").agg(
+        F.count(F.lit(1)).alias("n_payloads"), F.sum(F.length("payload")).alias("n_chars")
+    )
+
+
+def stream_rejects(spark, folder):
+    """Event payloads as files, bad ones included, picked up by the stream: kept, filtered and rejected per symbol."""
+    path, schema = scratch_path(spark, "bronze"), _fresh_schema(spark)
+    write_bronze(V.event_payloads(spark, folder), path, RUN_TIME)
+    pick_up(spark, path, schema, scratch_path(spark, "pickup"), RUN_TIME)
+    audit = read_table(spark, schema, AUDIT).select(
+        F.col("stock_symbol").alias("symbol"), "rows_processed", "rows_inserted", "rows_rejected"
+    )
+    turned = read_table(spark, schema, QUARANTINE).groupBy("symbol").agg(F.count(F.lit(1)).alias("n_rejected"))
+    return audit.join(turned, "symbol", "full").na.fill(0)
+
+
+def silver_contracts(spark, folder):
+    """The contracts of silver, on a table loaded from the event payloads."""
+    schema = _fresh_schema(spark)
+    bronze_to_silver(_event_load(spark, folder), schema, RUN_TIME)
+    return Q.run_checks({SILVER: read_table(spark, schema, SILVER)}, SILVER_CONTRACTS)
+
+
+def gold_catalog(spark, folder):
+    """Catalog models built from the early weeks, then refreshed after the later ones have landed."""
+    path, schema = scratch_path(spark, "bronze"), _fresh_schema(spark)
+    checkpoint, rows = scratch_path(spark, "pickup"), materialise(V.silver(spark, folder), "prices")
+    early = F.year("price_date") < 1998
+    for part in (rows.filter(early), rows.filter(~early)):
+        write_bronze(V.price_payloads(part), path, RUN_TIME)
+        refresh(spark, path, schema, V.seed(spark, folder), checkpoint, RUN_TIME)
+    fact = read_table(spark, schema, "fact_adjusted_prices").join(read_table(spark, schema, "dim_stock"), "stock_id")
+    return plain(
+        fact.groupBy("symbol").agg(
+            F.count(F.lit(1)).alias("n_weeks"),
+            F.sum("trade_volume").alias("total_volume"),
+            F.max("adjusted_close_price").alias("top_price"),
+        )
+    )
+
+
+def seed_file(spark, folder):
+    """The metadata written as CSV and read back as a seed, which the stock dimension is built from."""
+    path = scratch_path(spark, "seed")
+    V.seed(spark, folder).write.option("header", True).csv(path)
+    staging = build_staging(V.silver(spark, folder))
+    return plain(build_dim_stock(staging, read_seed(spark, path), V.TYPE_GROUPS).drop("created_at"))
+
+
+def payload_transport(spark, folder):
+    """Outcomes where every error event with a low number stands for a request that failed."""
+    events = V.table(spark, folder, "events").select("event_id", "event_type", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    lost = F.when((F.col("event_type") == "error") & (F.col("k") < 40), F.concat(F.lit("timed out after "), F.col("k").cast("string")))
+    payloads = V.event_payloads(spark, folder).join(events.select("event_id", lost.alias("lost")), "event_id")
+    rows = classify(payloads, transport_error="lost")
+    return rows.groupBy("error_type", "error_msg").agg(F.count(F.lit(1)).alias("n_payloads"))
+
+
+def column_types(spark, folder):
+    """Types that the models give their columns, with the number of values."""
+    gold = _gold(spark, folder)
+    parts = []
+    for name, df in (("staging", gold.staging), ("fact", gold.fact), ("mart", M.gold_mart(gold))):
+        wanted = [f.name for f in df.schema if isinstance(f.dataType, (T.DecimalType, T.DateType, T.LongType))]
+        cells = [F.struct(F.lit(c).alias("column_name"), F.typeof(c).alias("type"), F.col(c).isNotNull().alias("has")) for c in wanted]
+        parts.append(df.select(F.lit(name).alias("table_name"), F.inline(F.array(*cells))))
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.groupBy("table_name", "column_name", "type").agg(F.count_if("has").alias("n_values"))
+
+
 def silver_load(spark, folder):
     """Bronze files loaded twice into a silver table: the second load adds nothing."""
     path, schema = scratch_path(spark, "bronze"), _fresh_schema(spark)
@@ -432,13 +524,7 @@ def silver_load(spark, folder):
 def audit_table(spark, folder):
     """Audit rows of one load of the event payloads."""
     schema = _fresh_schema(spark)
-    payloads = V.event_payloads(spark, folder).select(
-        "symbol",
-        "payload",
-        F.lit(RUN_TIME).cast("timestamp").alias("loaded_at"),
-        F.format_string("event-%012d", "event_id").alias("file_path"),
-    )
-    bronze_to_silver(payloads, schema, RUN_TIME)
+    bronze_to_silver(_event_load(spark, folder), schema, RUN_TIME)
     audit = read_table(spark, schema, AUDIT)
     return plain(audit.select("pipeline_step", "stock_symbol", "rows_processed", "rows_inserted", "rows_rejected"))
 
@@ -458,16 +544,15 @@ def stream_pick_up(spark, folder):
 # --- checks -----------------------------------------------------------------------
 
 
-def _check_tables(spark, folder):
-    return {
-        name: V.table(spark, folder, name)
-        for name in ("lineitem", "orders", "customer", "supplier", "part", "pages", "events", "nation", "region")
-    }
+def _check_tables(spark, folder, checks):
+    """The tables that the checks name, and no others."""
+    names = {c.table for c in checks} | {str(c.options["to"]) for c in checks if "to" in c.options}
+    return {name: V.table(spark, folder, name) for name in sorted(names)}
 
 
 def _checked(*checks: Q.Check) -> Query:
     def query(spark, folder):
-        return Q.run_checks(_check_tables(spark, folder), checks)
+        return Q.run_checks(_check_tables(spark, folder, checks), checks)
 
     return query
 
@@ -508,6 +593,8 @@ DQ_MATCHES = [
 DQ_TYPE = [
     Q.has_type("lineitem", "l_orderkey", "BIGINT"),
     Q.has_type("lineitem", "l_quantity", "BIGINT"),
+    Q.between("lineitem", "l_quantity", 1, 45),
+    Q.has_type("events", "value", "DECIMAL(15,4)"),
 ]
 
 
@@ -525,13 +612,14 @@ def dq_calendar(spark, folder):
 
 def dq_orphans(spark, folder):
     """Part keys of order lines that are no supplier key, with their line counts."""
-    tables = _check_tables(spark, folder)
-    return Q.orphan_keys(tables["lineitem"], "l_partkey", tables["supplier"], "s_suppkey")
+    lines, suppliers = (V.table(spark, folder, name) for name in ("lineitem", "supplier"))
+    return Q.orphan_keys(lines, "l_partkey", suppliers, "s_suppkey")
 
 
 def dq_row_conditions(spark, folder):
     """Severity split of the fired checks."""
-    report = Q.run_checks(_check_tables(spark, folder), [*DQ_ACCEPTED, *DQ_BETWEEN, *DQ_MATCHES])
+    checks = [*DQ_ACCEPTED, *DQ_BETWEEN, *DQ_MATCHES]
+    report = Q.run_checks(_check_tables(spark, folder, checks), checks)
     fired = report.filter(F.col("n_violations") > 0)
     return fired.groupBy("severity").agg(
         F.count(F.lit(1)).alias("n_checks"), F.sum("n_violations").alias("n_violations")
@@ -588,6 +676,13 @@ QUERIES: dict[str, Query] = {
     "silver_load": silver_load,
     "audit_table": audit_table,
     "stream_pick_up": stream_pick_up,
+    "load_rejects": load_rejects,
+    "stream_rejects": stream_rejects,
+    "silver_contracts": silver_contracts,
+    "gold_catalog": gold_catalog,
+    "seed_file": seed_file,
+    "payload_transport": payload_transport,
+    "column_types": column_types,
     "dq_not_null": _checked(*DQ_NOT_NULL),
     "dq_unique": _checked(*DQ_UNIQUE),
     "dq_unique_combination": _checked(*DQ_UNIQUE_COMBINATION),

@@ -37,7 +37,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def _symbol():
     codes = F.create_map(*[F.lit(x) for pair in TYPE_CODES.items() for x in pair])
-    return F.concat(F.lower(F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("b"))), F.lit("."), codes[F.col("p_type")])
+    code = F.coalesce(F.try_element_at(codes, F.col("p_type")), F.lower("p_type"))
+    return F.concat(F.lower(F.replace(F.col("p_brand"), F.lit("Brand#"), F.lit("b"))), F.lit("."), code)
 
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,6 +118,9 @@ _ROW = (
     '\'{"1. open":"\' || v || \'","2. high":"\' || v || \'","3. low":"\' || v || \'","4. close":"\' || v'
     ' || \'","5. adjusted close":"\' || v || \'","6. volume":"\' || k || \'"}\''
 )
+_ONE_DAY = f'''('{{"{_SERIES}":{{"' || day || '":' || {_ROW} || '}}}}')'''
+# Another row under the same date: it comes first, so it does not count.
+_OLD = f"replace({_ROW}, '\"1. open\":\"', '\"1. open\":\"9')"
 EVENT_PAYLOAD_SQL = f"""
 CASE
   WHEN event_type = 'click' THEN '{{"{_SERIES}":{{"' || day || '":' || {_ROW} || '}}}}'
@@ -129,7 +133,14 @@ CASE
   WHEN event_type = 'signup' AND k < 50 THEN '{{"Note":"our standard API call frequency is 5 per minute"}}'
   WHEN event_type = 'signup' THEN '{{"Note":"welcome","{_SERIES}":{{"' || day || '":' || {_ROW} || '}}}}'
   WHEN event_type = 'view' AND k < 33 THEN '{{"Information":"maintenance"}}'
-  WHEN event_type = 'view' AND k < 66 THEN '{{bad ' || v
+  WHEN event_type = 'view' AND k < 50 THEN '{{bad ' || v
+  WHEN event_type = 'view' AND k < 56 THEN {_ONE_DAY} || {_ONE_DAY}
+  WHEN event_type = 'view' AND k < 62 THEN {_ONE_DAY} || ' x}}'
+  WHEN event_type = 'view' AND k < 68 THEN '{{"{_SERIES}":null}}'
+  WHEN event_type = 'view' AND k < 74 THEN '{{"{_SERIES}":"' || v || '"}}'
+  WHEN event_type = 'view' AND k < 80 THEN '{{"{_SERIES}":{{"2001-01-05":' || {_ROW} || ',"2001-01-12":null}}}}'
+  WHEN event_type = 'view' AND k < 86 THEN '{{"{_SERIES}":{{"' || day || '":' || {_OLD} || ',"' || day || '":' || {_ROW} || '}}}}'
+  WHEN event_type = 'view' AND k < 92 THEN '{{"{_SERIES}":{{"' || day || '":' || replace({_ROW}, '{{', '{{"1. open":"7","6. volume":"9",') || '}}}}'
   ELSE '{{}}'
 END"""
 

@@ -31,6 +31,7 @@ DEFAULT_UNIVERSE = '["IBM", "MSFT"]'
 AUDIT_STEP = "transform_load_silver"
 TICKER_PATTERN = r"^[A-Z0-9\.]+$"
 MAX_SYMBOL_LENGTH = 10
+MAX_SOURCE_LENGTH = 50
 
 # Public surrogate-key convention of the dbt_utils package.
 KEY_NULL_SENTINEL = "_dbt_utils_surrogate_key_null_"
@@ -99,15 +100,30 @@ AUDIT_SCHEMA = T.StructType(
         T.StructField("audit_id", T.StringType(), False),
         T.StructField("pipeline_step", T.StringType(), False),
         T.StructField("stock_symbol", T.StringType(), False),
-        T.StructField("rows_processed", T.IntegerType()),
-        T.StructField("rows_inserted", T.IntegerType()),
-        T.StructField("rows_rejected", T.IntegerType()),
+        T.StructField("rows_processed", T.LongType()),
+        T.StructField("rows_inserted", T.LongType()),
+        T.StructField("rows_rejected", T.LongType()),
+        T.StructField("rows_new", T.LongType()),
         T.StructField("duration_seconds", T.DoubleType()),
         T.StructField("run_timestamp", T.TimestampType()),
     ]
 )
 
 
+QUARANTINE_SCHEMA = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("loaded_at", T.TimestampType()),
+        T.StructField("file_path", T.StringType()),
+        T.StructField("reject_reason", T.StringType(), False),
+        T.StructField("payload", T.StringType()),
+    ]
+)
+
+# Silver is stored by this year of its date, which the schema above does not show.
+SILVER_PART = "price_year"
+
+
 def payload_schema(series_key: str = SERIES_KEY) -> T.StructType:
     """Payload document: optional text markers and a map date -> field -> text."""
     fields = T.MapType(T.StringType(), T.StringType())

@@ -1,13 +1,17 @@
-"""Raw payload files under ``symbol=<s>/date=<d>/``."""
+"""Raw payload files under ``symbol=<s>/date=<d>/run=<HHMMSS>/``.
+
+One run lands a symbol in one folder, however many files it takes, so the newest landing of a symbol is the greatest
+(date, run) and all of its files.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
 
 from candlewick.functions import strict_date
-from candlewick.operators.ranking import first_per_key
 
 from .scratch import materialise
 
@@ -17,82 +21,111 @@ BRONZE_SCHEMA = T.StructType(
         T.StructField("payload", T.StringType()),
         T.StructField("symbol", T.StringType()),
         T.StructField("date", T.StringType()),
+        T.StructField("run", T.StringType()),
     ]
 )
 
 
-def write_bronze(payloads: DataFrame, path: str, run_time: str) -> None:
-    """Append payloads (``symbol``, ``payload``) for one run.
+# Characters that Spark writes as %XX in the names of partition folders.
+_ESCAPED = {*"\"#%'*/:=?\\{[]^\x7f", *map(chr, range(1, 32))}
+
+
+def folder_name(value: str) -> str:
+    return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
+
+
+def write_bronze(payloads: DataFrame, path: str, run_time: str) -> DataFrame:
+    """Append payloads (``symbol``, ``payload``) of one run; returns ``symbol`` and ``key`` of what it wrote.
 
     One line per payload.  JSON has no raw line breaks inside strings, so those between tokens are
     replaced by blanks and the document stays the same.
     """
-    day = F.lit(run_time).cast("timestamp_ntz").cast("date")
+    at = F.lit(run_time).cast("timestamp_ntz")
+    day, run = F.date_format(at, "yyyy-MM-dd"), F.date_format(at, "HHmmss")
     (
         payloads.select(
             F.regexp_replace("payload", r"[\r\n]+", " ").alias("payload"),
             "symbol",
-            F.date_format(day, "yyyy-MM-dd").alias("date"),
+            day.alias("date"),
+            run.alias("run"),
         )
         # A few files per symbol instead of one per task; a large symbol is split again.
         .hint("rebalance", "symbol")
         .write.mode("append")
-        .partitionBy("symbol", "date")
+        .partitionBy("symbol", "date", "run")
         .text(path)
     )
+    key = F.concat(F.lit("symbol="), "symbol", F.lit("/date="), day, F.lit("/run="), run)
+    return payloads.select("symbol").distinct().select("symbol", key.alias("key"))
 
 
-def with_origin(df: DataFrame) -> DataFrame:
-    """Add the file's modification time and path, which order payloads of one symbol."""
-    return df.filter(F.length(F.trim("payload")) > 0).select(
+def with_origin(df: DataFrame, whole_files: bool = False) -> DataFrame:
+    """Add landing time and file of each payload; the time orders payloads of one symbol.
+
+    Blank lines are no payloads; a blank file is one, and unreadable.
+    """
+    rows = df if whole_files else df.filter(F.length(F.trim("payload")) > 0)
+    landed = F.try_to_timestamp(F.concat_ws(" ", "date", F.coalesce("run", F.lit("000000"))), F.lit("yyyy-MM-dd HHmmss"))
+    return rows.select(
         "symbol",
         strict_date("date").alias("date"),
+        "run",
         "payload",
-        F.col("_metadata.file_modification_time").alias("loaded_at"),
+        landed.alias("loaded_at"),
         F.col("_metadata.file_path").alias("file_path"),
     )
 
 
+def _scan(spark: SparkSession, path: str, whole_files: bool, symbol: str | None = None) -> DataFrame:
+    """Payload lines or files, of one symbol's folder only when one is named."""
+    reader = spark.read.schema(BRONZE_SCHEMA).option("basePath", path)
+    return reader.text(path if symbol is None else f"{path}/symbol={folder_name(symbol)}", wholetext=whole_files)
+
+
 def read_bronze(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
     """All payloads: one per line, or one per file for documents printed over several lines."""
-    return with_origin(spark.read.schema(BRONZE_SCHEMA).text(path, wholetext=whole_files))
+    return with_origin(_scan(spark, path, whole_files), whole_files)
 
 
-def newest_files(spark: SparkSession, path: str) -> DataFrame:
-    """Symbol, date and path of the newest file of each symbol, from the listing alone.
+def newest_landings(spark: SparkSession, path: str, symbol: str | None = None) -> DataFrame:
+    """Symbol, date and run of the newest landing of each symbol, from the listing alone.
 
     ``content`` is pruned from the binary scan, so no payload is read for this.
     """
+    folder = path if symbol is None else f"{path}/symbol={folder_name(symbol)}"
     # Folder names escape special characters, but leave a plus as it is.
-    symbol = F.replace(F.regexp_extract("path", r"/symbol=([^/]+)/", 1), F.lit("+"), F.lit("%2B"))
+    name = F.replace(F.regexp_extract("path", r"/symbol=([^/]+)/", 1), F.lit("+"), F.lit("%2B"))
     listing = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .load(path)
+        .load(folder)
         .select(
-            F.url_decode(symbol).alias("symbol"),
-            F.regexp_extract("path", r"/date=([^/]+)/", 1).alias("date"),
-            F.col("_metadata.file_path").alias("file_path"),
-            F.col("modificationTime").alias("modified"),
+            F.url_decode(name).alias("symbol"),
+            F.struct(
+                F.regexp_extract("path", r"/date=([^/]+)/", 1).alias("date"),
+                F.regexp_extract("path", r"/run=([^/]+)/", 1).alias("run"),
+            ).alias("at"),
         )
     )
-    newest = first_per_key(listing, ["symbol"], [F.desc("modified"), F.desc("file_path")])
-    return newest.select("symbol", "date", "file_path")
+    return listing.filter("symbol <> ''").groupBy("symbol").agg(F.max("at").alias("at")).select("symbol", "at.*")
 
 
 def latest_bronze(
     spark: SparkSession, path: str, whole_files: bool = False, symbol: str | None = None
 ) -> DataFrame:
-    """Payloads of the newest file of each symbol, or of one symbol; finding none is an error.
+    """Payloads of the newest landing of each symbol, or of one symbol; finding none is an error.
 
-    The written list is small beside the payloads, and its dates and symbols prune the partitions that
-    the payload scan opens.
+    The written list is small beside the payloads, and its dates, runs and symbols prune the partitions that
+    the payload scan opens.  With a symbol, nothing but its folder is listed.
     """
-    newest = materialise(newest_files(spark, path), "newest-files")
-    newest = newest.filter(F.col("symbol") != "" if symbol is None else F.col("symbol") == symbol)
+    try:
+        newest = materialise(newest_landings(spark, path, symbol), "newest-landings")
+    except AnalysisException as e:
+        if symbol is None or "PATH_NOT_FOUND" not in str(e):
+            raise
+        raise ValueError(f"no payload files for {symbol} under {path}") from e
     if newest.isEmpty():
         raise ValueError(f"no payload files for {symbol or 'any symbol'} under {path}")
-    payloads = spark.read.schema(BRONZE_SCHEMA).text(path, wholetext=whole_files)
-    located = payloads.select("*", "_metadata").withColumn("file_path", F.col("_metadata.file_path"))
-    chosen = located.join(newest, ["symbol", "date", "file_path"], "left_semi")
-    return with_origin(chosen)
+    located = _scan(spark, path, whole_files, symbol).select("*", "_metadata")
+    chosen = located.join(newest, ["symbol", "date", "run"], "left_semi")
+    return with_origin(chosen, whole_files)

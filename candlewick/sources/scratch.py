@@ -35,9 +35,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{_root(spark)}/candlewick/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return the written table."""
+def materialise(df: DataFrame, label: str, used: list[str] | None = None) -> DataFrame:
+    """Write ``df`` once and return the written table; its folder is added to ``used``."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    if used is not None:
+        used.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete scratch folders whose results are stored elsewhere."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+    paths.clear()

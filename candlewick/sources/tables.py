@@ -10,38 +10,44 @@ from pyspark.sql import types as T
 
 from candlewick import schemas as S
 
+from .scratch import discard, materialise
+
 log = logging.getLogger(__name__)
 
 SILVER = "weekly_adjusted_prices"
 AUDIT = "pipeline_audit"
+QUARANTINE = "payload_quarantine"
 
 
 def _columns(schema: T.StructType) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema)
 
 
-def setup_tables(
-    spark: SparkSession, schema: str, location: str | None = None, buckets: int | None = None
-) -> None:
-    """Create the schema, the silver table and the audit table where missing.
+def setup_tables(spark: SparkSession, schema: str, location: str | None = None) -> None:
+    """Create the schema and the silver, audit and quarantine tables where missing.
 
-    Silver is bucketed on its whole key.  The key is unique, so buckets are even whatever the share
-    of one symbol, and the anti-join of a load reads stored keys without shuffling them.
+    Silver is stored by year, so a load compares its keys with the years it touches and no others.
     """
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{where}")
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {schema}.{SILVER} ({_columns(S.SILVER_SCHEMA)}) USING parquet "
-        f"CLUSTERED BY ({', '.join(S.SILVER_KEY)}) SORTED BY (symbol, price_date) INTO {buckets} BUCKETS"
-    )
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {schema}.{AUDIT} ({_columns(S.AUDIT_SCHEMA)}) USING parquet"
+        f"CREATE TABLE IF NOT EXISTS {schema}.{SILVER} ({_columns(S.SILVER_SCHEMA)}, {S.SILVER_PART} int) USING parquet "
+        f"PARTITIONED BY ({S.SILVER_PART})"
     )
+    for name, columns in ((AUDIT, S.AUDIT_SCHEMA), (QUARANTINE, S.QUARANTINE_SCHEMA)):
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.{name} ({_columns(columns)}) USING parquet")
 
 
 def read_table(spark: SparkSession, schema: str, name: str) -> DataFrame:
-    return spark.table(f"{schema}.{name}")
+    df = spark.table(f"{schema}.{name}")
+    return df.drop(S.SILVER_PART) if name == SILVER else df
+
+
+def stored_years(batch: DataFrame, schema: str) -> DataFrame:
+    """Silver of the years that a batch touches; the number of years is the calendar's."""
+    years = [r[0] for r in batch.select(F.year("price_date")).distinct().collect()]
+    stored = batch.sparkSession.table(f"{schema}.{SILVER}")
+    return stored.filter(F.col(S.SILVER_PART).isin(years)).drop(S.SILVER_PART)
 
 
 def write_model(df: DataFrame, schema: str, name: str) -> DataFrame:
@@ -51,31 +57,67 @@ def write_model(df: DataFrame, schema: str, name: str) -> DataFrame:
 
 
 def _complete(rows: DataFrame) -> DataFrame:
-    """Column defaults of the silver table; a missing key stops the write."""
+    """Column defaults of the silver table; a missing key or an over-long text stops the write."""
     silver = {f.name: f for f in S.SILVER_SCHEMA}
-    keys = {
-        name: F.coalesce(name, F.raise_error(F.lit(f"{name} is null")).cast(silver[name].dataType))
-        for name in S.SILVER_KEY
-    }
+
+    def refuse(name: str, what: str):
+        return F.raise_error(F.lit(f"{name} {what}")).cast(silver[name].dataType)
+
+    def short(name: str, c, most: int):
+        return F.when(F.length(c) > most, refuse(name, f"is longer than {most}")).otherwise(c)
+
+    source = F.coalesce("_data_source", F.lit(S.DATA_SOURCE))
+    symbol = short("symbol", F.col("symbol"), S.MAX_SYMBOL_LENGTH)
     return rows.withColumns(
         {
-            **keys,
-            "_data_source": F.coalesce("_data_source", F.lit(S.DATA_SOURCE)),
+            "price_date": F.coalesce("price_date", refuse("price_date", "is null")),
+            "symbol": F.coalesce(symbol, refuse("symbol", "is null")),
+            "_data_source": short("_data_source", source, S.MAX_SOURCE_LENGTH),
             "_processing_date": F.coalesce("_processing_date", F.current_date()),
         }
-    ).select(*silver)
+    ).select(*silver, F.year("price_date").alias(S.SILVER_PART))
 
 
 def append_silver(rows: DataFrame, schema: str) -> None:
-    """Append rows as new files; they become visible when the job commits."""
-    spark = rows.sparkSession
-    table = f"{schema}.{SILVER}"
-    rows = _complete(rows)
-    buckets = spark.sql(f"DESCRIBE EXTENDED {table}").filter("col_name = 'Num Buckets'").first()
-    if buckets is not None:
-        # Same hash as the table's buckets: each task then writes one file.
-        rows = rows.repartition(int(buckets["data_type"]), *S.SILVER_KEY)
-    rows.write.insertInto(table)
+    """Append rows as new files; they become visible when the job commits.
+
+    A year gets one file from a small load, and several of the advised size from a large one.
+    """
+    _complete(rows).hint("rebalance", S.SILVER_PART).sortWithinPartitions(S.SILVER_PART, "price_date", "symbol").write.insertInto(
+        f"{schema}.{SILVER}"
+    )
+
+
+def compact_silver(spark: SparkSession, schema: str, max_files: int = 16) -> list[int]:
+    """Write the years that have more than ``max_files`` files anew; returns them.
+
+    Their rows are copied to scratch first, so a failure in between leaves the table as it was.
+    """
+    table = spark.table(f"{schema}.{SILVER}")
+    files = table.select(S.SILVER_PART, F.col("_metadata.file_path").alias("file")).distinct()
+    counts = files.groupBy(S.SILVER_PART).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_files)
+    years = sorted(r[S.SILVER_PART] for r in counts.collect())
+    if years:
+        used: list[str] = []
+        rows = materialise(table.filter(F.col(S.SILVER_PART).isin(years)), "compact-years", used)
+        rows.hint("rebalance", S.SILVER_PART).sortWithinPartitions(S.SILVER_PART, "price_date", "symbol").write.option(
+            "partitionOverwriteMode", "dynamic"
+        ).insertInto(f"{schema}.{SILVER}", overwrite=True)
+        discard(spark, used)
+    return years
+
+
+def append_quarantine(rejected: DataFrame, schema: str) -> None:
+    """Keep rejected payloads with reason and origin; one that is there already is not stored again."""
+    columns = S.QUARANTINE_SCHEMA.names
+    stored = rejected.sparkSession.table(f"{schema}.{QUARANTINE}")
+
+    def marked(df: DataFrame) -> DataFrame:
+        return df.withColumn("__id", F.xxhash64(*columns)).withColumn("__text", F.md5(F.coalesce("payload", F.lit(""))))
+
+    known = marked(stored).join(marked(rejected).select("__id", "__text").distinct(), ["__id", "__text"], "left_semi")
+    new = marked(rejected).join(known.select("__id", "__text").distinct(), ["__id", "__text"], "left_anti")
+    new.select(*columns).write.insertInto(f"{schema}.{QUARANTINE}")
 
 
 def append_audit(metrics: DataFrame, schema: str, duration_seconds: float = 0.0) -> bool:
@@ -86,7 +128,7 @@ def append_audit(metrics: DataFrame, schema: str, duration_seconds: float = 0.0)
         c = F.coalesce(F.col(name), F.lit(default)) if name in have else F.lit(default)
         return c.cast(dtype)
 
-    processed, loaded = pick("rows_processed", 0, "int"), pick("rows_loaded", 0, "int")
+    processed, loaded = pick("rows_processed", 0, "bigint"), pick("rows_loaded", 0, "bigint")
     rows = metrics.select(
         F.uuid().alias("audit_id"),
         F.lit(S.AUDIT_STEP).alias("pipeline_step"),
@@ -94,6 +136,7 @@ def append_audit(metrics: DataFrame, schema: str, duration_seconds: float = 0.0)
         processed.alias("rows_processed"),
         loaded.alias("rows_inserted"),
         (processed - loaded).alias("rows_rejected"),
+        pick("rows_new", 0, "bigint").alias("rows_new"),
         pick("duration_seconds", duration_seconds, "double").alias("duration_seconds"),
         F.current_timestamp().alias("run_timestamp"),
     )

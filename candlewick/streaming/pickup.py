@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from candlewick.plans.gold import Gold, build_gold
-from candlewick.plans.load import bronze_to_silver
+from candlewick.plans.load import Load, bronze_to_silver
 from candlewick.sources.bronze import BRONZE_SCHEMA, with_origin
 from candlewick.sources.tables import SILVER, read_table
 
@@ -20,23 +20,26 @@ def pick_up(
     run_time: str,
     whole_files: bool = False,
     files_per_batch: int | None = None,
-    on_batch: Callable[[DataFrame], None] | None = None,
+    on_batch: Callable[[Load], None] | None = None,
+    raise_on_reject: bool = False,
 ) -> None:
     """Load all files not seen under ``checkpoint`` yet, then stop.
 
-    A batch that is delivered again is harmless, because the load ignores stored keys.
+    A batch that is delivered again is harmless, because the load ignores stored keys.  ``on_batch`` gets the whole load;
+    its scratch tables are deleted after that.
     """
     reader = spark.readStream.schema(BRONZE_SCHEMA)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
     def load(batch: DataFrame, _: int) -> None:
-        result = bronze_to_silver(batch, schema, run_time)
+        result = bronze_to_silver(batch, schema, run_time, raise_on_reject)
         if on_batch is not None:
-            on_batch(result.counts)
+            on_batch(result)
+        result.release()
 
     query = (
-        with_origin(reader.text(path, wholetext=whole_files))
+        with_origin(reader.text(path, wholetext=whole_files), whole_files)
         .writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(load)

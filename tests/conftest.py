@@ -23,7 +23,7 @@ def spark():
 def schema(spark):
     """Empty silver and audit tables under a schema of their own."""
     name = f"t_{uuid.uuid4().hex}"
-    setup_tables(spark, name, scratch_path(spark, name), buckets=4)
+    setup_tables(spark, name, scratch_path(spark, name))
     return name
 
 

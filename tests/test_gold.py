@@ -44,8 +44,8 @@ def silver(spark, *rows):
 @pytest.fixture(scope="module")
 def gold(spark):
     rows = [
-        (" ibm ", WEEK, 152, 158, 151, 154, 2000),
-        ("V", WEEK, 0, 158, 0, 154, 10),
+        (" ibm ", WEEK, 80, 84, 75, 81, 600),
+        ("V", WEEK, 0, 33, 0, 30, 10),
         ("NEW", WEEK, 1, 2, 1, 1, 5),
         ("V", dt.date(2021, 9, 4), 1, 2, 1, 3, 7),
         ("MSFT", WEEK, 1, 2, 1, None, 9),
@@ -98,7 +98,7 @@ def test_fact_measures(gold):
     got = {(r["stock_id"], r["date_id"]): r for r in gold.fact.collect()}
     ibm = got[ids["IBM"], days[WEEK]]
     assert [str(ibm[c]) for c in ("weekly_return_abs", "weekly_return_pct", "trading_range_abs", "volatility_pct")] == [
-        "2.0000", "0.0132", "7.0000", "0.0464",
+        "1.0000", "0.0125", "9.0000", "0.1200",
     ]
     v = got[ids["V"], days[WEEK]]
     assert v["weekly_return_pct"] is None and v["volatility_pct"] is None
@@ -170,7 +170,7 @@ def test_mart(gold):
     assert str(newest_first(mart).first()["date"]) == "2021-09-04"
     assert [r["symbol"] for r in price_trend(mart).collect()] == ["IBM", "NEW", "V", "V"]
     share = {r["sector_group"]: r["volume_share"] for r in volume_share(mart).collect()}
-    assert share["Tech & Comm"] == pytest.approx(2000 / 2022)
+    assert share["Tech & Comm"] == pytest.approx(600 / 622)
 
 
 def test_indicators_of_an_empty_selection(gold):

@@ -26,19 +26,19 @@ def silver(spark, schema):
 
 def test_first_value_of_a_key_stays(spark, schema):
     other = {**GOOD, "4. close": "1"}
-    bronze_to_silver(frame(spark, ("A", payload({"2023-10-27": GOOD}))), schema, NOW)
+    bronze_to_silver(frame(spark, ("A", payload({"2019-03-15": GOOD}))), schema, NOW)
     result = bronze_to_silver(
-        frame(spark, ("A", payload({"2023-10-27": other, "2023-11-03": other}))), schema, "2025-12-08 09:30:00"
+        frame(spark, ("A", payload({"2019-03-15": other, "2019-03-22": other}))), schema, "2025-12-08 09:30:00"
     )
     got = silver(spark, schema)
-    assert got["A", "2023-10-27"]["close"] == Decimal("155.0000")
-    assert got["A", "2023-11-03"]["close"] == Decimal("1.0000")
+    assert got["A", "2019-03-15"]["close"] == Decimal("46.1250")
+    assert got["A", "2019-03-22"]["close"] == Decimal("1.0000")
     row = result.counts.first()
     assert (row["rows_processed"], row["rows_loaded"], row["rows_new"]) == (2, 2, 1)
 
 
 def test_loading_twice_is_loading_once(spark, schema):
-    batch = frame(spark, *[(f"S{i}", payload({"2023-10-27": GOOD, "2023-11-03": GOOD})) for i in range(20)])
+    batch = frame(spark, *[(f"S{i}", payload({"2019-03-15": GOOD, "2019-03-22": GOOD})) for i in range(20)])
     bronze_to_silver(batch, schema, NOW)
     once = silver(spark, schema)
     bronze_to_silver(batch, schema, NOW)
@@ -47,19 +47,19 @@ def test_loading_twice_is_loading_once(spark, schema):
 
 def test_duplicate_in_one_batch_keeps_the_first_file(spark, schema):
     late = {**GOOD, "4. close": "1"}
-    batch = frame(spark, ("A", payload({"2023-10-27": GOOD})), ("A", payload({"2023-10-27": late})))
+    batch = frame(spark, ("A", payload({"2019-03-15": GOOD})), ("A", payload({"2019-03-15": late})))
     result = bronze_to_silver(batch, schema, NOW)
-    assert silver(spark, schema)["A", "2023-10-27"]["close"] == Decimal("155.0000")
+    assert silver(spark, schema)["A", "2019-03-15"]["close"] == Decimal("46.1250")
     assert tuple(result.counts.select("rows_processed", "rows_loaded", "rows_new").first()) == (2, 2, 1)
 
 
 def test_bad_payload_is_rejected_whole_and_others_go_on(spark, schema):
     batch = frame(
         spark,
-        ("BAD", payload({"2023-10-27": GOOD, "2023-13-01": GOOD})),
+        ("BAD", payload({"2019-03-15": GOOD, "2023-13-01": GOOD})),
         ("TEXT", "{bad"),
-        ("GOOD", payload({"2023-10-20": NEGATIVE, "2023-10-27": GOOD})),
-        ("NONE", payload({"2023-10-20": NEGATIVE})),
+        ("GOOD", payload({"2019-03-08": NEGATIVE, "2019-03-15": GOOD})),
+        ("NONE", payload({"2019-03-08": NEGATIVE})),
         ("EMPTY", payload({})),
     )
     result = bronze_to_silver(batch, schema, NOW)
@@ -84,7 +84,7 @@ def test_kept_and_dropped_rows_make_up_the_payload(spark, schema):
 
 
 def test_silver_meets_its_contracts(spark, schema):
-    bronze_to_silver(frame(spark, ("A", payload({"2023-10-27": GOOD}))), schema, NOW)
+    bronze_to_silver(frame(spark, ("A", payload({"2019-03-15": GOOD}))), schema, NOW)
     report = run_checks({SILVER: read_table(spark, schema, SILVER)}, SILVER_CONTRACTS)
     assert report.filter("n_violations > 0").count() == 0
 
@@ -93,7 +93,7 @@ def test_hot_key_sends_one_row_per_task(spark):
     keys = ["price_date", "symbol"]
     batch = spark.range(20000).select(
         F.when(F.col("id") % 3 > 0, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("symbol"),
-        F.lit("2023-10-27").cast("date").alias("price_date"),
+        F.lit("2019-03-15").cast("date").alias("price_date"),
         F.col("id").alias("v"),
     )
     existing = batch.filter("v = 0").select("price_date", "symbol", F.lit(-1).cast("bigint").alias("v"))
@@ -106,7 +106,7 @@ def test_hot_key_sends_one_row_per_task(spark):
 
 def test_stored_keys_are_not_shuffled(spark, schema):
     batch = spark.range(10).select(
-        F.date_add(F.lit("2023-10-27").cast("date"), F.col("id").cast("int")).alias("price_date"),
+        F.date_add(F.lit("2019-03-15").cast("date"), F.col("id").cast("int")).alias("price_date"),
         F.concat(F.lit("S"), "id").alias("symbol"),
         *[F.lit(1).cast(S.PRICE).alias(c) for c in S.PRICE_COLUMNS],
         F.lit(1).cast("bigint").alias("volume"),
@@ -127,7 +127,7 @@ def test_stored_keys_are_not_shuffled(spark, schema):
 
 
 def test_silver_defaults_and_keys(spark, schema):
-    row = {"symbol": "A", "price_date": "2023-10-27"}
+    row = {"symbol": "A", "price_date": "2019-03-15"}
     columns = [F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in S.SILVER_SCHEMA]
     rows = spark.range(1).select(*columns)
     append_silver(rows, schema)
@@ -151,21 +151,21 @@ def test_audit_defaults(spark, schema):
 
 def test_landing_and_numeric_tickers(spark, folder):
     rows = [
-        ("600519", payload({"2023-10-27": GOOD})),
-        ("IBM", json.dumps({SERIES: {"2023-10-27": GOOD}}, indent=1)),
+        ("600519", payload({"2019-03-15": GOOD})),
+        ("IBM", json.dumps({SERIES: {"2019-03-15": GOOD}}, indent=1)),
         ("LIM", json.dumps({"Note": "API call frequency"})),
-        ("BAD", payload({"2023-10-27": without("6. volume")})),
+        ("BAD", payload({"2019-03-15": without("6. volume")})),
     ]
     landing = land_payloads(frame(spark, *rows), folder, NOW)
     assert [r["symbol"] for r in landing.failed.collect()] == ["LIM"]
     assert [r["failed_check"] for r in landing.invalid.collect()] == ["missing_field"]
     back = read_bronze(spark, folder)
     assert {(r["symbol"], str(r["date"])) for r in back.collect()} == {("600519", "2025-12-01"), ("IBM", "2025-12-01")}
-    assert all(json.loads(r["payload"])[SERIES]["2023-10-27"] == GOOD for r in back.collect())
+    assert all(json.loads(r["payload"])[SERIES]["2019-03-15"] == GOOD for r in back.collect())
 
 
 def test_printed_documents_are_read_per_file(spark, folder):
-    text = json.dumps({SERIES: {"2023-10-27": GOOD}}, indent=2)
+    text = json.dumps({SERIES: {"2019-03-15": GOOD}}, indent=2)
     path = f"{folder}/symbol=A/date=2025-12-01"
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
     assert [r["payload"].strip() for r in read_bronze(spark, folder, whole_files=True).collect()] == [text]
@@ -173,10 +173,10 @@ def test_printed_documents_are_read_per_file(spark, folder):
 
 def test_latest_file_per_symbol(spark, folder):
     both = ("A", "B+#1 x")
-    write_bronze(frame(spark, *[(name, payload({"2023-10-20": GOOD})) for name in both]), folder, NOW)
-    write_bronze(frame(spark, ("A", payload({"2023-10-27": GOOD}))), folder, "2025-12-08 09:30:00")
+    write_bronze(frame(spark, *[(name, payload({"2019-03-08": GOOD})) for name in both]), folder, NOW)
+    write_bronze(frame(spark, ("A", payload({"2019-03-15": GOOD}))), folder, "2025-12-08 09:30:00")
     latest = latest_bronze(spark, folder)
-    got = {r["symbol"]: (str(r["date"]), "2023-10-27" in r["payload"]) for r in latest.collect()}
+    got = {r["symbol"]: (str(r["date"]), "2019-03-15" in r["payload"]) for r in latest.collect()}
     assert got == {"A": ("2025-12-08", True), "B+#1 x": ("2025-12-01", False)}
     plan = latest._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan
@@ -194,17 +194,17 @@ def test_stream_picks_up_each_file_once(spark, schema, folder):
             on_batch=lambda counts: seen.append({r["symbol"]: r["rows_processed"] for r in counts.collect()}),
         )
 
-    write_bronze(frame(spark, ("A", payload({"2023-10-27": GOOD})), ("B", payload({"2023-10-27": GOOD}))), folder, NOW)
+    write_bronze(frame(spark, ("A", payload({"2019-03-15": GOOD})), ("B", payload({"2019-03-15": GOOD}))), folder, NOW)
     run()
-    write_bronze(frame(spark, ("A", payload({"2023-10-27": GOOD, "2023-11-03": GOOD}))), folder, NOW)
+    write_bronze(frame(spark, ("A", payload({"2019-03-15": GOOD, "2019-03-22": GOOD}))), folder, NOW)
     run()
     run()
     assert seen == [{"A": 1, "B": 1}, {"A": 2}]
-    assert set(silver(spark, schema)) == {("A", "2023-10-27"), ("A", "2023-11-03"), ("B", "2023-10-27")}
+    assert set(silver(spark, schema)) == {("A", "2019-03-15"), ("A", "2019-03-22"), ("B", "2019-03-15")}
 
 
 def test_refresh_builds_gold_in_the_catalog(spark, schema, folder):
-    write_bronze(frame(spark, ("ibm", payload({"2023-10-27": GOOD})), ("ZZZ", payload({"2023-10-27": GOOD}))), folder, NOW)
+    write_bronze(frame(spark, ("ibm", payload({"2019-03-15": GOOD})), ("ZZZ", payload({"2019-03-15": GOOD}))), folder, NOW)
     gold = refresh(spark, folder, schema, default_seed(spark), scratch_path(spark, "pickup"), NOW)
     assert spark.table(f"{schema}.fact_adjusted_prices").count() == 2
     assert check_gold(gold, raise_errors=True).filter("n_violations > 0").count() == 0

@@ -25,7 +25,7 @@ from helpers import GOOD, NEGATIVE, SERIES, frame, payload, without
 NOW = "2025-12-01 09:30:00"
 
 CASES = {
-    "good": payload({"2023-10-27": GOOD}),
+    "good": payload({"2019-03-15": GOOD}),
     "no_series": "{}",
     "empty": payload({}),
     "null_series": json.dumps({SERIES: None}),
@@ -33,21 +33,25 @@ CASES = {
     "error_null": json.dumps({"Error Message": None}),
     "limit": json.dumps({"Note": "... API call frequency ..."}),
     "info": json.dumps({"Information": "x"}),
-    "note_data": payload({"2023-10-27": GOOD}, Note="hello"),
-    "bad_date": payload({"2023-10-27": GOOD, "2023-13-40": GOOD}),
-    "no_volume": payload({"2023-10-27": without("6. volume")}),
-    "ragged": payload({"2023-10-20": without("6. volume"), "2023-10-27": GOOD}),
-    "text_close": payload({"2023-10-27": {**GOOD, "4. close": "abc"}}),
-    "bad_extra": payload({"2023-10-27": {**GOOD, "7. dividend amount": "none"}}),
+    "note_data": payload({"2019-03-15": GOOD}, Note="hello"),
+    "bad_date": payload({"2019-03-15": GOOD, "2023-13-40": GOOD}),
+    "no_volume": payload({"2019-03-15": without("6. volume")}),
+    "ragged": payload({"2019-03-08": without("6. volume"), "2019-03-15": GOOD}),
+    "text_close": payload({"2019-03-15": {**GOOD, "4. close": "abc"}}),
+    "bad_extra": payload({"2019-03-15": {**GOOD, "7. dividend amount": "none"}}),
     "bad_text": "{bad",
-    "cut_off": payload({"2023-10-27": GOOD})[:-1],
+    "cut_off": payload({"2019-03-15": GOOD})[:-1],
     "trailing": "{} rest",
+    "two_docs": payload({"2019-03-15": GOOD}) + payload({"2019-03-22": GOOD}),
+    "text_series": json.dumps({SERIES: "none"}),
+    "text_entry": payload({"2019-03-15": GOOD, "2019-03-22": "oops"}),
+    "null_entry": payload({"2019-03-15": GOOD, "2019-03-22": None}),
     "list": "[1]",
-    "error_and_data": payload({"2023-10-27": GOOD}, **{"Error Message": "late"}),
-    "huge": payload({"2023-10-27": {**GOOD, "2. high": "1e11"}}),
-    "huge_dropped": payload({"2023-10-27": {**GOOD, "2. high": "1e11", "4. close": "-1"}}),
-    "no_dividend": payload({"2023-10-27": without("7. dividend amount")}),
-    "long_symbol_x": payload({"2023-10-27": GOOD}),
+    "error_and_data": payload({"2019-03-15": GOOD}, **{"Error Message": "late"}),
+    "huge": payload({"2019-03-15": {**GOOD, "2. high": "1e11"}}),
+    "huge_dropped": payload({"2019-03-15": {**GOOD, "2. high": "1e11", "4. close": "-1"}}),
+    "no_dividend": payload({"2019-03-15": without("7. dividend amount")}),
+    "long_symbol_x": payload({"2019-03-15": GOOD}),
 }
 
 
@@ -62,13 +66,15 @@ def by_symbol(df, *columns):
 
 def test_outcomes(cases):
     got = by_symbol(classify(cases), "success", "error_type", "record_count")
-    ok = {"good": 1, "empty": 0, "null_series": 0, "note_data": 1, "bad_date": 2, "ragged": 2, "huge": 1}
+    ok = {"good": 1, "empty": 0, "note_data": 1, "bad_date": 2, "ragged": 2, "huge": 1}
     for name, n in ok.items():
         assert got[name] == (True, None, n), name
     assert got["error"] == got["error_null"] == got["error_and_data"] == (False, "API_INVALID_CALL", None)
     for name in ("limit", "info", "no_series", "list"):
         assert got[name] == (False, "APIValueError", None), name
-    for name in ("bad_text", "cut_off", "trailing"):
+    for name in ("null_series", "text_series", "text_entry", "null_entry"):
+        assert got[name] == (False, "AttributeError", None), name
+    for name in ("bad_text", "cut_off", "trailing", "two_docs"):
         assert got[name] == (False, "JSONDecodeError", None), name
 
 
@@ -93,7 +99,7 @@ def test_split(spark, cases):
     ok, failed = split_outcomes(classified)
     assert ok.count() + failed.count() == len(CASES)
     counts = {r["error_type"]: r["n_failed"] for r in failure_counts(classified).collect()}
-    assert counts == {"API_INVALID_CALL": 3, "APIValueError": 4, "JSONDecodeError": 3}
+    assert counts == {"API_INVALID_CALL": 3, "APIValueError": 4, "AttributeError": 4, "JSONDecodeError": 4}
     with pytest.raises(ValueError):
         split_outcomes(classify(frame(spark, ("A", "{}"))))
     unknown = classified.withColumn("success", F.lit(None).cast("boolean"))
@@ -107,7 +113,9 @@ def test_validation(cases):
     want = {
         "no_series": "missing_series",
         "empty": "empty_series",
-        "null_series": "empty_series",
+        "null_series": "malformed_series",
+        "null_entry": "malformed_series",
+        "two_docs": "unreadable",
         "error": "error_marker",
         "error_and_data": "error_marker",
         "limit": "missing_series",
@@ -131,6 +139,9 @@ def test_screen(cases):
     got = {s: r for s, (r,) in by_symbol(screen(cases), "reject_reason").items()}
     want = {
         "bad_text": "unreadable",
+        "two_docs": "unreadable",
+        "text_entry": "malformed_series",
+        "null_entry": "malformed_series",
         "bad_date": "invalid_date",
         "no_volume": "missing_field",
         "huge": "overflow",
@@ -142,19 +153,33 @@ def test_screen(cases):
         assert got[name] is None or len(name) > S.MAX_SYMBOL_LENGTH, name
 
 
-def test_negative_close_is_removed(spark):
-    raw = flatten(parse(frame(spark, ("AAPL", payload({"2023-10-20": NEGATIVE, "2023-10-27": GOOD})))))
-    assert raw.count() == 2
+def test_last_of_repeated_keys_counts(spark):
+    row = lambda o, c: json.dumps({**GOOD, "1. open": o, "4. close": c})
+    twice = f'{{"{SERIES}": {{"2019-03-15": {row("1", "5")}, "2019-03-15": {row("7", "9")}}}}}'
+    fields = f'{{"{SERIES}": {{"2019-03-15": {{"1. open": "3", {json.dumps(GOOD)[1:]}}}}}'
+    df = frame(spark, ("twice", twice), ("fields", fields))
+    assert by_symbol(classify(df), "record_count") == {"twice": (1,), "fields": (1,)}
+    got = by_symbol(standardise(typed_rows(screen(df)), NOW), "open", "close")
+    assert {k: tuple(map(float, v)) for k, v in got.items()} == {"twice": (7, 9), "fields": (40.25, 46.125)}
+
+
+def test_a_line_break_ends_no_number(spark):
+    df = frame(spark, ("A", payload({"2019-03-15": {**GOOD, "6. volume": "1\n"}})))
+    assert standardise(typed_rows(screen(df)), NOW).count() == 0
+
+
+def test_rows_below_zero_are_dropped_each_for_itself(spark):
+    days = {f"2018-06-{d:02d}": {**GOOD, "4. close": str(3 - d), "6. volume": str(9 - d)} for d in range(1, 13)}
+    raw = flatten(parse(frame(spark, ("QQX", payload(days)))))
     kept = standardise(tolerant_casts(raw), NOW)
-    assert kept.count() == 1
-    assert kept.filter("close < 0").count() == 0
+    assert sorted(str(r["price_date"]) for r in kept.collect()) == ["2018-06-01", "2018-06-02", "2018-06-03"]
     assert kept.columns == S.SILVER_SCHEMA.names
 
 
-def test_types_after_casts(spark):
-    typed = tolerant_casts(flatten(parse(frame(spark, ("AAPL", payload({"2023-10-27": GOOD}))))))
-    kinds = {f.name: f.dataType for f in typed.schema}
-    assert (kinds["close"], kinds["volume"], kinds["price_date"]) == (T.DoubleType(), T.LongType(), T.DateType())
+def test_stored_types(spark):
+    typed = tolerant_casts(flatten(parse(frame(spark, ("N", payload({"2001-02-03": {f: "1" for f in GOOD}}))))))
+    doubles = {f.name for f in typed.schema if isinstance(f.dataType, T.DoubleType)}
+    assert doubles == set(S.PRICE_COLUMNS) and dict(typed.dtypes)["volume"] == "bigint"
     stored = standardise(typed, NOW)
     assert [f.dataType for f in stored.schema] == [f.dataType for f in S.SILVER_SCHEMA]
 
@@ -173,7 +198,7 @@ ROWS = {
 
 @pytest.mark.parametrize("path", ["text", "typed"])
 def test_quality_rule(spark, path):
-    df = frame(spark, *[(name, payload({"2023-10-27": row})) for name, row in ROWS.items()])
+    df = frame(spark, *[(name, payload({"2019-03-15": row})) for name, row in ROWS.items()])
     typed = tolerant_casts(flatten(parse(df))) if path == "text" else typed_rows(screen(df))
     got = by_symbol(standardise(typed, NOW), "open", "high", "low", "adjusted_close")
     assert set(got) == {"keep", "neg_open", "nan_high", "null_adj"}
