@@ -127,5 +127,6 @@ def latest_bronze(
     if newest.isEmpty():
         raise ValueError(f"no payload files for {symbol or 'any symbol'} under {path}")
     located = _scan(spark, path, whole_files, symbol).select("*", "_metadata")
-    chosen = located.join(newest, ["symbol", "date", "run"], "left_semi")
+    # The optimizer prunes partitions by a table that it sees a predicate on.
+    chosen = located.join(newest.filter("symbol <> ''"), ["symbol", "date", "run"], "left_semi")
     return with_origin(chosen, whole_files)

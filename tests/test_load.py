@@ -5,13 +5,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlewick import schemas as S
-from candlewick.operators import insert_or_ignore, upserted
+from candlewick.operators import first_per_key, insert_or_ignore, upserted
 from candlewick.plans import SILVER_CONTRACTS, bronze_to_silver, build_gold, check_gold, land_payloads
+from candlewick.plans.load import PayloadsRejected
 from candlewick.operators.checks import run_checks
 from candlewick.sources import append_audit, default_seed, latest_bronze, read_bronze, read_csv, read_seed, read_table
 from candlewick.sources.bronze import write_bronze
 from candlewick.sources.scratch import materialise, scratch_path
-from candlewick.sources.tables import AUDIT, SILVER, append_silver
+from candlewick.sources.tables import AUDIT, QUARANTINE, SILVER, append_silver, compact_silver, stored_years
 from candlewick.streaming import pick_up, refresh
 
 from helpers import GOOD, NEGATIVE, SERIES, frame, payload, without
@@ -98,13 +99,13 @@ def test_hot_key_sends_one_row_per_task(spark):
     )
     existing = batch.filter("v = 0").select("price_date", "symbol", F.lit(-1).cast("bigint").alias("v"))
     fresh = insert_or_ignore(existing, batch, keys, ["v"])
-    assert "WindowGroupLimit" in fresh._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in first_per_key(batch, keys, ["v"])._jdf.queryExecution().executedPlan().toString()
     assert fresh.filter("symbol = 'HOT'").first()["v"] == 1
     assert fresh.count() == 20000 // 3 + 1 and fresh.filter("v = 0").count() == 0
     assert upserted(existing, batch, keys, ["v"]).count() == fresh.count() + 1
 
 
-def test_stored_keys_are_not_shuffled(spark, schema):
+def test_stored_keys_are_neither_shuffled_nor_sorted(spark, schema):
     batch = spark.range(10).select(
         F.date_add(F.lit("2019-03-15").cast("date"), F.col("id").cast("int")).alias("price_date"),
         F.concat(F.lit("S"), "id").alias("symbol"),
@@ -114,16 +115,19 @@ def test_stored_keys_are_not_shuffled(spark, schema):
         F.lit("x").alias("_data_source"),
         F.current_date().alias("_processing_date"),
     )
-    append_silver(batch, schema)
+    old = batch.withColumn("price_date", F.add_months("price_date", -24))
+    append_silver(batch.unionByName(old), schema)
+    used = []
+    plan = insert_or_ignore(stored_years(batch, schema), batch, S.SILVER_KEY, ["volume"], used)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in text and "Sort " not in text
+    assert {f.split("price_year=")[1][:4] for f in stored_years(batch, schema).inputFiles()} == {"2019"}
+    assert plan.count() == 0 and len(used) == 1
     try:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        plan = insert_or_ignore(read_table(spark, schema, SILVER), batch, S.SILVER_KEY, ["volume"])
-        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert insert_or_ignore(stored_years(batch, schema), batch, S.SILVER_KEY, ["volume"]).count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "Bucketed: true" in text
-    assert text.count("Exchange hashpartitioning") == 1
-    assert plan.count() == 0
 
 
 def test_silver_defaults_and_keys(spark, schema):
@@ -137,6 +141,78 @@ def test_silver_defaults_and_keys(spark, schema):
         append_silver(rows.withColumn("symbol", F.lit(None).cast("string")), schema)
 
 
+def test_long_texts_stop_the_write(spark, schema):
+    row = {"symbol": "A" * 11, "price_date": "2019-03-15"}
+    rows = spark.range(1).select(*[F.lit(row.get(f.name)).cast(f.dataType).alias(f.name) for f in S.SILVER_SCHEMA])
+    with pytest.raises(Exception, match="symbol is longer than 10"):
+        append_silver(rows, schema)
+
+
+def test_small_files_are_compacted(spark, schema):
+    for i in range(3):
+        bronze_to_silver(frame(spark, (f"S{i}", payload({"2019-03-15": GOOD, "2018-03-16": GOOD}))), schema, NOW).release()
+    before = silver(spark, schema)
+    assert compact_silver(spark, schema, max_files=2) == [2018, 2019]
+    assert silver(spark, schema) == before
+    assert len(read_table(spark, schema, SILVER).inputFiles()) == 2 and compact_silver(spark, schema, max_files=2) == []
+
+
+def test_rejected_payloads_are_kept_once(spark, schema):
+    batch = frame(spark, ("A", payload({"2019-03-15": GOOD})), ("B", "{bad"), ("C", json.dumps({SERIES: None})))
+    for _ in range(2):
+        load = bronze_to_silver(batch, schema, NOW)
+    kept = {r["symbol"]: (r["reject_reason"], r["payload"], r["file_path"]) for r in read_table(spark, schema, QUARANTINE).collect()}
+    assert kept == {"B": ("unreadable", "{bad", "file-001"), "C": ("malformed_series", json.dumps({SERIES: None}), "file-002")}
+    assert read_table(spark, schema, QUARANTINE).count() == 2
+    load.release()
+    with pytest.raises(PayloadsRejected):
+        bronze_to_silver(frame(spark, ("D", "{bad")), schema, NOW, raise_on_reject=True)
+    assert set(silver(spark, schema)) == {("A", "2019-03-15")}
+    assert {r["symbol"] for r in read_table(spark, schema, QUARANTINE).collect()} == {"B", "C", "D"}
+
+
+def test_the_source_is_judged_once(spark, folder):
+    seen = spark.sparkContext.accumulator(0)
+    rows = [("A", payload({"2019-03-15": GOOD})), ("B", "{bad"), ("C", payload({"2019-03-15": without("6. volume")}))]
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    source = frame(spark, *rows).mapInArrow(count, frame(spark, *rows).schema)
+    landing = land_payloads(source, folder, NOW)
+    assert landing.failed.count() == landing.invalid.count() == 1
+    assert [tuple(r) for r in landing.written.collect()] == [("A", "symbol=A/date=2025-12-01/run=093000")]
+    assert seen.value == 3
+
+
+def test_a_landing_in_several_files_is_complete(spark, folder):
+    rows = [("HOT", payload({"2019-03-15": {**GOOD, "6. volume": str(i)}})) for i in range(400)]
+    many = frame(spark, *rows, ("S1", rows[0][1])).repartition(8)
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        write_bronze(frame(spark, ("HOT", rows[0][1])), folder, NOW)
+        write_bronze(many, folder, "2025-12-01 10:00:00")
+    finally:
+        for k in sizes:
+            spark.conf.unset(k)
+    latest = latest_bronze(spark, folder)
+    assert latest.filter("symbol = 'HOT'").select("file_path").distinct().count() > 1
+    assert {r["symbol"]: r["count"] for r in latest.groupBy("symbol").count().collect()} == {"HOT": 400, "S1": 1}
+    assert {r["run"] for r in latest.collect()} == {"100000"}
+
+
+def test_blank_files_are_rejected(spark, schema, folder):
+    path = f"{folder}/symbol=A/date=2025-12-01/run=093000"
+    spark.createDataFrame([(" ",)], "value string").coalesce(1).write.text(path)
+    assert read_bronze(spark, folder).count() == 0
+    load = bronze_to_silver(read_bronze(spark, folder, whole_files=True), schema, NOW)
+    assert [r["reject_reason"] for r in load.rejected.collect()] == ["unreadable"]
+
+
 def test_audit_failure_is_only_logged(spark):
     metrics = spark.createDataFrame([("A", 3, 2)], "symbol string, rows_processed bigint, rows_loaded bigint")
     assert append_audit(metrics, "no_such_schema") is False
@@ -166,7 +242,7 @@ def test_landing_and_numeric_tickers(spark, folder):
 
 def test_printed_documents_are_read_per_file(spark, folder):
     text = json.dumps({SERIES: {"2019-03-15": GOOD}}, indent=2)
-    path = f"{folder}/symbol=A/date=2025-12-01"
+    path = f"{folder}/symbol=A/date=2025-12-01/run=093000"
     spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
     assert [r["payload"].strip() for r in read_bronze(spark, folder, whole_files=True).collect()] == [text]
 
@@ -191,7 +267,7 @@ def test_stream_picks_up_each_file_once(spark, schema, folder):
     def run():
         pick_up(
             spark, folder, schema, checkpoint, NOW,
-            on_batch=lambda counts: seen.append({r["symbol"]: r["rows_processed"] for r in counts.collect()}),
+            on_batch=lambda load: seen.append({r["symbol"]: r["rows_processed"] for r in load.counts.collect()}),
         )
 
     write_bronze(frame(spark, ("A", payload({"2019-03-15": GOOD})), ("B", payload({"2019-03-15": GOOD}))), folder, NOW)

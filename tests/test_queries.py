@@ -4,11 +4,23 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from __spark_entry__ import oracle_sql as registered_sql
+from __spark_entry__ import queries as registered
+from candlewick.plans.oracle import ORACLE
+from candlewick.plans.registry import QUERIES
 from tools.compare import connect, difference
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-NAMES = list(queries())
+NAMES = list(QUERIES)
+
+
+def queries():
+    return QUERIES
+
+
+def oracle_sql():
+    return ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -18,6 +30,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(NAMES) == set(oracle_sql())
+    assert set(NAMES) <= set(registered()) and set(oracle_sql()) <= set(registered_sql())
 
 
 def test_entry(spark):
