@@ -171,7 +171,7 @@ def near_duplicates(
     good = vectors.filter(usable(v)).select(F.col(name).alias("id"), v.alias("vector"))
     grouped = good.groupBy("vector").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("first_id"))
     nodes = materialise(grouped.withColumn("node", F.monotonically_increasing_id()), "distinct-vectors")
-    passes = pass_count(nodes.count(), threshold, recall)
+    passes = pass_count(nodes.count(), threshold, recall, BLOCK)
     places = _places(_signatures(nodes, passes))
 
     step = F.posexplode("places").alias("pass", "place")
