@@ -45,6 +45,10 @@ HEADLINE = [
     "audit_metrics",
     "universe_semi",
     "csv_tolerant",
+    "bronze_round_trip",
+    "bronze_latest",
+    "audit_table",
+    "upsert_new_rows",
     "silver_load",
     "stream_pick_up",
     "dq_not_null",

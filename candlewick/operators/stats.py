@@ -6,7 +6,6 @@ needs the figure of its group, the aggregate is written and joined back.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -52,7 +51,7 @@ def grouped_quantiles(
 
     Rows collapse to counts per distinct value first.  A first pass finds, from totals per value
     range, which ranges hold the wanted ranks; only those are ordered value by value.  A decimal has a
-    finite number of values between its extremes; the ranges are as many as the values in each, so
+    finite number of values between the extremes of its group; the ranges are as many as the values in each, so
     neither pass orders more than the square root of that number for one group.
     """
     dtype = df.schema[value].dataType
@@ -64,12 +63,18 @@ def grouped_quantiles(
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     counts = materialise(counts, "value-counts")
-    low, high = counts.agg(F.min("_value"), F.max("_value")).first()
-    steps = 1 if low is None else int((high - low).scaleb(dtype.scale)) + 1
-    width = (math.isqrt(steps) + 1) * 10.0**-dtype.scale
+    # Each group has ranges of its own, so an outlier in one leaves the others as they are.
+    step = 10.0**-dtype.scale
+    extent = (F.max("_value") - F.min("_value")).cast("double") / F.lit(step) + 1
+    extremes = counts.groupBy(F.col("_key").alias("_k")).agg(
+        F.min("_value").cast("double").alias("_lowest"), ((F.floor(F.sqrt(extent)) + 1) * F.lit(step)).alias("_width")
+    )
+    extremes = materialise(extremes, "group-extremes")
     # Doubles are enough here: each step keeps the order of the values, and equal values stay together.
-    offset = F.col("_value").cast("double") - F.lit(float(low or 0))
-    counts = counts.withColumn("_range", F.floor(offset / F.lit(width)).cast("bigint"))
+    offset = F.col("_value").cast("double") - F.col("_lowest")
+    counts = counts.join(extremes, F.col("_key").eqNullSafe(F.col("_k"))).select(
+        "_key", "_value", "_n", F.floor(offset / F.col("_width")).cast("bigint").alias("_range")
+    )
 
     ranges = counts.groupBy("_key", "_range").agg(
         F.sum("_n").alias("_in_range"), F.min("_value").alias("_low"), F.max("_value").alias("_high")

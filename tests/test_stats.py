@@ -70,3 +70,13 @@ def test_quantiles_leave_nulls_out(spark):
     assert grouped_quantiles(df.limit(0), "k", "v").count() == 0
     with pytest.raises(TypeError):
         grouped_quantiles(df.select("k", F.col("v").cast("double")), "k", "v")
+
+
+def test_quantiles_with_one_extreme_outlier(spark):
+    rows = spark.range(400).select(
+        F.when(F.col("id") < 200, "a").otherwise("b").alias("k"),
+        F.when(F.col("id") == 399, F.lit("9999999999999999.0000")).otherwise((F.col("id") % 200).cast("string")).cast("decimal(20,4)").alias("v"),
+    )
+    got = {r["k"]: (r["n"], r["min"], r["q25"], r["q50"], r["q75"], r["max"]) for r in grouped_quantiles(rows, "k", "v").collect()}
+    assert got["a"] == (200, 0.0, 49.75, 99.5, 149.25, 199.0)
+    assert got["b"][:5] == (200, 0.0, 49.75, 99.5, 149.25) and got["b"][5] > 9e15
