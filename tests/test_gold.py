@@ -147,7 +147,7 @@ def test_null_rules_of_checks(spark):
         ("between", 0),
         ("between", 1),
         ("has_type", 0),
-        ("has_type", 1),
+        ("has_type", 3),
         ("matches", 1),
         ("not_null", 2),
         ("relationship", 1),
@@ -181,8 +181,8 @@ def test_indicators_of_an_empty_selection(gold):
 def test_indicators(gold):
     row = kpis(select_rows(gold_mart(gold), None, ["IBM", "V"])).first()
     assert (row["tickers"], row["anomalies"]) == (2, 0)
-    assert row["avg_volatility_pct"] == pytest.approx((0.0464 + 1.0) / 2 * 100)
-    assert row["total_volume_millions"] == pytest.approx(2017 / 1e6)
+    assert row["avg_volatility_pct"] == pytest.approx((0.12 + 1.0) / 2 * 100)
+    assert row["total_volume_millions"] == pytest.approx(617 / 1e6)
 
 
 def test_build_staging_keeps_other_columns(spark):
