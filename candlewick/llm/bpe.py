@@ -27,10 +27,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import pieces, text_or_empty
 
 #: Distinct words and transitions that a worker remembers before it starts afresh.
-MEMORY = 400_000
+MEMORY = 200_000
 
 
 def byte_symbols() -> list[str]:
@@ -192,44 +192,50 @@ class Encoder:
         )
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
+def label_text(tokens: bytes, labels: Sequence[bytes]) -> bytes:
+    """The labels of encoded ids joined by spaces, as the vocabulary's own library decodes without a decoder."""
+    return b" ".join(map(labels.__getitem__, memoryview(tokens).cast("I")))
+
+
+def encode(
+    docs: DataFrame, path: str, text: str = "text", keep: Sequence[str] | None = None, decoded: bool = False
+) -> DataFrame:
     """Columns ``keep`` (all by default), ``n_tokens`` and ``tokens``: ids as little-endian 32-bit integers.
 
-    The vocabulary file is read on the driver.  A null text counts as empty and has no tokens.  Columns named
-    like the added ones are replaced.
+    With ``decoded``, also the text that the ids decode to, as ``decode`` gives it, by the same worker.  The vocabulary file
+    is read on the driver.  A null text counts as empty and has no tokens.  Columns named like the added ones are
+    replaced.
     """
-    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("n_tokens", "tokens")]
+    added = ("n_tokens", "tokens", "decoded")[: 3 if decoded else 2]
+    kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in added]
     tables = docs.sparkSession.sparkContext.broadcast(compile_automaton(path))
     rows = docs.select(*kept, text_or_empty(docs[text]).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tables.value)
-        for batch in batches:
-            ids = [encoder.text(x.as_py()) for x in batch.column("__text")]
+        for part in pieces(batches):
+            ids = [encoder.text(x.as_py()) for x in part.column("__text")]
             counts = pa.array([len(x) // 4 for x in ids], pa.int64())
-            columns = [*[batch.column(c) for c in kept], counts, pa.array(ids, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, "n_tokens", "tokens"])
+            columns = [*[part.column(c) for c in kept], counts, pa.array(ids, pa.binary())]
+            if decoded:
+                texts = [label_text(x, tables.value["labels"]) for x in ids]
+                columns.append(pa.array(texts, pa.binary()).cast(pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, *added])
 
-    added = [F.lit(0).cast("bigint").alias("n_tokens"), F.lit(b"").alias("tokens")]
-    return rows.mapInArrow(run, rows.select(*kept, *added).schema)
+    kinds = {"n_tokens": F.lit(0).cast("bigint"), "tokens": F.lit(b""), "decoded": F.lit("")}
+    return rows.mapInArrow(run, rows.select(*kept, *[kinds[c].alias(c) for c in added]).schema)
 
 
 def decode(encoded: DataFrame, path: str, keep: Sequence[str] | None = None) -> DataFrame:
-    """Columns ``keep`` (all by default) and ``decoded``: the labels of ``tokens`` joined by spaces.
-
-    That is how the vocabulary's own library decodes where the file names no decoder.  Null tokens give an empty text.
-    """
+    """Columns ``keep`` (all by default) and ``decoded``, the labels of ``tokens``; null tokens give an empty text."""
     kept = [c for c in (encoded.columns if keep is None else keep) if c.lower() != "decoded"]
     labels = encoded.sparkSession.sparkContext.broadcast(compile_automaton(path)["labels"])
     rows = encoded.select(*kept, F.coalesce("tokens", F.lit(b"")).alias("__tokens"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        emit = labels.value.__getitem__
-        for batch in batches:
-            texts = [
-                b" ".join(map(emit, memoryview(x.as_py()).cast("I"))) for x in batch.column("__tokens")
-            ]
-            decoded = pa.array(texts, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], decoded], names=[*kept, "decoded"])
+        for part in pieces(batches):
+            texts = [label_text(x.as_py(), labels.value) for x in part.column("__tokens")]
+            column = pa.array(texts, pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], column], names=[*kept, "decoded"])
 
     return rows.mapInArrow(run, rows.select(*kept, F.lit("").alias("decoded")).schema)

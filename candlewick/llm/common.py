@@ -24,6 +24,13 @@ def word_list(c: Column | str) -> Column:
     return F.array_remove(F.split(text_or_empty(c), SPACES), "")
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 200) -> Iterator[pa.RecordBatch]:
+    """Batches cut into short ones, so that what a worker makes of each stays small."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Regroup Arrow batches that are sorted by ``key`` so that no run of equal keys is cut.
 

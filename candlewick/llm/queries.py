@@ -40,9 +40,8 @@ def vocabulary_path() -> str:
 
 def op2_bpe(spark: SparkSession, folder: str) -> DataFrame:
     path = vocabulary_path()
-    encoded = bpe.encode(table(spark, folder, "documents"), path, keep=["doc_id"])
-    decoded = bpe.decode(encoded, path)
-    return decoded.select(
+    encoded = bpe.encode(table(spark, folder, "documents"), path, keep=["doc_id"], decoded=True)
+    return encoded.select(
         "doc_id",
         "n_tokens",
         F.sha2("tokens", 256).alias("ids_sha256"),

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from candlewick.sources.scratch import materialise
 
-from .common import text_or_empty
+from .common import pieces, text_or_empty
 
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 KEYWORDS = ("password", "passwd", "secret", "token", "api_key", "apikey")
@@ -32,8 +32,8 @@ HEX = r"[0-9a-f]{24,}"
 #: Order in which kinds are listed at equal starts.
 KINDS = ("assign", "access", "hex", "random")
 CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
-#: Nats by which a random origin has to be likelier: about one secret in a million candidates.
-EVIDENCE = 14.0
+#: Nats by which a random origin has to be likelier: about one secret in twenty thousand candidates.
+EVIDENCE = 10.0
 #: Fewest different characters of a random string; runs of dashes or of one letter are none.
 MIN_VARIETY = 6
 #: Pseudo-count of every pair of characters.
@@ -104,7 +104,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
+        for batch in pieces(batches):
             spans, values, runs, strings = [], [], [], []
             for x in batch.column("__text"):
                 t = x.as_py()
@@ -208,7 +208,7 @@ def redact(docs: DataFrame, text: str = "text", length: str = "n_chars") -> Data
         return "".join(out) + t[at:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             old = batch.column(text).to_pylist()
             new = [clean(t) for t in old]
             at = batch.schema.get_field_index(text)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from candlewick.sources.scratch import materialise
 
-from .common import whole_groups
+from .common import pieces, whole_groups
 from .components import components
 
 BITS = 64
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("do
     rows = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("__text"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             values = [fingerprint(x.as_py()) for x in batch.column("__text")]
             signed = pa.array(np.array(values, dtype=np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays(
