@@ -16,6 +16,7 @@ loses no pair and ends because fingerprints that agree on 52 bits are at most 4,
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from itertools import combinations
 
@@ -38,6 +39,13 @@ SEED = 42
 REFERENCES = 16
 REFERENCE_SEED = 20261201
 MAX_BUCKET = 4096
+#: Wide fingerprints, for texts that are alike by five-word shingles: 64-bit words, similarity, chance to meet a pair at it.
+WORDS = 4
+WIDE = [f"f{i}" for i in range(WORDS)]
+WIDE_SHINGLE = 5
+SIMILARITY = 0.8
+WIDE_RECALL = 0.95
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 #: Wanted number of fingerprints under one key; decides how many blocks there are.
 BUCKET = 16
 
@@ -244,24 +252,178 @@ def near_duplicates(docs: DataFrame, text: str = "text", distance: int = MAX_DIS
     return _members(docs, text, distance).select("doc_id", "fingerprint", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, text: str = "text", distance: int = MAX_DISTANCE) -> DataFrame:
+# --- documents that are alike --------------------------------------------------------
+
+
+def wide_fingerprint(text: str | None, shingle: int = WIDE_SHINGLE) -> list[int]:
+    """``WORDS`` fingerprints of 64 bits from independent hashes of each distinct shingle."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return [0] * WORDS
+    grams = set(zip(*[words[i:] for i in range(shingle)])) if len(words) >= shingle else {tuple(words)}
+    digest, join = xxhash.xxh64_intdigest, b" ".join
+    hashes = np.fromiter((digest(join(g), SEED) for g in grams), dtype="<u8", count=len(grams))
+    out = []
+    for factor in _FACTORS:
+        counts = np.zeros(BITS, dtype=np.int64)
+        for start in range(0, len(hashes), 1 << 16):
+            part = hashes[start : start + (1 << 16)] * factor
+            part ^= part >> np.uint64(32)
+            part *= _FACTORS[0]
+            part ^= part >> np.uint64(29)
+            counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
+        out.append(int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0]))
+    return out
+
+
+def wide_fingerprints(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """Columns ``keep`` and ``WIDE`` (the words of the wide fingerprint) of each document."""
+    rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text"))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            values = np.array([wide_fingerprint(x.as_py()) for x in batch.column("__text")], dtype=np.uint64).view(np.int64)
+            columns = [pa.array(values[:, i]) for i in range(WORDS)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *columns], names=[*keep, *WIDE])
+
+    return rows.mapInArrow(hashed, rows.select(*keep, *[F.lit(0).cast("bigint").alias(c) for c in WIDE]).schema)
+
+
+def differing_bits(similarity: float) -> int:
+    """Bits of a wide fingerprint that texts of this Jaccard similarity, and equal size, differ by: the mean and
+    one deviation, so that most texts at the similarity itself are within it."""
+    shared = 2 * similarity / (1 + similarity)
+    p, n = math.acos(shared) / math.pi, BITS * WORDS
+    return math.floor(n * p + math.sqrt(n * p * (1 - p)))
+
+
+def sampled_bits(n_fingerprints: int, similarity: float) -> tuple[int, int]:
+    """Bits of a key, so that evenly spread fingerprints share it with few, and the number of keys after which
+    a pair at the similarity is missed with probability ``1 - WIDE_RECALL``."""
+    bits = max(8, math.ceil(math.log2(max(1, n_fingerprints) / BUCKET)))
+    agree = (1 - math.acos(2 * similarity / (1 + similarity)) / math.pi) ** bits
+    return bits, math.ceil(math.log(1 - WIDE_RECALL) / math.log(1 - agree))
+
+
+def _sampled(rows: DataFrame, bits: int, n_keys: int, level: int) -> DataFrame:
+    """Entries (``key``, ``node``, the words): distances to one-bit references in samples of the bits, folded."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rng = np.random.default_rng((REFERENCE_SEED, level))
+        picks = [rng.choice(BITS * WORDS, size=bits, replace=False) for _ in range(n_keys)]
+        for batch in pieces(batches, 10_000):
+            words = np.stack([batch.column(c).to_numpy() for c in WIDE], axis=1).view(np.uint64)
+            table = np.unpackbits(words.view(np.uint8).reshape(len(words), -1), axis=1, bitorder="little")
+            old = batch.column("key").to_numpy().view(np.uint64)
+            for i, pick in enumerate(picks):
+                key = _fold(table[:, pick], old + np.uint64(i + 1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key), *[batch.column(c) for c in ("node", *WIDE)]], names=["key", "node", *WIDE]
+                )
+
+    return rows.select("key", "node", *WIDE).mapInArrow(deal, f"key bigint, node bigint, {', '.join(f'{c} bigint' for c in WIDE)}")
+
+
+def _alike(table: pa.Table, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the pairs within ``distance`` in each bucket of a table sorted by key."""
+    key, node = table.column("key").to_numpy(), table.column("node").to_numpy()
+    words = [table.column(c).to_numpy().view(np.uint64) for c in WIDE]
+    n = len(key)
+    new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    end = np.repeat(np.r_[new[1:], n], np.diff(np.r_[new, n]))
+    top = np.arange(n)  # the root of each row so far
+    left, right, step = [], [], 1
+    rows = np.flatnonzero(end - np.arange(n) > 1)
+    while len(rows):
+        # Rows that are joined already need no comparison.
+        at = rows[top[rows] != top[rows + step]]
+        apart = sum(np.bitwise_count(w[at] ^ w[at + step]).astype(np.int32) for w in words)
+        at = at[apart <= distance]
+        while len(at):
+            a, b = top[at], top[at + step]
+            high, low = np.maximum(a, b), np.minimum(a, b)
+            high, first = np.unique(high, return_index=True)
+            top[high] = low[first]
+            left.append(node[at[first]])
+            right.append(node[at[first] + step])
+            while (top != top[top]).any():
+                top = top[top]
+            at = at[top[at] != top[at + step]]
+        step += 1
+        rows = rows[end[rows] - rows > step]
+    none = [np.zeros(0, dtype=np.int64)]
+    return np.concatenate(left or none), np.concatenate(right or none)
+
+
+def alike_links(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Edges (``a``, ``b``) between nodes (``node``, the words) whose fingerprints say they are alike.
+
+    A bucket of more than ``MAX_BUCKET`` is dealt anew by eight more bits at a time, in as many samples; the texts of
+    such a crowd are alike in many pairs, so that it stays connected.
+    """
+    bits, n_keys = sampled_bits(nodes.count(), similarity)
+    distance = differing_bits(similarity)
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in whole_groups(batches, "key"):
+            a, b = _alike(part, distance)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    entries, level, parts = nodes.withColumn("key", F.lit(0).cast("bigint")), 0, []
+    while True:
+        entries = materialise(_sampled(entries, bits if level == 0 else 8, n_keys if level == 0 else 8, level), "sampled-keys")
+        sizes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        crowded = materialise(sizes.filter((F.col("n") > MAX_BUCKET) & F.lit(level < 4)).select("key"), "crowded-keys")
+        some = not crowded.isEmpty()
+        fits = entries.join(crowded, "key", "left_anti") if some else entries
+        spread = fits.repartition("key").sortWithinPartitions("key", "node")
+        parts.append(materialise(spread.mapInArrow(found, "a bigint, b bigint"), "alike-links"))
+        if not some:
+            break
+        entries, level = entries.join(crowded, "key", "left_semi"), level + 1
+    edges = parts[0]
+    for p in parts[1:]:
+        edges = edges.unionByName(p)
+    return edges.distinct()
+
+
+def _alike_members(docs: DataFrame, text: str, similarity: float) -> DataFrame:
+    marked = materialise(wide_fingerprints(docs, text), "wide-fingerprints")
+    carried = marked.groupBy(*WIDE).agg(F.min("doc_id").alias("first_id"))
+    nodes = materialise(carried.withColumn("node", F.monotonically_increasing_id()), "distinct-fingerprints")
+    groups = components(alike_links(nodes, similarity))
+    placed = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    lowest = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    known = materialise(placed.join(lowest, "component").select(*WIDE, "component", "component_id"), "wide-components")
+    return marked.join(known, WIDE)
+
+
+def drop_near_duplicates(docs: DataFrame, text: str = "text", similarity: float | None = None) -> DataFrame:
     """One document of each component, one with its smallest doc_id, with its own columns.
 
-    Rows that repeat an id are told apart by their fingerprints; of rows with equal id and component, and of the
-    rows of a component that has no id at all, one stays.
+    Components come from fingerprints at up to ``MAX_DISTANCE`` bits, or, with a Jaccard similarity of five-word shingles,
+    from wide fingerprints that differ no more than such texts do.  Rows that repeat an id are told apart by their
+    fingerprints; of rows with equal id and component, and of the rows of a component that has no id at all, one stays.
     """
-    found = materialise(_members(docs, text, distance), "members")
+    if similarity is None:
+        found, marks = _members(docs, text, MAX_DISTANCE), ["fingerprint"]
+    else:
+        found, marks = _alike_members(docs, text, similarity), WIDE
+    found = materialise(found, "members")
     seen = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n"))
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     once = kept.join(seen.filter("__n = 1 AND doc_id IS NOT NULL"), "doc_id", "left_semi").select("doc_id")
-    out = docs.join(once, "doc_id", "left_semi")
+    out = docs.join(once, "doc_id", "left_semi").select(*docs.columns)
     # Rows whose id is repeated or null, which a clean table does not have.
     unclear = materialise(seen.filter("__n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("__id")), "repeated-ids")
     if unclear.isEmpty():
         return out
     rest = docs.join(unclear, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    rows = fingerprints(rest.select(F.struct("*").alias("__row"), "doc_id", text), text, ["__row", "doc_id"])
-    wanted = kept.select(F.col("doc_id").alias("__id"), F.col("fingerprint").alias("__fp"), "component").distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("fingerprint") == F.col("__fp"))
-    single = rows.join(wanted, same).dropDuplicates(["doc_id", "component"]).select("__row.*")
+    rows = rest.select(F.struct("*").alias("__row"), "doc_id", text)
+    marked = (fingerprints if similarity is None else wide_fingerprints)(rows, text, ["__row", "doc_id"])
+    wanted = kept.select(F.col("doc_id").alias("__id"), *[F.col(m).alias(f"__{m}") for m in marks], "component").distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__id"))
+    for m in marks:
+        same = same & (F.col(m) == F.col(f"__{m}"))
+    single = marked.join(wanted, same).dropDuplicates(["doc_id", "component"]).select("__row.*")
     return out.unionByName(single)
