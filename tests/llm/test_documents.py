@@ -6,6 +6,7 @@ import re
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -378,3 +379,51 @@ def test_best_chain_equals_a_quadratic_search():
             value += f[j][2] - 0.25 * (f[j][0] - f[i][0] - f[i][2] + 4 + f[j][1] - f[i][1] - f[i][2] + 4)
         assert value == pytest.approx(max(best.values()))
 
+
+
+# --- texts that are alike -------------------------------------------------------------
+
+
+def test_alike_pairs_are_joined_as_a_forest():
+    rng = np.random.default_rng(9)
+    rows = []
+    for group, size in enumerate((400, 60, 1, 2)):
+        centre = rng.integers(0, 2**63, simhash.WORDS, dtype=np.uint64)
+        for _ in range(size):
+            words = centre.copy()
+            for bit in rng.integers(0, 256, rng.integers(0, 30)):
+                words[bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+            rows.append((group, words))
+    words = np.array([w for _, w in rows])
+    table = pa.table(
+        {"key": pa.array([g for g, _ in rows], pa.int64()), "node": pa.array(np.arange(len(rows)))}
+        | {c: pa.array(words[:, i].view(np.int64)) for i, c in enumerate(simhash.WIDE)}
+    )
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in zip(*simhash._alike(table, 44)):
+        assert np.bitwise_count(words[a] ^ words[b]).sum() <= 44 and root(a) != root(b)
+        parent[root(a)] = root(b)
+    for i in range(len(rows)):
+        near = [j for j in range(i) if rows[i][0] == rows[j][0] and np.bitwise_count(words[i] ^ words[j]).sum() <= 44]
+        assert all(root(i) == root(j) for j in near)
+
+
+def test_similar_texts_and_clean_ones(spark, odd):
+    rng = random.Random(10)
+    base = [[f"w{rng.randrange(4000)}" for _ in range(250)] for _ in range(60)]
+    near = [[w if k % 60 != i % 60 else "new" for k, w in enumerate(t)] for i, t in enumerate(base[:40])]
+    texts = [" ".join(t) for t in [*base, *near, base[3]]]
+    out = simhash.drop_near_duplicates(documents(spark, texts), similarity=0.8)
+    kept = {r["doc_id"] for r in out.collect()}
+    # A near copy keeps about 0.85 of its shingles.
+    assert set(range(60)) <= kept and 100 not in kept and len(kept) <= 62
+    out = simhash.drop_near_duplicates(odd, similarity=0.8)
+    ids = [r["doc_id"] for r in out.collect()]
+    assert out.columns == odd.columns and ids.count(4) == 1 and 1 in ids and 2 not in ids and ids.count(None) == 1
+    assert simhash.drop_near_duplicates(odd.limit(0), similarity=0.8).count() == 0
