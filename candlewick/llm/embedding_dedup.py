@@ -3,12 +3,13 @@
 A pass hashes every vector by the signs of 64 random projections, concatenated, and orders the vectors by that
 value: vectors at a small angle agree in long prefixes and come to stand near each other.  The order is cut into blocks
 of ``BLOCK`` places that also hold the ``OVERLAP`` places before them, so any two vectors at most that far apart
-are compared by their exact cosine.  The number of passes follows from the number of vectors: a pair
-at the threshold meets in one pass with probability (1 - angle/pi) ^ log2(vectors / BLOCK), and the passes together
-must reach ``RECALL``.
+are compared by their exact cosine.  A run of vectors that agree in the first log2(vectors / BLOCK) signs is also compared
+as a whole, however long: where it is wider than the overlap, its blocks meet pair by pair, each such
+pair of blocks a group of its own.  So a pair at the threshold meets in one pass with probability
+(1 - angle/pi) ^ log2(vectors / BLOCK) at least, wherever the other vectors lie, and the passes together must reach ``RECALL``.
 
-Equal vectors are compared once, with their number.  A block reports a count of links for each vector and a spanning
-forest, never its pairs; a pair is counted in the first block where it meets.
+Equal vectors are compared once, with their number.  A group reports a count of links for each vector and a spanning
+forest, never its pairs; a pair is counted in the first group where it meets.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ BLOCK = 1536
 OVERLAP = 512
 BITS = 64
 SEED = 20261202
+#: Rows whose cosines are taken at once.
+CHUNK = 512
 
 
 def usable(vector: Column) -> Column:
@@ -47,6 +50,11 @@ def pass_count(n: int, threshold: float = THRESHOLD, recall: float = RECALL, blo
     return 1 if meet >= recall else math.ceil(math.log(1 - recall) / math.log(1 - meet))
 
 
+def prefix_bits(n: int, block: int = BLOCK) -> int:
+    """Signs that a run shares; evenly spread, it holds one to two blocks."""
+    return int(max(0.0, math.log2(max(n, 1) / block)))
+
+
 def unit_rows(vectors: list) -> np.ndarray:
     m = np.array(vectors, dtype=np.float64)
     m /= np.abs(m).max(axis=1, keepdims=True)
@@ -85,72 +93,92 @@ def _signatures(nodes: DataFrame, passes: int) -> DataFrame:
     return nodes.select("node", "vector").mapInArrow(run, "dim int, pass int, sign bigint, node bigint")
 
 
-def _places(signatures: DataFrame) -> DataFrame:
-    """``node`` and ``places``: for each pass in order, twice its block, plus one if the next block holds it too."""
-    placed = materialise(ranked(signatures, "dim", "pass", "sign", "node"), "projection-order")
-    starts = placed.groupBy("dim", "pass").agg(F.min("__rank").alias("__first"))
+def _places(signatures: DataFrame, bits: int) -> DataFrame:
+    """``node`` and ``spots``: for each pass in order, its ``place`` (twice its block, plus one if the next block
+    holds it too), its ``run`` (the first ``bits`` signs), and the first and last block to compare it with."""
+    run = F.shiftright("sign", BITS - bits).cast("int") if bits else F.lit(0)
+    placed = materialise(ranked(signatures, "dim", "pass", "sign", "node").withColumn("run", run), "projection-order")
+    runs = placed.groupBy("dim", "pass", "run").agg(F.min("__rank").alias("__low"), F.max("__rank").alias("__high"))
+    starts = runs.groupBy("dim", "pass").agg(F.min("__low").alias("__first"))
+    runs = materialise(runs.join(starts, ["dim", "pass"]), "sign-runs")
     at = F.col("__rank") - F.col("__first")
+    home = F.floor(at / BLOCK)
     over = (at % BLOCK >= BLOCK - OVERLAP).cast("bigint")
-    place = placed.join(starts, ["dim", "pass"]).select(
-        "node", F.struct("pass", (F.floor(at / BLOCK) * 2 + over).alias("place")).alias("p")
+    # A run within the overlap has all its pairs in common blocks.
+    wide = F.col("__high") - F.col("__low") > OVERLAP
+    low, high = (F.when(wide, F.floor((F.col(c) - F.col("__first")) / BLOCK)).otherwise(home) for c in ("__low", "__high"))
+    place = placed.join(runs, ["dim", "pass", "run"]).select(
+        "node", F.struct("pass", (home * 2 + over).alias("place"), "run", low.alias("low"), high.alias("high")).alias("p")
     )
     # One entry per pass.
-    listed = F.transform(F.array_sort(F.collect_list("p")), lambda p: p["place"])
-    return place.groupBy("node").agg(listed.alias("places"))
+    return place.groupBy("node").agg(F.array_sort(F.collect_list("p")).alias("spots"))
 
 
 def _compare(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(vector, other or -1, links) rows of one block: link counts, then edges of a spanning forest."""
+    """(vector, other or -1, links) rows of one block or pair of blocks: link counts, then edges of a spanning forest."""
     key = table.column("key")[0].as_py()
-    step, block = key >> 40 & 0xFF, key & ((1 << 40) - 1)
-    node = table.column("node").to_numpy()
-    copies = table.column("copies").to_numpy()
+    step, left_block, right_block = key >> 40 & 0xFF, key >> 20 & 0xFFFFF, key & 0xFFFFF
     places = np.array(table.column("places").to_pylist(), dtype=np.int64)
+    runs = np.array(table.column("runs").to_pylist(), dtype=np.int64)
+    # Rows that were together before stand together, so that chunks of them are passed over.
+    order = np.lexsort((*runs[:, :step].T[::-1], places[:, step] >> 1))
+    places, runs = places[order], runs[order]
+    node = table.column("node").to_numpy()[order]
+    copies = table.column("copies").to_numpy()[order]
     home, over = places >> 1, places & 1
-    rows = unit_rows(table.column("vector").to_pylist())
+    rows = unit_rows(table.column("vector").to_pylist())[order]
     n = len(rows)
     links = np.zeros(n, dtype=np.int64)
-    parent = np.arange(n)
-    edges: list[tuple[int, int]] = []
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    for start in range(0, n, 512):
-        i, j = np.nonzero(rows[start : start + 512] @ rows.T >= threshold)
-        i += start
-        later = j > i
-        i, j = i[later], j[later]
-        fresh = np.maximum(home[i, step], home[j, step]) == block
-        for q in range(step):
-            a, b = home[i, q], home[j, q]
-            met = (a == b) | ((a + 1 == b) & (over[i, q] == 1)) | ((b + 1 == a) & (over[j, q] == 1))
-            fresh &= ~met
-        i, j = i[fresh], j[fresh]
-        np.add.at(links, i, copies[j])
-        np.add.at(links, j, copies[i])
-        # Repeated minima over the links join most of them at once; the rest are joined one by one.
-        while len(i):
-            a = np.fromiter(map(root, i), dtype=np.int64, count=len(i))
-            b = np.fromiter(map(root, j), dtype=np.int64, count=len(j))
-            apart = a != b
-            i, j, a, b = i[apart], j[apart], a[apart], b[apart]
+    top = np.arange(n)  # the root of each row so far
+    left, right = [], []
+
+    def in_block(i: np.ndarray, j: np.ndarray, q: int) -> np.ndarray:
+        a, b = home[i, q], home[j, q]
+        return (a == b) | ((a + 1 == b) & (over[i, q] == 1)) | ((b + 1 == a) & (over[j, q] == 1))
+
+    borders = [0, *(np.flatnonzero(np.diff(home[:, step])) + 1).tolist(), n]
+    chunks = []
+    for a, b in zip(borders, borders[1:]):
+        for start in range(a, b, CHUNK):
+            end = min(b, start + CHUNK)
+            same = np.where((runs[start:end, :step] == runs[start, :step]).all(axis=0), runs[start, :step], -(1 << 62))
+            chunks.append((start, end, home[start, step], same))
+    for c, (a, a_end, a_home, a_same) in enumerate(chunks):
+        for b, b_end, b_home, b_same in chunks[c:]:
+            wanted = max(a_home, b_home) == right_block if left_block == right_block else a_home != b_home
+            if not wanted or ((a_same == b_same) & (a_same > -(1 << 62))).any():
+                continue
+            i, j = np.nonzero(rows[a:a_end] @ rows[b:b_end].T >= threshold)
+            i, j = i + a, j + b
+            fresh = i < j
+            if left_block != right_block:
+                fresh &= ~in_block(i, j, step)
+            for q in range(step):
+                i, j = i[fresh], j[fresh]
+                fresh = ~(in_block(i, j, q) | (runs[i, q] == runs[j, q]))
+            i, j = i[fresh], j[fresh]
             if not len(i):
-                break
-            high, low = np.maximum(a, b), np.minimum(a, b)
-            _, first = np.unique(high, return_index=True)
-            parent[high[first]] = low[first]
-            edges += zip(i[first].tolist(), j[first].tolist())
+                continue
+            links += np.bincount(i, copies[j], n).astype(np.int64) + np.bincount(j, copies[i], n).astype(np.int64)
+            while True:
+                apart = top[i] != top[j]
+                i, j = i[apart], j[apart]
+                if not len(i):
+                    break
+                high, low = np.maximum(top[i], top[j]), np.minimum(top[i], top[j])
+                high, first = np.unique(high, return_index=True)
+                top[high] = low[first]
+                left.append(i[first])
+                right.append(j[first])
+                while (top != top[top]).any():
+                    top = top[top]
     some = np.flatnonzero(links)
-    left = np.array([e[0] for e in edges], dtype=np.int64)
-    right = np.array([e[1] for e in edges], dtype=np.int64)
+    none = [np.zeros(0, dtype=np.int64)]
+    left, right = np.concatenate(left or none), np.concatenate(right or none)
     return (
         np.concatenate([node[some], node[left]]),
         np.concatenate([np.full(len(some), -1, dtype=np.int64), node[right]]),
-        np.concatenate([links[some], np.zeros(len(edges), dtype=np.int64)]),
+        np.concatenate([links[some], np.zeros(len(left), dtype=np.int64)]),
     )
 
 
@@ -171,17 +199,25 @@ def near_duplicates(
     good = vectors.filter(usable(v)).select(F.col(name).alias("id"), v.alias("vector"))
     grouped = good.groupBy("vector").agg(F.count(F.lit(1)).alias("copies"), F.min("id").alias("first_id"))
     nodes = materialise(grouped.withColumn("node", F.monotonically_increasing_id()), "distinct-vectors")
-    passes = pass_count(nodes.count(), threshold, recall, BLOCK)
-    places = _places(_signatures(nodes, passes))
-
-    step = F.posexplode("places").alias("pass", "place")
-    joined = nodes.select("node", "vector", "copies").join(places, "node").select("node", "vector", "copies", "places", step)
-    blocks = F.when(
-        F.col("place") % 2 == 1, F.array(F.floor(F.col("place") / 2), F.floor(F.col("place") / 2) + 1)
-    ).otherwise(F.array(F.floor(F.col("place") / 2)))
-    dim_pass = F.shiftleft(F.size("vector").cast("bigint"), 48) + F.shiftleft(F.col("pass").cast("bigint"), 40)
-    dealt = joined.select("node", "vector", "copies", "places", dim_pass.alias("dp"), F.explode(blocks).alias("block")).select(
-        (F.col("dp") + F.col("block")).alias("key"), "node", "vector", "copies", "places"
+    n_nodes = nodes.count()
+    passes = pass_count(n_nodes, threshold, recall, BLOCK)
+    spots = _places(_signatures(nodes, passes), prefix_bits(n_nodes, BLOCK))
+
+    carried = ["node", "vector", "copies", "places", "runs"]
+    joined = nodes.join(spots, "node").select(
+        "node", "vector", "copies", F.col("spots.place").alias("places"), F.col("spots.run").alias("runs"), F.explode("spots").alias("s")
+    )
+    home = F.floor(F.col("s.place") / 2)
+
+    def pair(a: Column, b: Column) -> Column:
+        return F.shiftleft(F.least(a, b), 20) + F.greatest(a, b)
+
+    blocks = F.when(F.col("s.place") % 2 == 1, F.array(pair(home, home), pair(home + 1, home + 1))).otherwise(F.array(pair(home, home)))
+    others = F.filter(F.sequence("s.low", "s.high"), lambda b: b != home)
+    groups = F.concat(blocks, F.transform(others, lambda b: pair(home, b)))
+    dim_pass = F.shiftleft(F.size("vector").cast("bigint"), 48) + F.shiftleft(F.col("s.pass").cast("bigint"), 40)
+    dealt = joined.select(*carried, dim_pass.alias("dp"), F.explode(groups).alias("group")).select(
+        (F.col("dp") + F.col("group")).alias("key"), *carried
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -136,6 +136,23 @@ def test_vectors_against_every_pair(spark, monkeypatch, block, overlap):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("spread", [0.02, 1e-9])
+def test_vectors_in_a_crowd_many_blocks_wide(spark, monkeypatch, spread):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 64)
+    monkeypatch.setattr(embedding_dedup, "OVERLAP", 16)
+    rng = np.random.default_rng(8)
+    crowd = rng.standard_normal(16) + rng.standard_normal((1000, 16)) * spread
+    m = np.concatenate([crowd, rng.standard_normal((2000, 16))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "vec_id bigint, embedding array<double>")
+    got = {r["vec_id"]: r for r in embedding_dedup.near_duplicates(df).collect()}
+    m /= np.linalg.norm(m, axis=1)[:, None]
+    degree = (m @ m.T >= 0.95).sum(axis=1) - 1
+    assert degree[:1000].min() >= 999
+    assert all(got[i]["n_links"] <= degree[i] for i in got)
+    assert sum(r["n_links"] for r in got.values()) >= 0.999 * degree.sum()
+    assert {got[i]["component_id"] for i in range(1000)} == {0}
+
+
 # --- queries ------------------------------------------------------------------------
 
 
