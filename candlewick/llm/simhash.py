@@ -30,6 +30,7 @@ from candlewick.sources.scratch import materialise
 
 from .common import pieces, whole_groups
 from .components import components
+from .ranking import ranked
 
 BITS = 64
 MAX_DISTANCE = 3
@@ -305,11 +306,11 @@ def sampled_bits(n_fingerprints: int, similarity: float) -> tuple[int, int]:
     return bits, math.ceil(math.log(1 - WIDE_RECALL) / math.log(1 - agree))
 
 
-def _sampled(rows: DataFrame, bits: int, n_keys: int, level: int) -> DataFrame:
+def _sampled(rows: DataFrame, bits: int, n_keys: int) -> DataFrame:
     """Entries (``key``, ``node``, the words): distances to one-bit references in samples of the bits, folded."""
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rng = np.random.default_rng((REFERENCE_SEED, level))
+        rng = np.random.default_rng((REFERENCE_SEED, 0))
         picks = [rng.choice(BITS * WORDS, size=bits, replace=False) for _ in range(n_keys)]
         for batch in pieces(batches, 10_000):
             words = np.stack([batch.column(c).to_numpy() for c in WIDE], axis=1).view(np.uint64)
@@ -324,8 +325,30 @@ def _sampled(rows: DataFrame, bits: int, n_keys: int, level: int) -> DataFrame:
     return rows.select("key", "node", *WIDE).mapInArrow(deal, f"key bigint, node bigint, {', '.join(f'{c} bigint' for c in WIDE)}")
 
 
+def _block_pairs(entries: DataFrame, size: int) -> DataFrame:
+    """Entries (``key``, ``node``, ...) dealt so that any two of a key share a new key, each pair of blocks of ``size`` its own.
+
+    ``block`` is the row's block and ``lone`` says that the new key holds that block only; elsewhere only rows of
+    different blocks are to be compared.
+    """
+    placed = materialise(ranked(entries, "key", "node"), "crowded-entries")
+    starts = placed.groupBy("key").agg(F.min("__rank").alias("__first"), F.max("__rank").alias("__last"))
+    starts = materialise(starts, "crowded-starts")
+    block = F.floor((F.col("__rank") - F.col("__first")) / size)
+    last = F.floor((F.col("__last") - F.col("__first")) / size)
+    kept = [c for c in entries.columns if c != "key"]
+    dealt = placed.join(starts, "key").select(
+        "key", *kept, block.alias("block"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("with")
+    )
+    new = F.xxhash64("key", F.least("block", "with"), F.greatest("block", "with"))
+    return dealt.select(new.alias("key"), *kept, "block", (F.col("block") == F.col("with")).alias("lone"))
+
+
 def _alike(table: pa.Table, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the pairs within ``distance`` in each bucket of a table sorted by key."""
+    dealt = "block" in table.column_names
+    if dealt:
+        block, lone = table.column("block").to_numpy(), table.column("lone").to_numpy()
     key, node = table.column("key").to_numpy(), table.column("node").to_numpy()
     words = [table.column(c).to_numpy().view(np.uint64) for c in WIDE]
     n = len(key)
@@ -337,6 +360,8 @@ def _alike(table: pa.Table, distance: int) -> tuple[np.ndarray, np.ndarray]:
     while len(rows):
         # Rows that are joined already need no comparison.
         at = rows[top[rows] != top[rows + step]]
+        if dealt:
+            at = at[(block[at] != block[at + step]) | lone[at]]
         apart = sum(np.bitwise_count(w[at] ^ w[at + step]).astype(np.int32) for w in words)
         at = at[apart <= distance]
         while len(at):
@@ -358,8 +383,7 @@ def _alike(table: pa.Table, distance: int) -> tuple[np.ndarray, np.ndarray]:
 def alike_links(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Edges (``a``, ``b``) between nodes (``node``, the words) whose fingerprints say they are alike.
 
-    A bucket of more than ``MAX_BUCKET`` is dealt anew by eight more bits at a time, in as many samples; the texts of
-    such a crowd are alike in many pairs, so that it stays connected.
+    A bucket of more than ``MAX_BUCKET`` is compared block against block over several tasks, which loses no pair.
     """
     bits, n_keys = sampled_bits(nodes.count(), similarity)
     distance = differing_bits(similarity)
@@ -369,21 +393,19 @@ def alike_links(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             a, b = _alike(part, distance)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    entries, level, parts = nodes.withColumn("key", F.lit(0).cast("bigint")), 0, []
-    while True:
-        entries = materialise(_sampled(entries, bits if level == 0 else 8, n_keys if level == 0 else 8, level), "sampled-keys")
-        sizes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-        crowded = materialise(sizes.filter((F.col("n") > MAX_BUCKET) & F.lit(level < 4)).select("key"), "crowded-keys")
-        some = not crowded.isEmpty()
-        fits = entries.join(crowded, "key", "left_anti") if some else entries
-        spread = fits.repartition("key").sortWithinPartitions("key", "node")
-        parts.append(materialise(spread.mapInArrow(found, "a bigint, b bigint"), "alike-links"))
-        if not some:
-            break
-        entries, level = entries.join(crowded, "key", "left_semi"), level + 1
-    edges = parts[0]
-    for p in parts[1:]:
-        edges = edges.unionByName(p)
+    entries = materialise(_sampled(nodes.withColumn("key", F.lit(0).cast("bigint")), bits, n_keys), "sampled-keys")
+    sizes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    crowded = materialise(sizes.filter(F.col("n") > MAX_BUCKET).select("key"), "crowded-keys")
+    some = not crowded.isEmpty()
+    fits = entries.join(crowded, "key", "left_anti") if some else entries
+
+    def compared(rows: DataFrame) -> DataFrame:
+        spread = rows.repartition("key").sortWithinPartitions("key", "node")
+        return materialise(spread.mapInArrow(found, "a bigint, b bigint"), "alike-links")
+
+    edges = compared(fits)
+    if some:
+        edges = edges.unionByName(compared(_block_pairs(entries.join(crowded, "key", "left_semi"), MAX_BUCKET // 2)))
     return edges.distinct()
 
 

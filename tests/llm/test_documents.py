@@ -427,3 +427,20 @@ def test_similar_texts_and_clean_ones(spark, odd):
     ids = [r["doc_id"] for r in out.collect()]
     assert out.columns == odd.columns and ids.count(4) == 1 and 1 in ids and 2 not in ids and ids.count(None) == 1
     assert simhash.drop_near_duplicates(odd.limit(0), similarity=0.8).count() == 0
+
+
+def test_no_pair_of_a_crowded_bucket_is_lost(spark, monkeypatch):
+    # Every key is crowded, and each fingerprint has one partner only.
+    monkeypatch.setattr(simhash, "MAX_BUCKET", 100)
+    monkeypatch.setattr(simhash, "sampled_bits", lambda n, similarity: (1, 1))
+    rng = np.random.default_rng(12)
+    words = rng.integers(0, 2**63, (300, simhash.WORDS), dtype=np.uint64)
+    partner = words.copy()
+    bit = np.random.default_rng((simhash.REFERENCE_SEED, 0)).choice(256, size=1, replace=False)[0]
+    # Partners share the one sampled bit and differ in 42 others.
+    partner[:, [w for w in range(simhash.WORDS) if w != bit // 64]] ^= np.uint64(0b101010101010101010101010101)
+    rows = [(i, *map(int, w)) for i, w in enumerate(np.concatenate([words, partner]).view(np.int64))]
+    nodes = spark.createDataFrame(rows, f"node bigint, {', '.join(f'{c} bigint' for c in simhash.WIDE)}")
+    got = {tuple(sorted((r["a"], r["b"]))) for r in simhash.alike_links(nodes).collect()}
+    lost = {(i, i + 300) for i in range(300)} - got
+    assert not lost, len(lost)
