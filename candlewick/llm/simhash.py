@@ -43,6 +43,10 @@ MAX_BUCKET = 4096
 #: Wide fingerprints, for texts that are alike by five-word shingles: 64-bit words, similarity, chance to meet a pair at it.
 WORDS = 4
 WIDE = [f"f{i}" for i in range(WORDS)]
+#: What tells texts apart: the wide fingerprint and a digest of the set of shingles.
+MARKS = [*WIDE, "digest"]
+#: Documents whose shingles are compared in one block.
+SET_BLOCK = 512
 WIDE_SHINGLE = 5
 SIMILARITY = 0.8
 WIDE_RECALL = 0.95
@@ -256,14 +260,24 @@ def near_duplicates(docs: DataFrame, text: str = "text", distance: int = MAX_DIS
 # --- documents that are alike --------------------------------------------------------
 
 
-def wide_fingerprint(text: str | None, shingle: int = WIDE_SHINGLE) -> list[int]:
-    """``WORDS`` fingerprints of 64 bits from independent hashes of each distinct shingle."""
+def shingle_hashes(text: str | None, shingle: int = WIDE_SHINGLE) -> np.ndarray:
+    """Sorted hashes of the distinct shingles; a shorter text is one, one without words has none."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return [0] * WORDS
+        return np.zeros(0, dtype="<u8")
     grams = set(zip(*[words[i:] for i in range(shingle)])) if len(words) >= shingle else {tuple(words)}
     digest, join = xxhash.xxh64_intdigest, b" ".join
-    hashes = np.fromiter((digest(join(g), SEED) for g in grams), dtype="<u8", count=len(grams))
+    return np.unique(np.fromiter((digest(join(g), SEED) for g in grams), dtype="<u8", count=len(grams)))
+
+
+def wide_fingerprint(text: str | None, shingle: int = WIDE_SHINGLE) -> list[int]:
+    """``WORDS`` fingerprints of 64 bits from independent hashes of each distinct shingle."""
+    return _wide(shingle_hashes(text, shingle))
+
+
+def _wide(hashes: np.ndarray) -> list[int]:
+    if not len(hashes):
+        return [0] * WORDS
     out = []
     for factor in _FACTORS:
         counts = np.zeros(BITS, dtype=np.int64)
@@ -278,24 +292,99 @@ def wide_fingerprint(text: str | None, shingle: int = WIDE_SHINGLE) -> list[int]
 
 
 def wide_fingerprints(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """Columns ``keep`` and ``WIDE`` (the words of the wide fingerprint) of each document."""
+    """Columns ``keep``, ``MARKS`` and ``grams`` (the sorted shingle hashes) of each document."""
     rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
-            values = np.array([wide_fingerprint(x.as_py()) for x in batch.column("__text")], dtype=np.uint64).view(np.int64)
-            columns = [pa.array(values[:, i]) for i in range(WORDS)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *columns], names=[*keep, *WIDE])
+            sets = [shingle_hashes(x.as_py()) for x in batch.column("__text")]
+            grams = [g.tobytes() for g in sets]
+            values = [[*_wide(g), xxhash.xxh64_intdigest(x)] for g, x in zip(sets, grams)]
+            values = np.array(values, dtype=np.uint64).view(np.int64)
+            columns = [pa.array(values[:, i]) for i in range(len(MARKS))]
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in keep], *columns, pa.array(grams, pa.binary())], names=[*keep, *MARKS, "grams"]
+            )
+
+    marks = [F.lit(0).cast("bigint").alias(c) for c in MARKS]
+    return rows.mapInArrow(hashed, rows.select(*keep, *marks, F.lit(b"").alias("grams")).schema)
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two sets as sorted arrays; of two empty ones it is 1."""
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common / (len(a) + len(b) - common) if len(a) + len(b) else 1.0
+
+
+def _verified(edges: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The edges whose ends reach the similarity."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            pairs = zip(batch.column("grams_a"), batch.column("grams_b"))
+            close = [jaccard(*(np.frombuffer(g.as_py(), dtype="<u8") for g in p)) >= similarity for p in pairs]
+            yield batch.select(["a", "b"]).filter(pa.array(close, pa.bool_()))
+
+    left, right = (sets.select(F.col("node").alias(c), F.col("grams").alias(f"grams_{c}")) for c in "ab")
+    return edges.join(left, "a").join(right, "b").select("a", "b", "grams_a", "grams_b").mapInArrow(run, "a bigint, b bigint")
+
+
+def _settled(table: pa.Table, distance: int, similarity: float) -> list[tuple[int, int]]:
+    """Edges that join the labels of one group wherever two of its texts reach the similarity."""
+    node, block, lone = (table.column(c).to_numpy() for c in ("node", "block", "lone"))
+    _, top = np.unique(table.column("label").to_numpy(), return_inverse=True)
+    words = [table.column(c).to_numpy().view(np.uint64) for c in WIDE]
+    sets = [np.frombuffer(g.as_py(), dtype="<u8") for g in table.column("grams")]
+    out = []
+    for i in range(len(node)):
+        later = i + 1 + np.flatnonzero((top[i + 1 :] != top[i]) & ((block[i + 1 :] != block[i]) | lone[i]))
+        apart = sum(np.bitwise_count(w[later] ^ w[i]).astype(np.int32) for w in words)
+        for j in later[apart <= distance]:
+            few, many = sorted((len(sets[i]), len(sets[j])))
+            if top[i] != top[j] and few >= similarity * many and jaccard(sets[i], sets[j]) >= similarity:
+                out.append((int(node[i]), int(node[j])))
+                top[top == top[j]] = top[i]
+    return out
+
+
+def similar_links(nodes: DataFrame, sets: DataFrame, candidates: DataFrame, similarity: float) -> DataFrame:
+    """Edges between nodes whose shingle sets reach the similarity.
+
+    The candidates, a forest of pairs, are verified first.  A group of candidates that this does not join
+    wholly is then compared pair by pair, block against block, but for pairs that are joined already.
+    """
+    sure = materialise(_verified(candidates, sets, similarity), "verified-links")
+    near = components(candidates).select("node", F.col("component").alias("key"))
+    joined = components(sure).withColumnRenamed("component", "label")
+    members = near.join(joined, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    members = materialise(members, "candidate-groups")
+    # A group of two has its only pair verified.
+    sizes = members.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
+    parted = materialise(sizes.filter("low < high AND n > 2").select("key"), "open-groups")
+    if parted.isEmpty():
+        return sure
+    distance = differing_bits(similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in whole_groups(batches, "key"):
+            keys = part.column("key").to_numpy()
+            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            found = [e for a, b in zip(cuts, cuts[1:]) for e in _settled(part.slice(a, b - a), distance, similarity)]
+            columns = [pa.array([e[k] for e in found], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
-    return rows.mapInArrow(hashed, rows.select(*keep, *[F.lit(0).cast("bigint").alias(c) for c in WIDE]).schema)
+    rows = members.join(parted, "key", "left_semi").join(nodes.select("node", *WIDE), "node")
+    dealt = _block_pairs(rows.select("key", "node", "label", *WIDE), SET_BLOCK).join(sets, "node")
+    more = dealt.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "a bigint, b bigint")
+    return sure.unionByName(materialise(more, "settled-links"))
 
 
 def differing_bits(similarity: float) -> int:
     """Bits of a wide fingerprint that texts of this Jaccard similarity, and equal size, differ by: the mean and
-    one deviation, so that most texts at the similarity itself are within it."""
+    three deviations, so that the bound only proposes pairs and refuses about one in a thousand at the similarity."""
     shared = 2 * similarity / (1 + similarity)
     p, n = math.acos(shared) / math.pi, BITS * WORDS
-    return math.floor(n * p + math.sqrt(n * p * (1 - p)))
+    return math.floor(n * p + 3 * math.sqrt(n * p * (1 - p)))
 
 
 def sampled_bits(n_fingerprints: int, similarity: float) -> tuple[int, int]:
@@ -411,26 +500,31 @@ def alike_links(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
 
 def _alike_members(docs: DataFrame, text: str, similarity: float) -> DataFrame:
     marked = materialise(wide_fingerprints(docs, text), "wide-fingerprints")
-    carried = marked.groupBy(*WIDE).agg(F.min("doc_id").alias("first_id"))
+    carried = marked.groupBy(*MARKS).agg(F.min("doc_id").alias("first_id"))
     nodes = materialise(carried.withColumn("node", F.monotonically_increasing_id()), "distinct-fingerprints")
-    groups = components(alike_links(nodes, similarity))
+    candidates = materialise(alike_links(nodes, similarity).filter("a <> b"), "candidate-links")
+    ends = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).distinct()
+    wanted = materialise(nodes.join(ends, "node").select("node", "digest"), "candidate-nodes")
+    once = marked.groupBy("digest").agg(F.first("grams").alias("grams"))
+    sets = materialise(once.join(wanted, "digest").select("node", "grams"), "candidate-sets")
+    groups = components(similar_links(nodes, sets, candidates, similarity))
     placed = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    known = materialise(placed.join(lowest, "component").select(*WIDE, "component", "component_id"), "wide-components")
-    return marked.join(known, WIDE)
+    known = materialise(placed.join(lowest, "component").select(*MARKS, "component", "component_id"), "wide-components")
+    return marked.drop("grams").join(known, MARKS)
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", similarity: float | None = None) -> DataFrame:
     """One document of each component, one with its smallest doc_id, with its own columns.
 
     Components come from fingerprints at up to ``MAX_DISTANCE`` bits, or, with a Jaccard similarity of five-word shingles,
-    from wide fingerprints that differ no more than such texts do.  Rows that repeat an id are told apart by their
+    from exact comparison of the shingles of texts that wide fingerprints propose.  Rows that repeat an id are told apart by their
     fingerprints; of rows with equal id and component, and of the rows of a component that has no id at all, one stays.
     """
     if similarity is None:
         found, marks = _members(docs, text, MAX_DISTANCE), ["fingerprint"]
     else:
-        found, marks = _alike_members(docs, text, similarity), WIDE
+        found, marks = _alike_members(docs, text, similarity), MARKS
     found = materialise(found, "members")
     seen = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n"))
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -444,3 +444,29 @@ def test_no_pair_of_a_crowded_bucket_is_lost(spark, monkeypatch):
     got = {tuple(sorted((r["a"], r["b"]))) for r in simhash.alike_links(nodes).collect()}
     lost = {(i, i + 300) for i in range(300)} - got
     assert not lost, len(lost)
+
+
+def test_similar_texts_are_verified_by_their_shingles(spark):
+    rng = random.Random(13)
+    base = [[f"v{rng.randrange(4000)}" for _ in range(250)] for _ in range(80)]
+
+    def edited(t, changes):
+        at = {(k + 1) * len(t) // (changes + 1) for k in range(changes)}
+        return [w if k not in at else "new" for k, w in enumerate(t)]
+
+    # Five changed words leave 221 of 271 shingles (0.815), seven leave 211 of 281 (0.75).
+    texts = [" ".join(t) for t in [*base, *(edited(t, 5) for t in base[:40]), *(edited(t, 7) for t in base[40:])]]
+    kept = {r["doc_id"] for r in simhash.drop_near_duplicates(documents(spark, texts), similarity=0.8).collect()}
+    assert set(range(80)) <= kept and set(range(120, 160)) <= kept, len(kept & set(range(120, 160)))
+    assert len(kept & set(range(80, 120))) <= 6
+
+
+def test_groups_are_settled_by_every_pair():
+    sets = [np.arange(k, k + 100, dtype=np.uint64) for k in (0, 30, 5, 33)]
+    n = len(sets)
+    table = pa.table(
+        {"node": pa.array(range(n), pa.int64()), "label": pa.array(range(n), pa.int64()), "block": pa.array([0] * n, pa.int64())}
+        | {"lone": pa.array([True] * n), "grams": pa.array([s.tobytes() for s in sets], pa.binary())}
+        | {c: pa.array([0] * n, pa.int64()) for c in simhash.WIDE}
+    )
+    assert simhash._settled(table, 55, 0.8) == [(0, 2), (1, 3)]
