@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import license_scan as L
+from . import merkle as MK
 from . import mixing as M
 from . import quality as Q
 from . import sharding as S
@@ -176,6 +177,53 @@ SELECT doc_id, unit, CAST(unit_no AS INTEGER) AS unit_no, license, CAST(shared A
   CAST(n_bigrams AS INTEGER) AS n_bigrams, CAST(n_template AS INTEGER) AS n_template, CAST(dice AS DOUBLE) AS dice
 FROM best WHERE k = 1"""
 
+# --- Merkle manifest -----------------------------------------------------------------
+
+_FIELD = "coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || CAST({c} AS VARCHAR), '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c=c) for c in MK.FIELDS) + ")"
+
+
+def crc32(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII expression: each character's code, then eight steps, over one list."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [CAST(ascii(c) AS BIGINT){', -1' * 8}]))"
+    return f"""xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {steps}), lambda a, b:
+      CASE WHEN b >= 0 THEN xor(a, b) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295)"""
+
+
+def _levels(name: str, start: str) -> str:
+    """Nodes of every level up to the last node of each tree; ``n`` is the number of nodes of the level."""
+    return f"""{name}(tree, h, number, digest, n) AS ({start}
+  UNION ALL SELECT tree, h + 1, number // {MK.FANOUT}, sha256(string_agg(digest, '' ORDER BY number)),
+    (any_value(n) + {MK.FANOUT - 1}) // {MK.FANOUT}
+  FROM {name} WHERE n > 1 GROUP BY tree, h, number // {MK.FANOUT}),
+{name}_runs AS (SELECT tree, h, number // {MK.FANOUT} AS run, list(digest ORDER BY number) AS d FROM {name} WHERE n > 1
+  GROUP BY ALL)"""
+
+
+def _walk(name: str, levels: str, start: str) -> str:
+    """Way of each row to the last node: siblings met so far and the digest folded so far."""
+    left, right = "array_to_string(d[1:k % {f}], '')", "array_to_string(d[k % {f} + 2:], '')"
+    left, right = left.format(f=MK.FANOUT), right.format(f=MK.FANOUT)
+    return f"""{name}(rid, tree, h, k, met, folded) AS ({start}
+  UNION ALL SELECT rid, w.tree, w.h + 1, k // {MK.FANOUT}, met || {left} || {right}, sha256({left} || folded || {right})
+  FROM {name} w JOIN {levels}_runs r ON r.tree = w.tree AND r.h = w.h AND r.run = w.k // {MK.FANOUT}),
+{name}_end AS (SELECT rid, tree, met, folded FROM (SELECT *, max(h) OVER (PARTITION BY rid) AS last FROM {name}) WHERE h = last)"""
+
+
+_TAMPERED = _LEAF.replace("CAST(text AS VARCHAR)", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+OP12 = f"""WITH RECURSIVE leaves AS (SELECT row_number() OVER () AS rid, doc_id, source, {_LEAF} AS leaf,
+    CASE WHEN {crc32("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN {_TAMPERED} ELSE {_LEAF} END AS given FROM documents),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS number,
+    count(*) OVER (PARTITION BY source) AS n, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree FROM leaves),
+{_levels("low", "SELECT tree, 0, number, leaf, n FROM numbered")},
+tops AS (SELECT tree, digest FROM low WHERE n = 1),
+{_levels("high", "SELECT 0, 0, tree, digest, (SELECT count(*) FROM tops) FROM tops")},
+{_walk("up", "low", "SELECT rid, tree, 0, number, '', given FROM numbered")},
+{_walk("over", "high", "SELECT rid, 0, 0, tree, met, folded FROM up_end")}
+SELECT doc_id, leaf, tops.digest AS subroot, root.digest AS root, sha256(o.met) AS proof_sha256,
+  o.folded AS folded_root, o.folded = root.digest AS verified
+FROM numbered JOIN tops USING (tree) JOIN over_end o USING (rid), (SELECT digest FROM high WHERE n = 1) root"""
+
 ORACLE: dict[str, str] = {
     "op1_warc": OP1,
     "op3_mixing": OP3,
@@ -183,4 +231,5 @@ ORACLE: dict[str, str] = {
     "op6_embedding_dedup": OP6,
     "op8_licenses": OP8,
     "op10_quality_rules": OP10,
+    "op12_merkle": OP12,
 }

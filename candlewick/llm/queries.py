@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from candlewick.sources.scratch import materialise, scratch_path
 
-from . import bpe, embedding_dedup, license_scan, mixing, passage_dedup, quality, secret_scan, sharding, simhash, warc
+from . import bpe, embedding_dedup, license_scan, merkle, mixing, packing, passage_dedup, quality, secret_scan, sharding, simhash, warc
 from .common import table
 
 #: Name of the vocabulary file, found by the installed package of public tokenizers.
@@ -103,6 +103,28 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    cut = packing.pieces(table(spark, folder, "documents"), vocabulary_path(), keep=["doc_id"])
+    cut = cut.withColumn("ids_crc32", F.crc32("tokens")).drop("tokens")
+    return packing.place(materialise(cut, "packing-pieces"))
+
+
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    fields = [merkle.lower_ascii(F.col(c)) if c == "text" else F.col(c) for c in merkle.FIELDS]
+    tampered = F.when(changed, merkle.leaf_digest(fields))
+    proofs = merkle.Manifest(docs, keep=["doc_id"], extra={"tampered": tampered}).proofs()
+    return proofs.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.siblings_digest(F.col("path")).alias("proof_sha256"),
+        merkle.fold(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_bpe": op2_bpe,
@@ -114,4 +136,6 @@ QUERIES: dict[str, Query] = {
     "op8_licenses": op8_licenses,
     "op9_simhash": op9_simhash,
     "op10_quality_rules": op10_quality_rules,
+    "op11_packing": op11_packing,
+    "op12_merkle": op12_merkle,
 }
