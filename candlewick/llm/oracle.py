@@ -224,6 +224,27 @@ SELECT doc_id, leaf, tops.digest AS subroot, root.digest AS root, sha256(o.met)
   o.folded AS folded_root, o.folded = root.digest AS verified
 FROM numbered JOIN tops USING (tree) JOIN over_end o USING (rid), (SELECT digest FROM high WHERE n = 1) root"""
 
+# --- prefix trie ----------------------------------------------------------------------
+
+OP13 = f"""WITH turns AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+    {{'role': role, 'text': text}} AS t
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+own AS (SELECT conv_id, list(t ORDER BY pos) AS s, {crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM turns GROUP BY conv_id),
+rebuilt AS (SELECT o.conv_id, list_concat(coalesce(b.s[1:o.h], []), o.s[o.h + 1:]) AS s
+  FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100),
+members AS (SELECT conv_id, s[1:d] AS node, len(s) = d AS ends, d FROM (SELECT *, unnest(range(len(s) + 1)) AS d FROM rebuilt)),
+nodes AS (SELECT node, any_value(d) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM members GROUP BY node),
+kids AS (SELECT node[1:depth - 1] AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+valued AS (SELECT nodes.*, coalesce(n, 0) AS n_children,
+    (n_convs - 1) * CASE WHEN depth = 0 THEN 0 ELSE length(node[depth].text) END AS saved FROM nodes LEFT JOIN kids USING (node)),
+below AS (SELECT node[1:d] AS node, n_children, saved FROM (SELECT *, unnest(range(depth + 1)) AS d FROM valued)),
+sums AS (SELECT node, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM below GROUP BY node)
+SELECT v.conv_id, CAST(v.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children, n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, v.ends_sha256
+FROM valued v JOIN sums USING (node) LEFT JOIN nodes p ON v.depth > 0 AND p.node = v.node[1:v.depth - 1]"""
+
 ORACLE: dict[str, str] = {
     "op1_warc": OP1,
     "op3_mixing": OP3,
@@ -232,4 +253,5 @@ ORACLE: dict[str, str] = {
     "op8_licenses": OP8,
     "op10_quality_rules": OP10,
     "op12_merkle": OP12,
+    "op13_prefix_trie": OP13,
 }

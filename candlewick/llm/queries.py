@@ -9,7 +9,21 @@ from pyspark.sql import functions as F
 
 from candlewick.sources.scratch import materialise, scratch_path
 
-from . import bpe, embedding_dedup, license_scan, merkle, mixing, packing, passage_dedup, quality, secret_scan, sharding, simhash, warc
+from . import (
+    bpe,
+    embedding_dedup,
+    license_scan,
+    merkle,
+    mixing,
+    packing,
+    passage_dedup,
+    prefix_trie,
+    quality,
+    secret_scan,
+    sharding,
+    simhash,
+    warc,
+)
 from .common import table
 
 #: Name of the vocabulary file, found by the installed package of public tokenizers.
@@ -125,6 +139,11 @@ def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = materialise(prefix_trie.ordered_turns(table(spark, folder, "conversations")), "ordered-turns")
+    return prefix_trie.trie(*prefix_trie.rebuilt(turns))
+
+
 QUERIES: dict[str, Query] = {
     "op1_warc": op1_warc,
     "op2_bpe": op2_bpe,
@@ -138,4 +157,5 @@ QUERIES: dict[str, Query] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_packing": op11_packing,
     "op12_merkle": op12_merkle,
+    "op13_prefix_trie": op13_prefix_trie,
 }
