@@ -4,16 +4,20 @@ A node is a distinct sequence of first turns.  Its key is the exclusive or of tw
 take in the turn's place; so keys of prefixes are running figures that can be computed band by band and completed by the
 figures of the bands before, and no conversation has to be read from start to end by one task.
 
-Depths are cut into bands of fixed height.  A node knows its ancestors within its band, at most ``height``.  Totals of subtrees
-come from the deepest band up: every node sends its figures to its ancestors in its band only, the total of a node at the top
+Depths are cut into bands of one height: 8, or the square root of the greatest depth where that is more.  A node knows its
+ancestors within its band, at most ``height``.  Totals of subtrees come from the deepest band up: every node sends its figures to its ancestors in its band only, the total of a node at the top
 of a band is then complete and goes to its parent in the band above.  So there are as many rounds as bands, and no
 row is copied more often than a band is high, however many conversations pass through a node.
 """
 
 from __future__ import annotations
 
+import hashlib
+import math
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -132,11 +136,6 @@ def _ends(rows: DataFrame) -> DataFrame:
 
     Ids are sorted over all tasks and joined in chunks; a node's chunks, one row for ``CHUNK`` ids, are then hashed in a stream.
     """
-    import hashlib
-    from collections.abc import Iterator
-
-    import pyarrow as pa
-
     placed = ranked(rows.filter("ends").select("key.a", "key.b", "conv_id"), "a", "b", "conv_id")
     chunk = F.expr(f"__rank div {CHUNK}")
     ids = F.transform(F.array_sort(F.collect_list("conv_id")), lambda i: i.cast("string"))
@@ -188,14 +187,19 @@ def rolled_up(nodes: DataFrame, figures: list[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, done)
 
 
-def trie(convs: DataFrame, turns: DataFrame, height: int = BAND) -> DataFrame:
+def band_height(convs: DataFrame) -> int:
+    """Least height of a band that keeps the number of bands from outgrowing it."""
+    return max(BAND, math.isqrt(convs.agg(F.max("n_turns")).first()[0] or 0))
+
+
+def trie(convs: DataFrame, turns: DataFrame, height: int | None = None) -> DataFrame:
     """A row per node of the trie of conversations (``conv_id``, ``n_turns``) and their turns (``conv_id``, ``depth``, ``t1``, ``t2``, ``length``).
 
     ``conv_id`` is the smallest member, ``n_convs`` the number of members, ``n_children`` that of longer sequences by one turn,
     ``n_leaves`` that of childless nodes below or at the node, ``saved_tokens`` the sum below and at it of the members but one times
     the length of the last text, ``ends_sha256`` the hash of the ids that end there.  Without conversations there is no node.
     """
-    rows = materialise(prefixes(convs, turns, height), "prefixes")
+    rows = materialise(prefixes(convs, turns, height or band_height(convs)), "prefixes")
     nodes = rows.groupBy("key").agg(
         F.min("conv_id").alias("conv_id"),
         F.count(F.lit(1)).alias("n_convs"),
@@ -210,7 +214,8 @@ def trie(convs: DataFrame, turns: DataFrame, height: int = BAND) -> DataFrame:
             "saved_tokens": (F.col("n_convs") - 1) * F.col("length"),
         }
     )
-    counted = materialise(counted, "trie-figures")
+    # Sorted, so that a round reads little beside its own band.
+    counted = materialise(counted.sortWithinPartitions("band"), "trie-figures")
     totals = rolled_up(counted, ["n_leaves", "saved_tokens"])
     parents = nodes.select(F.col("key").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
     rest = counted.select("key", "conv_id", "depth", "parent", "n_convs", "n_children")

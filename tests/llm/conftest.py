@@ -18,7 +18,7 @@ ODD = [
 #: Columns of other tables that operators add under the same names.
 CLASHING = [
     "size", "kept", "n_words", "shard", "fingerprint", "tokens", "target", "copies", "component_id", "node", "key",
-    "row", "spans", "base_failed", "n_lines", "decoded", "depth", "start", "license",
+    "row", "spans", "leaf", "tree", "number", "piece", "sequence_id", "offset", "path", "digest", "root", "base_failed", "n_lines", "decoded", "depth", "start", "license",
 ]
 
 
