@@ -5,6 +5,7 @@ from .columns import (
     is_number,
     normalise_ticker,
     relative_change,
+    stock_part,
     strict_date,
     surrogate_key,
     symbol_from_path,
@@ -20,6 +21,7 @@ __all__ = [
     "is_number",
     "normalise_ticker",
     "relative_change",
+    "stock_part",
     "strict_date",
     "surrogate_key",
     "symbol_from_path",

@@ -65,6 +65,11 @@ def normalise_ticker(c: Column | str) -> Column:
     return F.trim(F.upper(_col(c)))
 
 
+def stock_part(symbol: Column | str, parts: int = S.STOCK_PARTS) -> Column:
+    """Number of the part of the stocks that a symbol is stored with."""
+    return (F.crc32(_col(symbol).cast("binary")) % parts).cast("int")
+
+
 def symbol_from_path(path: Column | str, part: int = 3) -> Column:
     """Third ``/``-separated part of an object key such as ``bronze/source/SYM/file.json``."""
     return F.split_part(_col(path), F.lit("/"), F.lit(part))

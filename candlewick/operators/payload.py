@@ -52,8 +52,11 @@ def parse(df: DataFrame, payload: str = "payload", series_key: str = S.SERIES_KE
     if KEYS in df.columns:
         return df
     text = F.col(payload)
-    # The other JSON readers stop at the end of the first document.
-    single = F.coalesce(F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1, F.lit(False))
+    # The other JSON readers stop at the end of the first document.  So does this one, where a tail begins with a bracket;
+    # such a tail makes no object either.
+    listed = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    nested = F.json_object_keys(F.concat(F.lit('{"x":'), text, F.lit("}"))) == F.array(F.lit("x"))
+    single = F.coalesce(listed & (~text.contains("]") | nested), F.lit(False))
     by_date = F.col(SERIES)
     return (
         df.withColumn(READABLE, single)

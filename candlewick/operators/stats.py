@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -16,19 +16,46 @@ from pyspark.sql.window import Window
 from candlewick.sources.scratch import materialise
 
 
-def with_zscore(df: DataFrame, key: str, value: str, out: str = "z_score") -> DataFrame:
+def moments(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Number (``n``), mean and summed squared deviations (``m2``) of a value per key: figures that can be merged."""
+    x = F.col(value).cast("double")
+    return df.groupBy(*keys).agg(
+        F.count(x).cast("double").alias("n"), F.avg(x).alias("mean"), (F.var_pop(x) * F.count(x)).alias("m2")
+    )
+
+
+def merge_moments(a: Column, b: Column) -> Column:
+    """Chan's rule: the moments of two sets of values from those of each."""
+    n, apart = a["n"] + b["n"], b["mean"] - a["mean"]
+    share = b["n"] / F.nullif(n, F.lit(0.0))
+    return F.struct(
+        n.alias("n"),
+        (a["mean"] + F.coalesce(apart * share, F.lit(0.0))).alias("mean"),
+        (a["m2"] + b["m2"] + F.coalesce(apart * apart * a["n"] * share, F.lit(0.0))).alias("m2"),
+    )
+
+
+def merged_moments(parts: DataFrame, key: str) -> DataFrame:
+    """``key``, ``n``, ``mean`` and ``m2`` of whole groups from the moments of their parts, which are few per key."""
+    none = F.struct(*[F.lit(0.0).alias(c) for c in ("n", "mean", "m2")])
+    found = parts.filter("n > 0").groupBy(key).agg(F.sort_array(F.collect_list(F.struct("n", "mean", "m2"))).alias("parts"))
+    return found.select(key, F.aggregate("parts", none, merge_moments).alias("all")).select(key, "all.*")
+
+
+def with_zscore(df: DataFrame, key: str, value: str, out: str = "z_score", stored: DataFrame | None = None) -> DataFrame:
     """Add ``(value - group mean) / group sample deviation``.
 
     A group of one row, or one without spread, gets null.  A window over ``key`` would put a whole
-    group in one task; here each group is one row of a written lookup.
+    group in one task; here each group is one row of a written lookup.  With ``stored`` moments (``key``, ``n``, ``mean``,
+    ``m2``) the rows are not read for the group figures.
     """
     x = F.col(value).cast("double")
-    stats = materialise(
-        df.groupBy(F.col(key).alias("_group")).agg(
-            F.avg(x).alias("_mean"), F.stddev_samp(x).alias("_std")
-        ),
-        "group-stats",
-    )
+    if stored is None:
+        stats = df.groupBy(F.col(key).alias("_group")).agg(F.avg(x).alias("_mean"), F.stddev_samp(x).alias("_std"))
+    else:
+        spread = F.sqrt(F.col("m2") / F.nullif(F.col("n") - 1, F.lit(0.0)))
+        stats = stored.select(F.col(key).alias("_group"), F.col("mean").alias("_mean"), spread.alias("_std"))
+    stats = materialise(stats, "group-stats")
     score = (x - F.col("_mean")) / F.nullif(F.col("_std"), F.lit(0.0))
     joined = df.join(stats, F.col(key).eqNullSafe(F.col("_group")), "left")
     return joined.withColumn(out, score).drop("_group", "_mean", "_std")

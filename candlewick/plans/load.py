@@ -14,7 +14,7 @@ from candlewick.operators.ranking import insert_or_ignore
 from candlewick.operators.series import load_counts, standardise, typed_rows
 from candlewick.sources.bronze import write_bronze
 from candlewick.sources.scratch import discard, materialise
-from candlewick.sources.tables import append_audit, append_quarantine, append_silver, stored_years
+from candlewick.sources.tables import append_audit, append_changes, append_quarantine, append_silver, stored_years
 
 ORIGIN = ("loaded_at", "file_path")
 
@@ -85,6 +85,7 @@ def bronze_to_silver(payloads: DataFrame, schema: str, run_time: str, raise_on_r
     order = ["loaded_at", *S.PRICE_COLUMNS, "volume", "file_path"]
     stored = stored_years(batch, schema)
     fresh = materialise(insert_or_ignore(stored, batch, S.SILVER_KEY, order, used), "new-rows", used)
+    append_changes(fresh, schema)
     append_silver(fresh, schema)
     counts = materialise(load_counts(typed, fresh), "load-counts", used)
     append_audit(counts, schema, time.monotonic() - started)

@@ -410,6 +410,24 @@ SELECT symbol, coalesce(p, 0) AS rows_processed, coalesce(i, 0) AS rows_inserted
     "gold_catalog": f"""{_SILVER}
 SELECT upper(symbol) AS symbol, count(*) AS n_weeks, CAST(sum(volume) AS BIGINT) AS total_volume,
   CAST(max(adjusted_close) AS DOUBLE) AS top_price FROM prices GROUP BY 1""",
+    "landing_retry": f"""{_SILVER}
+SELECT symbol, count(DISTINCT year(price_date)) AS n_payloads, count(*) AS n_rows FROM prices GROUP BY symbol""",
+    "stream_newest": f"""{_SILVER}
+SELECT DISTINCT symbol, CASE WHEN symbol LIKE '%ec' THEN '2002-01-08' ELSE '2002-01-01' END AS date,
+  CASE WHEN symbol LIKE '%ec' THEN '103000' ELSE '000000' END AS run FROM prices""",
+    "gold_incremental": f"{_SILVER}, {_STG}, {_FACT} SELECT * FROM fact",
+    "zscore_merged": f"""{_SCORED}
+SELECT CAST(date AS VARCHAR) AS date, symbol, adjusted_close_price, round(z, 6) AS z_score FROM scored""",
+    "mart_pruned": f"""{_ON_MART} SELECT {_MART_OUT} FROM mart WHERE sector_group IN ({_SECTOR_LIST})
+  AND date BETWEEN DATE '1996-01-01' AND DATE '1997-06-30'""",
+    "gold_published": f"""{_ON_MART} SELECT {_MART_OUT} FROM mart WHERE year(date) < 1996""",
+    "chart_series": f"""{_ON_MART}, ends AS (SELECT min(date) AS low, max(date) - min(date) + 1 AS width FROM mart),
+binned AS (SELECT symbol, date, adjusted_close_price AS p, (date - low) * 50 // width AS bin FROM mart, ends),
+ranked AS (SELECT *, row_number() OVER (in_bin ORDER BY date) AS a, row_number() OVER (in_bin ORDER BY date DESC) AS b,
+    row_number() OVER (in_bin ORDER BY p, date) AS c, row_number() OVER (in_bin ORDER BY p DESC, date) AS d
+  FROM binned WINDOW in_bin AS (PARTITION BY symbol, bin))
+SELECT symbol, CAST(bin AS BIGINT) AS bin, CAST(date AS VARCHAR) AS date, p AS adjusted_close_price
+FROM ranked WHERE 1 IN (a, b, c, d)""",
     "seed_file": f"{_GOLD} SELECT * FROM dim_stock",
     "payload_transport": f"""{_ON_PAYLOADS}, typed AS (SELECT judged.*, ev.k, ev.event_type FROM judged JOIN ev USING (event_id)),
 named AS (SELECT *, event_type = 'error' AND k < 40 AS lost FROM typed)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,12 +30,21 @@ from candlewick.sources.bronze import latest_bronze, read_bronze, write_bronze
 from candlewick.sources.files import read_csv, read_seed
 from candlewick.sources.scratch import materialise, scratch_path
 from candlewick.sources.tables import AUDIT, QUARANTINE, SILVER, read_table, setup_tables
-from candlewick.streaming.pickup import pick_up, refresh
+from candlewick.streaming.pickup import pick_up, refresh, track_newest, tracked_newest
 
 from . import mart as M
 from . import views as V
 from .contracts import CALENDAR_CONTRACTS, SILVER_CONTRACTS
-from .gold import Gold, build_dim_date, build_dim_stock, build_gold, build_staging, check_gold
+from .gold import (
+    Gold,
+    build_dim_date,
+    build_dim_stock,
+    build_gold,
+    build_staging,
+    check_gold,
+    read_gold,
+    refresh_gold,
+)
 from .load import bronze_to_silver, land_payloads
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -420,6 +430,29 @@ def bronze_latest(spark, folder):
     )
 
 
+def landing_retry(spark, folder):
+    """A run that landed some symbols only, is run again, and once more: each payload is there once."""
+    path = scratch_path(spark, "bronze")
+    packed = materialise(V.price_payloads(V.silver(spark, folder)), "payloads")
+    for part in (packed.filter(F.col("symbol").endswith("ec")), packed, packed):
+        write_bronze(part, path, RUN_TIME)
+    landed = parse(read_bronze(spark, path))
+    return plain(
+        landed.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_payloads"), F.sum(F.size("_series")).cast("bigint").alias("n_rows"))
+    )
+
+
+def stream_newest(spark, folder):
+    """Newest landing of each symbol, kept as stream state over three landings and as many starts."""
+    path, checkpoint, out = (scratch_path(spark, name) for name in ("bronze", "newest", "newest-table"))
+    packed = materialise(V.price_payloads(V.silver(spark, folder)), "payloads")
+    some = packed.filter(F.col("symbol").endswith("ec"))
+    for part, run_time in ((some, "2002-01-08 10:30:00"), (packed, RUN_TIME), (some, "2002-01-08 00:00:00")):
+        write_bronze(part, path, run_time)
+        track_newest(spark, path, checkpoint, out)
+    return tracked_newest(spark, out)
+
+
 def _fresh_schema(spark):
     name = f"cw_{uuid.uuid4().hex}"
     setup_tables(spark, name, scratch_path(spark, name))
@@ -470,8 +503,8 @@ def gold_catalog(spark, folder):
     path, schema = scratch_path(spark, "bronze"), _fresh_schema(spark)
     checkpoint, rows = scratch_path(spark, "pickup"), materialise(V.silver(spark, folder), "prices")
     early = F.year("price_date") < 1998
-    for part in (rows.filter(early), rows.filter(~early)):
-        write_bronze(V.price_payloads(part), path, RUN_TIME)
+    for part, landed in ((rows.filter(early), RUN_TIME), (rows.filter(~early), "2002-01-08 00:00:00")):
+        write_bronze(V.price_payloads(part), path, landed)
         refresh(spark, path, schema, V.seed(spark, folder), checkpoint, RUN_TIME)
     fact = read_table(spark, schema, "fact_adjusted_prices").join(read_table(spark, schema, "dim_stock"), "stock_id")
     return plain(
@@ -483,6 +516,56 @@ def gold_catalog(spark, folder):
     )
 
 
+def _three_loads(spark, folder):
+    """Catalog models brought up to date after each of three loads: early weeks, later weeks, and all weeks of new symbols."""
+    path, schema = scratch_path(spark, "bronze"), _fresh_schema(spark)
+    checkpoint, rows, seed = scratch_path(spark, "pickup"), materialise(V.silver(spark, folder), "prices"), V.seed(spark, folder)
+    early, late_symbol = F.year("price_date") < 1996, F.col("symbol").endswith(".pr")
+    gold = None
+    for day, part in enumerate((rows.filter(early & ~late_symbol), rows.filter(~early & ~late_symbol), rows.filter(late_symbol))):
+        write_bronze(V.price_payloads(part), path, f"2002-01-0{day + 1} 00:00:00")
+        pick_up(spark, path, schema, checkpoint, RUN_TIME)
+        gold = refresh_gold(spark, schema, seed, V.TYPE_GROUPS)
+    return gold
+
+
+def gold_incremental(spark, folder):
+    """The fact after three loads, each of which rebuilt what it touched."""
+    return plain(_three_loads(spark, folder).fact.drop("load_timestamp", *S.GOLD_PARTS))
+
+
+def zscore_merged(spark, folder):
+    """Z-scores after three loads, from the stored moments."""
+    scored = M.stored_zscores(_three_loads(spark, folder))
+    return plain(scored.select("date", "symbol", "adjusted_close_price", "z_score"))
+
+
+def _stored_gold(spark, folder):
+    return build_gold(V.silver(spark, folder), V.seed(spark, folder), _fresh_schema(spark), V.TYPE_GROUPS)
+
+
+def mart_pruned(spark, folder):
+    """Two sector groups in eighteen months, from a fact that is stored by year and stock part."""
+    return plain(M.select_rows(M.gold_mart(_stored_gold(spark, folder)), SECTORS, since="1996-01-01", until="1997-06-30"))
+
+
+def gold_published(spark, folder):
+    """Models whose next build fails after its staging: what was published before stays readable."""
+    schema, rows, seed = _fresh_schema(spark), materialise(V.silver(spark, folder), "prices"), V.seed(spark, folder)
+    build_gold(rows.filter(F.year("price_date") < 1996), seed, schema, V.TYPE_GROUPS)
+    broken = seed.withColumn("company_name", F.raise_error(F.concat(F.lit("no name for "), "symbol")).cast("string"))
+    try:
+        build_gold(rows, broken, schema, V.TYPE_GROUPS)
+    except PySparkException:
+        return plain(M.gold_mart(read_gold(spark, schema)))
+    raise RuntimeError("the build should have failed")
+
+
+def chart_series(spark, folder):
+    """Price lines thinned to the rows that a chart of fifty bins shows."""
+    return plain(M.chart_series(_mart(spark, folder, keep_fact=True), 50))
+
+
 def seed_file(spark, folder):
     """The metadata written as CSV and read back as a seed, which the stock dimension is built from."""
     path = scratch_path(spark, "seed")
@@ -535,8 +618,8 @@ def stream_pick_up(spark, folder):
     checkpoint = scratch_path(spark, "pickup")
     rows = materialise(V.silver(spark, folder), "prices")
     early = F.year("price_date") < 1998
-    for part in (rows.filter(early), rows.filter(~early)):
-        write_bronze(V.price_payloads(part), path, RUN_TIME)
+    for part, landed in ((rows.filter(early), RUN_TIME), (rows.filter(~early), "2002-01-08 00:00:00")):
+        write_bronze(V.price_payloads(part), path, landed)
         pick_up(spark, path, schema, checkpoint, RUN_TIME)
     return plain(read_table(spark, schema, SILVER).drop("_ingestion_timestamp"))
 
@@ -680,6 +763,13 @@ QUERIES: dict[str, Query] = {
     "stream_rejects": stream_rejects,
     "silver_contracts": silver_contracts,
     "gold_catalog": gold_catalog,
+    "landing_retry": landing_retry,
+    "stream_newest": stream_newest,
+    "gold_incremental": gold_incremental,
+    "zscore_merged": zscore_merged,
+    "mart_pruned": mart_pruned,
+    "gold_published": gold_published,
+    "chart_series": chart_series,
     "seed_file": seed_file,
     "payload_transport": payload_transport,
     "column_types": column_types,

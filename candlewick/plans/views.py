@@ -141,6 +141,9 @@ CASE
   WHEN event_type = 'view' AND k < 80 THEN '{{"{_SERIES}":{{"2001-01-05":' || {_ROW} || ',"2001-01-12":null}}}}'
   WHEN event_type = 'view' AND k < 86 THEN '{{"{_SERIES}":{{"' || day || '":' || {_OLD} || ',"' || day || '":' || {_ROW} || '}}}}'
   WHEN event_type = 'view' AND k < 92 THEN '{{"{_SERIES}":{{"' || day || '":' || replace({_ROW}, '{{', '{{"1. open":"7","6. volume":"9",') || '}}}}'
+  WHEN event_type = 'view' AND k < 94 THEN {_ONE_DAY} || '] x'
+  WHEN event_type = 'view' AND k < 96 THEN {_ONE_DAY} || '],[1'
+  WHEN event_type = 'view' AND k < 98 THEN {_ONE_DAY} || '}} ]'
   ELSE '{{}}'
 END"""
 

@@ -120,8 +120,24 @@ QUARANTINE_SCHEMA = T.StructType(
     ]
 )
 
+# What the loads touched, until gold has taken it over.
+CHANGES_SCHEMA = T.StructType(
+    [
+        T.StructField("load_id", T.StringType(), False),
+        T.StructField("price_year", T.IntegerType(), False),
+        T.StructField("symbol", T.StringType(), False),
+    ]
+)
+REFRESHES_SCHEMA = T.StructType([T.StructField("load_id", T.StringType(), False)])
+
+# Rejected payloads are stored by the day of their landing; the digest is their key within it.
+QUARANTINE_DAY, QUARANTINE_DIGEST = "landed_on", "digest"
+
 # Silver is stored by this year of its date, which the schema above does not show.
 SILVER_PART = "price_year"
+# Staging, fact and moments are stored by year and by a part of the stocks; the number of parts is a choice of layout.
+GOLD_PARTS = ["price_year", "stock_part"]
+STOCK_PARTS = 4
 
 
 def payload_schema(series_key: str = SERIES_KEY) -> T.StructType:

@@ -35,7 +35,10 @@ def folder_name(value: str) -> str:
 
 
 def write_bronze(payloads: DataFrame, path: str, run_time: str) -> DataFrame:
-    """Append payloads (``symbol``, ``payload``) of one run; returns ``symbol`` and ``key`` of what it wrote.
+    """Land payloads (``symbol``, ``payload``) of one run; returns ``symbol`` and ``key`` of what it wrote.
+
+    The folder of a symbol and run holds what its last landing wrote, so a repeated run, also after one that died half way,
+    leaves each payload once.  Folders of other symbols and runs stay.
 
     One line per payload.  JSON has no raw line breaks inside strings, so those between tokens are
     replaced by blanks and the document stays the same.
@@ -51,7 +54,8 @@ def write_bronze(payloads: DataFrame, path: str, run_time: str) -> DataFrame:
         )
         # A few files per symbol instead of one per task; a large symbol is split again.
         .hint("rebalance", "symbol")
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("symbol", "date", "run")
         .text(path)
     )
@@ -87,27 +91,38 @@ def read_bronze(spark: SparkSession, path: str, whole_files: bool = False) -> Da
     return with_origin(_scan(spark, path, whole_files), whole_files)
 
 
+FILE_SCHEMA = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
+
+
+def landings(files: DataFrame) -> DataFrame:
+    """``symbol`` and ``at`` (date and run) of each payload file, from its path."""
+    # Folder names escape special characters, but leave a plus as it is.
+    name = F.replace(F.regexp_extract("path", r"/symbol=([^/]+)/", 1), F.lit("+"), F.lit("%2B"))
+    placed = files.select(
+        F.url_decode(name).alias("symbol"),
+        F.struct(
+            F.regexp_extract("path", r"/date=([^/]+)/", 1).alias("date"),
+            F.regexp_extract("path", r"/run=([^/]+)/", 1).alias("run"),
+        ).alias("at"),
+    )
+    return placed.filter("symbol <> ''")
+
+
 def newest_landings(spark: SparkSession, path: str, symbol: str | None = None) -> DataFrame:
     """Symbol, date and run of the newest landing of each symbol, from the listing alone.
 
     ``content`` is pruned from the binary scan, so no payload is read for this.
     """
     folder = path if symbol is None else f"{path}/symbol={folder_name(symbol)}"
-    # Folder names escape special characters, but leave a plus as it is.
-    name = F.replace(F.regexp_extract("path", r"/symbol=([^/]+)/", 1), F.lit("+"), F.lit("%2B"))
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(folder)
-        .select(
-            F.url_decode(name).alias("symbol"),
-            F.struct(
-                F.regexp_extract("path", r"/date=([^/]+)/", 1).alias("date"),
-                F.regexp_extract("path", r"/run=([^/]+)/", 1).alias("run"),
-            ).alias("at"),
-        )
-    )
-    return listing.filter("symbol <> ''").groupBy("symbol").agg(F.max("at").alias("at")).select("symbol", "at.*")
+    listing = landings(spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder))
+    return listing.groupBy("symbol").agg(F.max("at").alias("at")).select("symbol", "at.*")
 
 
 def latest_bronze(

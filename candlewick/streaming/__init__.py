@@ -1,3 +1,3 @@
-from .pickup import pick_up, refresh
+from .pickup import pick_up, refresh, track_newest, tracked_newest
 
-__all__ = ["pick_up", "refresh"]
+__all__ = ["pick_up", "refresh", "track_newest", "tracked_newest"]

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from candlewick.plans.gold import Gold, build_gold
+from candlewick.plans.gold import Gold, check_layers, refresh_gold
 from candlewick.plans.load import Load, bronze_to_silver
-from candlewick.sources.bronze import BRONZE_SCHEMA, with_origin
-from candlewick.sources.tables import SILVER, read_table
+from candlewick.sources.bronze import BRONZE_SCHEMA, FILE_SCHEMA, landings, with_origin
 
 
 def pick_up(
@@ -49,8 +49,41 @@ def pick_up(
 
 
 def refresh(
-    spark: SparkSession, path: str, schema: str, seed: DataFrame, checkpoint: str, run_time: str
+    spark: SparkSession, path: str, schema: str, seed: DataFrame, checkpoint: str, run_time: str, check: bool = False
 ) -> Gold:
-    """Pick up new files and rebuild gold once."""
+    """Pick up new files and bring gold up to date with what they touched; ``check`` raises where a contract is broken."""
     pick_up(spark, path, schema, checkpoint, run_time)
-    return build_gold(read_table(spark, schema, SILVER), seed, schema)
+    gold = refresh_gold(spark, schema, seed)
+    if check:
+        check_layers(spark, schema, raise_errors=True)
+    return gold
+
+
+def track_newest(spark: SparkSession, path: str, checkpoint: str, out: str) -> None:
+    """Bring the newest landing of each symbol under ``out`` up to date with the files not seen yet, then stop.
+
+    The state is one (date, run) per symbol.  A batch writes the symbols that it changed to a folder of its own, so one that is
+    delivered again replaces itself; no payload is read.
+    """
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    files = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", True).load(path)
+    query = (
+        landings(files)
+        .groupBy("symbol")
+        .agg(F.max("at").alias("at"))
+        .writeStream.outputMode("update")
+        .trigger(availableNow=True)
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(keep)
+        .start()
+    )
+    query.awaitTermination()
+
+
+def tracked_newest(spark: SparkSession, out: str) -> DataFrame:
+    """Symbol, date and run of the newest landing that ``track_newest`` has seen; a later batch never names an older one."""
+    seen = spark.read.parquet(out)
+    return seen.groupBy("symbol").agg(F.max("at").alias("at")).select("symbol", "at.*")
