@@ -2,10 +2,12 @@
 
 Patterns find the well-marked secrets.  Every other run of ``CANDIDATE`` characters is scored by two
 first-order character models, one of random strings and one of ordinary identifiers, and is a secret if the log of
-their likelihood ratio exceeds ``EVIDENCE``.  Both models are trained on labelled samples: random are the
-values that the patterns found and digests of the document ids in three alphabets; ordinary are all
-candidate runs that no pattern covers.  Training counts pairs of characters over all documents; the counts, at most
-two tables of 70 x 70, are all that reaches the driver.
+their likelihood ratio exceeds ``EVIDENCE``.  Both models are trained on labelled samples, and no run that is to be judged
+is in them.  Random are the values that the patterns found and digests of the document ids in three alphabets.  Ordinary are
+names, paths and numbers put together from ``WORDS`` and from the plain words and numbers of the texts: words of letters that are
+too short for a candidate and stand alone, so that secrets, however many there are, do not teach the model that they are
+ordinary.  Training counts pairs of characters over all documents, each word once for a batch of rows; the
+counts, at most two tables of 70 x 70, are all that reaches the driver.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -36,9 +39,21 @@ CANDIDATE = r"[A-Za-z0-9+/_=-]{16,}"
 EVIDENCE = 10.0
 #: Fewest different characters of a random string; runs of dashes or of one letter are none.
 MIN_VARIETY = 6
-#: Pseudo-count of every pair of characters.
-SMOOTHING = 0.5
+#: Weight of a character's own frequency in what follows another one, in observed pairs.
+SMOOTHING = 10.0
 REDACTED = "[secret]"
+#: Labelled sample of words that names are made of, for texts that have few plain words.
+WORDS = """
+about access account action active address after again agent alert alias align allow amount angle answer append apply archive
+array assert async attach author backup balance banner batch before below between binary block board border bottom branch
+bridge browser buffer build button bytes cache calendar camera cancel capture center chain change channel character check
+child choice class clean client clock close cluster code collect color column command comment common compare complete
+config confirm connect console content context control convert copy count create current cursor custom data date debug
+default define delete depth description design detail device digest direct display document domain double download draft
+driver during dynamic edge editor element empty enable encode energy engine entity entry error event every example
+exchange execute expand expect export extend external factor failure feature field figure file filter final first folder
+format forward frame function future general get global group handle header height hidden history image import
+""".split()
 
 _ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 _SIZE = len(_ALPHABET) + 2  # a start symbol, and one for any other character
@@ -48,6 +63,10 @@ _CODE[ord("\n")] = 0
 
 _SPAN = "struct<kind:string,start:int,end:int>"
 
+_word = re.compile(r"(?<![\w+/=.-])[A-Za-z][a-z]{2,14}(?![\w+/=-])")
+_number = re.compile(r"(?<![\w+/=-])[0-9][0-9-]{3,}(?![\w+/=-])")
+_JOINTS = ("_", "-", "/", "", "_", "/")
+
 _assign = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
 _access = re.compile(ACCESS)
 _hex = re.compile(HEX)
@@ -98,6 +117,24 @@ def digests(key: object) -> list[str]:
     return [d.hex()[:40], plain, letters]
 
 
+def ordinary_strings(words: Sequence[str], numbers: Sequence[str] = ()) -> list[str]:
+    """Names and paths of three words each, and numbers; the words come in an order that has nothing to do with the text's."""
+    mixed = sorted(set(words), key=lambda w: (zlib.crc32(w.encode()), w))
+    out = list(numbers)
+    for i in range(0, len(mixed), 3):
+        k, trio = i // 3, mixed[i : i + 3]
+        if k % 4 == 3:
+            trio = [trio[0].lower(), *[w.capitalize() for w in trio[1:]]]
+        name = _JOINTS[k % len(_JOINTS)].join(trio)
+        out.append(f"{name}{k % 100}" if k % 7 == 6 else name.upper() if k % 11 == 10 else name)
+    return out
+
+
+def decimals(key: object) -> str:
+    """Twenty digits made from an id: long numbers are ordinary."""
+    return f"{zlib.crc32(str(key).encode()):010d}{zlib.adler32(str(key).encode()):010d}"
+
+
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id``, ``base`` (pattern spans), ``runs`` (candidate spans) and their strings, for every document."""
     rows = docs.select("doc_id", text_or_empty(docs[text]).alias("__text"))
@@ -126,27 +163,45 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def train(scanned: DataFrame) -> np.ndarray:
-    """Log-likelihood ratios of pairs of characters, random against ordinary, from the rows of ``scan``."""
+def train(scanned: DataFrame, docs: DataFrame, text: str = "text") -> np.ndarray:
+    """Log-likelihood ratios of pairs of characters, random against ordinary, from the rows of ``scan`` and the texts."""
+
+    def counted(total: np.ndarray, label: int) -> pa.RecordBatch:
+        pair = np.flatnonzero(total)
+        columns = [pa.array(np.full(len(pair), label, dtype=np.int32)), pa.array(pair.astype(np.int32)), pa.array(total[pair])]
+        return pa.RecordBatch.from_arrays(columns, names=["label", "pair", "n"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((2, _SIZE * _SIZE), dtype=np.int64)
+    def count_random(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(_SIZE * _SIZE, dtype=np.int64)
         for batch in batches:
             made = [d for x in batch.column("doc_id") for d in digests(x.as_py())]
-            for label, strings in ((1, made + batch.column("values").flatten().to_pylist()), (0, batch.column("strings").flatten().to_pylist())):
-                total[label] += pair_counts(strings).ravel()
-        label, pair = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(label.astype(np.int32)), pa.array(pair.astype(np.int32)), pa.array(total[label, pair])],
-            names=["label", "pair", "n"],
-        )
-
-    counts = scanned.select("doc_id", "values", "strings").mapInArrow(count, "label int, pair int, n bigint")
-    table = np.full((2, _SIZE * _SIZE), SMOOTHING)
+            total += pair_counts(made + batch.column("values").flatten().to_pylist()).ravel()
+        yield counted(total, 1)
+
+    def count_ordinary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(_SIZE * _SIZE, dtype=np.int64)
+        for batch in pieces(batches):
+            words, numbers = set(), set()
+            for x in batch.column("__text"):
+                words.update(_word.findall(x.as_py()))
+                numbers.update(_number.findall(x.as_py()))
+            total += pair_counts(ordinary_strings(words, sorted(numbers))).ravel()
+        yield counted(total, 0)
+
+    kind = "label int, pair int, n bigint"
+    random = scanned.select("doc_id", "values").mapInArrow(count_random, kind)
+    ordinary = docs.select(text_or_empty(docs[text]).alias("__text")).mapInArrow(count_ordinary, kind)
+    counts = random.unionByName(ordinary)
+    table = np.zeros((2, _SIZE * _SIZE))
+    keys = range(len(WORDS))
+    table[0] += pair_counts(ordinary_strings(WORDS, [decimals(k) for k in keys])).ravel()
+    table[1] += pair_counts([d for k in keys for d in digests(k)]).ravel()
     for r in counts.groupBy("label", "pair").agg(F.sum("n").alias("n")).collect():
         table[r["label"], r["pair"]] += r["n"]
     table = table.reshape(2, _SIZE, _SIZE)[:, :, 1:]
-    chance = np.log(table / table.sum(axis=2, keepdims=True))
+    single = table.sum(axis=1, keepdims=True) + 1
+    single /= single.sum(axis=2, keepdims=True)
+    chance = np.log((table + SMOOTHING * single) / (table.sum(axis=2, keepdims=True) + SMOOTHING))
     ratio = np.zeros((_SIZE, _SIZE))
     ratio[:, 1:] = chance[1] - chance[0]
     return ratio
@@ -168,7 +223,7 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
     none.  Rows that repeat an id stay repeated.
     """
     scanned = materialise(scan(docs, text), "secret-candidates")
-    ratio = train(scanned)
+    ratio = train(scanned, docs, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -192,7 +247,7 @@ def redact(docs: DataFrame, text: str = "text", length: str = "n_chars") -> Data
     ``length``, if there is such a column, is set to the new length where a text changed.  Other columns and
     texts without secrets stay as they are.
     """
-    ratio = train(materialise(scan(docs, text), "secret-candidates"))
+    ratio = train(materialise(scan(docs, text), "secret-candidates"), docs, text)
 
     def clean(t: str | None) -> str | None:
         if not t:

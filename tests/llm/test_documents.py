@@ -175,7 +175,7 @@ def test_models_tell_random_from_ordinary(spark):
     syllables = ["an", "ter", "on", "ing", "the", "re", "al", "con", "pro", "ment", "is", "ed"]
     names = ["_".join("".join(rng.choice(syllables) for _ in range(rng.randint(2, 4))) for _ in range(3)) for _ in range(900)]
     docs = documents(spark, [f"here is {n} and {m}" for n, m in zip(names, names[1:])])
-    ratio = secret_scan.train(secret_scan.scan(docs))
+    ratio = secret_scan.train(secret_scan.scan(docs), docs)
     alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     held_random = ["".join(rng.choice(alphabet) for _ in range(24)) for _ in range(300)]
     held_names = ["_".join("".join(rng.choice(syllables) for _ in range(3)) for _ in range(3)) for _ in range(300)]
@@ -186,6 +186,24 @@ def test_models_tell_random_from_ordinary(spark):
     assert [(s["kind"], s["start"], s["end"]) for s in found["spans"]] == [("random", 2, 26)]
 
 
+@pytest.mark.parametrize(("secrets", "copies", "base64_rows"), [(1, 1, 0), (30, 1, 0), (300, 1, 0), (30, 9, 0), (30, 1, 400)])
+def test_secrets_in_the_corpus_do_not_hide_themselves(spark, secrets, copies, base64_rows):
+    rng = random.Random(secrets + copies + base64_rows)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    words = ["".join(rng.choice(["ka", "ter", "on", "lis", "mu", "re", "al", "vor"]) for _ in range(rng.randint(2, 4))) for _ in range(400)]
+    prose = lambda: " ".join(rng.choice(words) for _ in range(60))
+    hidden = ["".join(rng.choice(alphabet) for _ in range(24)) for _ in range(secrets)]
+    names = ["_".join(rng.choice(words) for _ in range(4)) for _ in range(200)] + ["/".join(rng.choice(words) for _ in range(5)) for _ in range(50)]
+    texts = [f"{prose()} {s} {prose()}" for s in hidden for _ in range(copies)]
+    clean = [f"{prose()} {n} {prose()} 1202-3344-5566-7788-99 {rng.randrange(10**19, 10**20)}" for n in names]
+    blobs = ["".join(rng.choice(alphabet + "+/") for _ in range(4000)) for _ in range(base64_rows)]
+    docs = documents(spark, [*texts, *clean, *blobs])
+    got = {r["doc_id"]: r["spans"] for r in secret_scan.find(docs).collect()}
+    found = sum(any(texts[i][s["start"] : s["end"]] == hidden[i // copies] for s in got[i]) for i in range(len(texts)))
+    assert found >= 0.9 * len(texts)
+    assert not any(got[i] for i in range(len(texts), len(texts) + len(clean)))
+
+
 def test_secrets_on_odd_rows(spark, odd):
     got = secret_scan.find(odd).collect()
     assert len(got) == len(ODD)
