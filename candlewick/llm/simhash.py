@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candlewick.sources.scratch import materialise
+from candlewick.sources.scratch import discard, materialise
 
 from .common import pieces, whole_groups
 from .components import components
@@ -49,7 +49,7 @@ MARKS = [*WIDE, "digest"]
 SET_BLOCK = 512
 WIDE_SHINGLE = 5
 SIMILARITY = 0.8
-WIDE_RECALL = 0.95
+WIDE_RECALL = 0.98
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 #: Wanted number of fingerprints under one key; decides how many blocks there are.
 BUCKET = 16
@@ -292,22 +292,34 @@ def _wide(hashes: np.ndarray) -> list[int]:
 
 
 def wide_fingerprints(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """Columns ``keep``, ``MARKS`` and ``grams`` (the sorted shingle hashes) of each document."""
+    """Columns ``keep`` and ``MARKS`` of each document."""
     rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text"))
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             sets = [shingle_hashes(x.as_py()) for x in batch.column("__text")]
-            grams = [g.tobytes() for g in sets]
-            values = [[*_wide(g), xxhash.xxh64_intdigest(x)] for g, x in zip(sets, grams)]
+            values = [[*_wide(g), xxhash.xxh64_intdigest(g.tobytes())] for g in sets]
             values = np.array(values, dtype=np.uint64).view(np.int64)
             columns = [pa.array(values[:, i]) for i in range(len(MARKS))]
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in keep], *columns, pa.array(grams, pa.binary())], names=[*keep, *MARKS, "grams"]
-            )
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], *columns], names=[*keep, *MARKS])
 
     marks = [F.lit(0).cast("bigint").alias(c) for c in MARKS]
-    return rows.mapInArrow(hashed, rows.select(*keep, *marks, F.lit(b"").alias("grams")).schema)
+    return rows.mapInArrow(hashed, rows.select(*keep, *marks).schema)
+
+
+def shingle_sets(docs: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Columns ``keep``, ``digest`` and ``grams`` (the sorted shingle hashes) of each document."""
+    rows = docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text"))
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches):
+            grams = [shingle_hashes(x.as_py()).tobytes() for x in batch.column("__text")]
+            digests = np.array([xxhash.xxh64_intdigest(g) for g in grams], dtype=np.uint64).view(np.int64)
+            columns = [*[batch.column(c) for c in keep], pa.array(digests), pa.array(grams, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*keep, "digest", "grams"])
+
+    added = [F.lit(0).cast("bigint").alias("digest"), F.lit(b"").alias("grams")]
+    return rows.mapInArrow(hashed, rows.select(*keep, *added).schema)
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -374,7 +386,8 @@ def similar_links(nodes: DataFrame, sets: DataFrame, candidates: DataFrame, simi
             yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
     rows = members.join(parted, "key", "left_semi").join(nodes.select("node", *WIDE), "node")
-    dealt = _block_pairs(rows.select("key", "node", "label", *WIDE), SET_BLOCK).join(sets, "node")
+    # By label, so that most blocks hold one label only, and two blocks of the same need not meet.
+    dealt = _block_pairs(rows.select("key", "node", "label", *WIDE), SET_BLOCK, "label").join(sets, "node")
     more = dealt.repartition("key").sortWithinPartitions("key", "node").mapInArrow(run, "a bigint, b bigint")
     return sure.unionByName(materialise(more, "settled-links"))
 
@@ -414,21 +427,30 @@ def _sampled(rows: DataFrame, bits: int, n_keys: int) -> DataFrame:
     return rows.select("key", "node", *WIDE).mapInArrow(deal, f"key bigint, node bigint, {', '.join(f'{c} bigint' for c in WIDE)}")
 
 
-def _block_pairs(entries: DataFrame, size: int) -> DataFrame:
+def _block_pairs(entries: DataFrame, size: int, label: str | None = None) -> DataFrame:
     """Entries (``key``, ``node``, ...) dealt so that any two of a key share a new key, each pair of blocks of ``size`` its own.
 
     ``block`` is the row's block and ``lone`` says that the new key holds that block only; elsewhere only rows of
-    different blocks are to be compared.
+    different blocks are to be compared.  With ``label``, rows of one label need not meet, and blocks that hold nothing else are
+    sent to blocks with others only.
     """
-    placed = materialise(ranked(entries, "key", "node"), "crowded-entries")
+    placed = materialise(ranked(entries, "key", *([label] if label else []), "node"), "crowded-entries")
     starts = placed.groupBy("key").agg(F.min("__rank").alias("__first"), F.max("__rank").alias("__last"))
     starts = materialise(starts, "crowded-starts")
     block = F.floor((F.col("__rank") - F.col("__first")) / size)
-    last = F.floor((F.col("__last") - F.col("__first")) / size)
     kept = [c for c in entries.columns if c != "key"]
-    dealt = placed.join(starts, "key").select(
-        "key", *kept, block.alias("block"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("with")
-    )
+    if label is None:
+        last = F.floor((F.col("__last") - F.col("__first")) / size)
+        dealt = placed.join(starts, "key").select(
+            "key", *kept, block.alias("block"), F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("with")
+        )
+    else:
+        blocked = placed.join(starts, "key").select("key", *kept, block.alias("block"))
+        blocks = blocked.groupBy("key", "block").agg(F.min(label).alias("__low"), F.max(label).alias("__high"))
+        blocks = materialise(blocks, "label-blocks")
+        others = blocks.select("key", F.col("block").alias("with"), F.col("__low").alias("__l"), F.col("__high").alias("__h"))
+        pairs = blocks.join(others, "key").filter("least(__low, __l) < greatest(__high, __h)").select("key", "block", "with")
+        dealt = blocked.join(pairs, ["key", "block"])
     new = F.xxhash64("key", F.least("block", "with"), F.greatest("block", "with"))
     return dealt.select(new.alias("key"), *kept, "block", (F.col("block") == F.col("with")).alias("lone"))
 
@@ -469,7 +491,7 @@ def _alike(table: pa.Table, distance: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(left or none), np.concatenate(right or none)
 
 
-def alike_links(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def alike_links(nodes: DataFrame, similarity: float = SIMILARITY, used: list[str] | None = None) -> DataFrame:
     """Edges (``a``, ``b``) between nodes (``node``, the words) whose fingerprints say they are alike.
 
     A bucket of more than ``MAX_BUCKET`` is compared block against block over several tasks, which loses no pair.
@@ -482,7 +504,7 @@ def alike_links(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             a, b = _alike(part, distance)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    entries = materialise(_sampled(nodes.withColumn("key", F.lit(0).cast("bigint")), bits, n_keys), "sampled-keys")
+    entries = materialise(_sampled(nodes.withColumn("key", F.lit(0).cast("bigint")), bits, n_keys), "sampled-keys", used)
     sizes = entries.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     crowded = materialise(sizes.filter(F.col("n") > MAX_BUCKET).select("key"), "crowded-keys")
     some = not crowded.isEmpty()
@@ -498,20 +520,50 @@ def alike_links(nodes: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     return edges.distinct()
 
 
-def _alike_members(docs: DataFrame, text: str, similarity: float) -> DataFrame:
-    marked = materialise(wide_fingerprints(docs, text), "wide-fingerprints")
+def _unclear_ids(marked: DataFrame) -> DataFrame:
+    """Ids that are repeated or null, which a clean table does not have, as ``__id``."""
+    seen = marked.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n"))
+    return materialise(seen.filter("__n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("__id")), "repeated-ids")
+
+
+def _sets_of(docs: DataFrame, text: str, wanted: DataFrame, unclear: DataFrame) -> DataFrame:
+    """``node`` and ``grams`` of the ``wanted`` nodes (``node``, ``digest``, ``first_id``), from one row of each.
+
+    Texts are read again for this, so that no shingles are stored but those of candidates.
+    """
+    rows = docs.select("doc_id", text)
+    clear = wanted.join(unclear, F.col("first_id").eqNullSafe(F.col("__id")), "left_anti").drop("digest")
+    mine = rows.join(clear.withColumnRenamed("first_id", "doc_id"), "doc_id")
+    sets = shingle_sets(mine, text, ["node"]).select("node", "grams")
+    if unclear.isEmpty():
+        return sets
+    # Where an id says nothing, the digest of the shingles tells which row is meant.
+    mixed = wanted.join(unclear, F.col("first_id").eqNullSafe(F.col("__id")), "left_semi").select("node", "digest")
+    odd = shingle_sets(rows.join(unclear, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi"), text)
+    return sets.unionByName(odd.groupBy("digest").agg(F.first("grams").alias("grams")).join(mixed, "digest").select("node", "grams"))
+
+
+def _alike_members(docs: DataFrame, text: str, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Members of the components as ``_members`` gives them, by ``MARKS``, and the unclear ids; both are written."""
+    used: list[str] = []
+    marked = materialise(wide_fingerprints(docs, text), "wide-fingerprints", used)
+    unclear = _unclear_ids(marked)
     carried = marked.groupBy(*MARKS).agg(F.min("doc_id").alias("first_id"))
-    nodes = materialise(carried.withColumn("node", F.monotonically_increasing_id()), "distinct-fingerprints")
-    candidates = materialise(alike_links(nodes, similarity).filter("a <> b"), "candidate-links")
+    nodes = materialise(carried.withColumn("node", F.monotonically_increasing_id()), "distinct-fingerprints", used)
+    keys: list[str] = []
+    candidates = materialise(alike_links(nodes, similarity, keys).filter("a <> b"), "candidate-links", used)
+    discard(docs.sparkSession, keys)
     ends = candidates.select(F.col("a").alias("node")).union(candidates.select("b")).distinct()
-    wanted = materialise(nodes.join(ends, "node").select("node", "digest"), "candidate-nodes")
-    once = marked.groupBy("digest").agg(F.first("grams").alias("grams"))
-    sets = materialise(once.join(wanted, "digest").select("node", "grams"), "candidate-sets")
+    wanted = materialise(nodes.join(ends, "node").select("node", "digest", "first_id"), "candidate-nodes", used)
+    sets = materialise(_sets_of(docs, text, wanted, unclear), "candidate-sets", used)
     groups = components(similar_links(nodes, sets, candidates, similarity))
     placed = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = placed.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    known = materialise(placed.join(lowest, "component").select(*MARKS, "component", "component_id"), "wide-components")
-    return marked.drop("grams").join(known, MARKS)
+    known = materialise(placed.join(lowest, "component").select(*MARKS, "component", "component_id"), "wide-components", used)
+    found = materialise(marked.join(known, MARKS), "members")
+    # What is left are one row per document and one per unclear id.
+    discard(docs.sparkSession, used)
+    return found, unclear
 
 
 def drop_near_duplicates(docs: DataFrame, text: str = "text", similarity: float | None = None) -> DataFrame:
@@ -522,16 +574,13 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", similarity: float
     fingerprints; of rows with equal id and component, and of the rows of a component that has no id at all, one stays.
     """
     if similarity is None:
-        found, marks = _members(docs, text, MAX_DISTANCE), ["fingerprint"]
+        found, marks = materialise(_members(docs, text, MAX_DISTANCE), "members"), ["fingerprint"]
+        unclear = _unclear_ids(found)
     else:
-        found, marks = _alike_members(docs, text, similarity), MARKS
-    found = materialise(found, "members")
-    seen = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n"))
+        (found, unclear), marks = _alike_members(docs, text, similarity), MARKS
     kept = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    once = kept.join(seen.filter("__n = 1 AND doc_id IS NOT NULL"), "doc_id", "left_semi").select("doc_id")
+    once = kept.join(unclear, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti").select("doc_id")
     out = docs.join(once, "doc_id", "left_semi").select(*docs.columns)
-    # Rows whose id is repeated or null, which a clean table does not have.
-    unclear = materialise(seen.filter("__n > 1 OR doc_id IS NULL").select(F.col("doc_id").alias("__id")), "repeated-ids")
     if unclear.isEmpty():
         return out
     rest = docs.join(unclear, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
