@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -19,7 +20,7 @@ from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FILE_BYTES = 256 << 20
@@ -46,6 +47,18 @@ def _open(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri) if "://" in uri or ":/" in uri else (fs.LocalFileSystem(), uri)
 
 
+def _root(spark: SparkSession) -> str:
+    """What stands before a path without scheme where Spark's default file system is not the local one."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = (conf.get("fs.defaultFS") or "file:///").rstrip("/")
+    return "" if root.startswith("file:") else root
+
+
+def _located(files: DataFrame) -> DataFrame:
+    root, name = _root(files.sparkSession), F.col("file")
+    return files.withColumn("file", F.when(name.startswith("/"), F.concat(F.lit(root), name)).otherwise(name)) if root else files
+
+
 def _one_line(value: str) -> str:
     """A header value; line breaks would end it."""
     return value.replace("\r", "%0D").replace("\n", "%0A")
@@ -95,30 +108,27 @@ def mark_revisits(rows: DataFrame, min_bytes: int = 0) -> DataFrame:
 def write(rows: DataFrame, folder: str, date: str | None = None) -> DataFrame:
     """Write archives of ``rows`` (as ``mark_revisits`` returns) below ``folder``; returns the lazy list of ``file``s.
 
-    Store the list once: each run of it writes new files.  Record ids are ``urn:page:<page_id>``, ``urn:page:`` for a
-    null id; a null URL is empty.
+    Store the list once: each run of it writes new files.  Record ids end in ``:<page_id>``, nothing for a null id; that of a
+    response names its payload, so that revisits can refer to it, and that of a revisit its file and number.  Rows
+    that repeat both page_id and payload share the id of their response.  A null URL is empty; an empty table gives no file.
     """
+    folder = _root(rows.sparkSession) + folder if folder.startswith("/") else folder
     stamp = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _open(folder)
         store.create_dir(root, recursive=True)
-        done, out, name = [], None, ""
+        done, out, name, number = [], None, "", 0
         for batch in batches:
             for row in batch.to_pylist():
                 if out is None:
                     name = f"{uuid.uuid4().hex}.warc.gz"
                     out = store.open_output_stream(f"{root}/{name}", compression=None)
                 payload = row["payload"].encode("utf-8")
-                of = row["response_id"]
-                raw = record(
-                    f"urn:page:{'' if row['page_id'] is None else row['page_id']}",
-                    row["url"] or "",
-                    payload,
-                    base64.b32encode(bytes.fromhex(row["sha1"])).decode(),
-                    None if of is None else f"urn:page:{of}",
-                    stamp,
-                )
+                of, page = row["response_id"], "" if row["page_id"] is None else row["page_id"]
+                sha, number = base64.b32encode(bytes.fromhex(row["sha1"])).decode(), number + 1
+                own = f"urn:page:{sha}:{page}" if of is None else f"urn:page:{name.partition('.')[0]}-{number}:{page}"
+                raw = record(own, row["url"] or "", payload, sha, None if of is None else f"urn:page:{sha}:{of}", stamp)
                 packer = zlib.compressobj(6, zlib.DEFLATED, 31)
                 out.write(packer.compress(raw) + packer.flush())
                 if out.tell() >= FILE_BYTES:
@@ -177,7 +187,11 @@ def scan(file: str) -> Iterator[dict]:
 
 
 def index(files: DataFrame) -> DataFrame:
-    """Index rows (``INDEX_SCHEMA``) of the archives named in column ``file``, each file scanned by one task."""
+    """Index rows (``INDEX_SCHEMA``) of the archives named in column ``file``, each file scanned by one task.
+
+    There are as many tasks as files: names are small, and adaptive execution would join all of them into one.
+    """
+    names = _located(files.select("file")).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,7 +205,7 @@ def index(files: DataFrame) -> DataFrame:
                 if rows:
                     yield _batch(rows, _INDEX)
 
-    return files.select("file").distinct().repartition("file").mapInArrow(run, INDEX_SCHEMA)
+    return names.repartition(max(1, names.count()), "file").mapInArrow(run, INDEX_SCHEMA)
 
 
 _INDEX = pa.schema(
@@ -229,7 +243,10 @@ def payload_of(raw: bytes) -> bytes:
 
 
 def read(selected: DataFrame) -> DataFrame:
-    """Records (``RECORD_SCHEMA``) of the selected index rows, by coalesced reads in file order."""
+    """Records (``RECORD_SCHEMA``) of the selected index rows, by coalesced reads in file order.
+
+    The number of tasks follows from the bytes to be read, not from those of the index rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for batch in batches for row in batch.to_pylist())
@@ -253,38 +270,45 @@ def read(selected: DataFrame) -> DataFrame:
             stream.close()
 
     columns = [f.name for f in _INDEX]
-    part = F.floor(F.col("offset") / (8 * READ_BYTES))
-    sorted_rows = selected.select(*columns).repartition("file", part).sortWithinPartitions("file", "offset")
+    wanted = _located(selected.select(*columns))
+    tasks = math.ceil((wanted.agg(F.sum("length")).first()[0] or 0) / READ_BYTES)
+    part = F.floor(F.col("offset") / READ_BYTES)
+    sorted_rows = wanted.repartition(max(1, tasks), "file", part).sortWithinPartitions("file", "offset")
     return sorted_rows.mapInArrow(run, RECORD_SCHEMA)
 
 
+MEASURED = ["record_id", "record_type", "refers_to", "named_digest", "payload_bytes", "payload_digest"]
+
+
 def measured(records: DataFrame) -> DataFrame:
-    """Records with ``payload_bytes`` and the digest of the payload that was read, without the payload itself."""
+    """Records with ``payload_bytes`` and ``payload_digest`` of the payload that was read, without the payload itself, and with
+    the digest that their header names as ``named_digest``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             payloads = batch.column("payload").to_pylist()
             sizes = pa.array([len(p) for p in payloads], pa.int64())
             seen = pa.array([digest(p) for p in payloads], pa.string())
-            columns = [batch.column(c) for c in ("record_id", "record_type", "refers_to")]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, sizes, seen], names=["record_id", "record_type", "refers_to", "payload_bytes", "payload_digest"]
-            )
+            columns = [batch.column(c) for c in ("record_id", "record_type", "refers_to", "payload_digest")]
+            yield pa.RecordBatch.from_arrays([*columns, sizes, seen], names=MEASURED)
 
-    return records.mapInArrow(
-        run, "record_id string, record_type string, refers_to string, payload_bytes bigint, payload_digest string"
-    )
+    kinds = [f"{c} {'bigint' if c == 'payload_bytes' else 'string'}" for c in MEASURED]
+    return records.mapInArrow(run, ", ".join(kinds))
 
 
 def resolved(records: DataFrame) -> DataFrame:
-    """``measured`` records in which a revisit has the size and digest of the payload it refers to."""
+    """``measured`` records in which a revisit has the size and digest of the payload it refers to.
+
+    They meet by the digest that the revisit names and the one that was read, so ids that are repeated do not matter; a
+    payload that is in no record leaves both null.
+    """
     columns = ("record_id", "record_type", "refers_to", "payload_bytes", "payload_digest")
     revisits = records.filter("record_type = 'revisit'")
-    named = records.filter("record_type = 'response'").groupBy(F.col("record_id").alias("__id")).agg(
-        F.first(F.struct("payload_bytes", "payload_digest")).alias("__full")
+    stored = records.filter("record_type = 'response'").groupBy(F.col("payload_digest").alias("__digest")).agg(
+        F.first("payload_bytes").alias("__bytes")
     )
-    full = revisits.join(named, F.col("refers_to") == F.col("__id"), "left").select(
-        "record_id", "record_type", "refers_to", "__full.payload_bytes", "__full.payload_digest"
+    full = revisits.join(stored, F.col("named_digest") == F.col("__digest"), "left").select(
+        "record_id", "record_type", "refers_to", F.col("__bytes").alias("payload_bytes"), F.col("__digest").alias("payload_digest")
     )
     return records.filter("record_type <> 'revisit'").select(*columns).unionByName(full)
 

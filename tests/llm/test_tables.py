@@ -29,7 +29,7 @@ def test_archives_round_trip(spark, monkeypatch):
     rng = random.Random(1)
     payloads = ["", None, "<p>é\r\n\r\n中</p>", "x" * 3_000_000, "WARC/1.1\r\n\r\n"] + ["".join(rng.choice("ab<>\n") for _ in range(200)) for _ in range(40)]
     rows = [(i, f"http://h/{i}\n", p) for i, p in enumerate(payloads)] + [(100 + i, None, payloads[5 + i % 3]) for i in range(30)]
-    rows += [(None, "u", "only null"), (None, "u", payloads[6]), (7, "again", payloads[7])]
+    rows += [(None, "u", "only null"), (None, "u", payloads[6]), (7, "again", payloads[7]), (1, "other", payloads[9]), (8, "other", payloads[1])]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, payload string").repartition(3)
     files = materialise(warc.write(warc.mark_revisits(pages), scratch_path(spark, "warc")), "files")
     names = [r["file"] for r in files.collect()]
