@@ -205,7 +205,8 @@ def index(files: DataFrame) -> DataFrame:
                 if rows:
                     yield _batch(rows, _INDEX)
 
-    return names.repartition(max(1, names.count()), "file").mapInArrow(run, INDEX_SCHEMA)
+    # By another expression than the names are made distinct by, or that exchange, which may be merged, would serve for both.
+    return names.repartition(max(1, names.count()), F.xxhash64("file")).mapInArrow(run, INDEX_SCHEMA)
 
 
 _INDEX = pa.schema(
