@@ -1,7 +1,8 @@
 """Declarative data-quality checks and their report.
 
 All row checks of a table share one scan and one aggregate.  Uniqueness and relationships count per
-key before anything is joined, so a key with many rows travels as one row per map task.
+key before anything is joined, so a key with many rows travels as one row per map task.  ``Watch`` measures row checks
+while a table is written, ``load_checks`` judges a load by its own keys.
 """
 
 from __future__ import annotations
@@ -11,10 +12,14 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from candlewick.sources.scratch import materialise
+
 ERROR, WARN = "error", "warn"
+REPORT_SCHEMA = "table_name string, column_name string, check_name string, severity string, n_violations bigint"
+KEY_KINDS = ("unique", "unique_combination", "relationship")
 
 
 @dataclass(frozen=True)
@@ -153,6 +158,65 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> Data
     return reduce(DataFrame.unionByName, parts)
 
 
+def load_checks(
+    stored: DataFrame, batch: DataFrame, tables: Mapping[str, DataFrame], checks: Iterable[Check], used: list[str] | None = None
+) -> DataFrame:
+    """Uniqueness and relationships of ``stored`` as they will be with ``batch`` in it, judged by the batch's keys.
+
+    ``stored`` must have passed before.  A key group breaks uniqueness if it comes several times in the batch or is stored
+    already.  The batch's keys are counted and written first: those that fit a broadcast meet the stored keys where they
+    lie, more of them are shuffled to the buckets of a bucketed table, so stored keys do not move.
+    """
+    parts = []
+    for check in checks:
+        keys = list(check.columns)
+        if check.kind == "relationship":
+            parts.append(_relationship(batch, check, tables))
+        elif check.kind in ("unique", "unique_combination"):
+            rows = batch.filter(F.col(keys[0]).isNotNull()) if check.kind == "unique" else batch
+            groups = materialise(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "load-keys", used)
+            met = stored_hits(stored, groups, keys).distinct()
+            broken = groups.filter(F.col("_n") > 1).select(*keys).unionByName(met).distinct()
+            parts.append(broken.agg(F.count(F.lit(1)).alias("_v")).select(F.inline(F.array(_row(check, F.col("_v"))))))
+        else:
+            raise ValueError(f"not a check of keys: {check.kind}")
+    if not parts:
+        raise ValueError("no checks were given")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def stored_hits(stored: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored keys that the batch has too; null keys are no keys."""
+    return stored.select(*keys).join(batch.select(*keys), list(keys), "left_semi")
+
+
+class Watch:
+    """Row checks and further figures of a frame, measured while it is written.
+
+    It belongs right below the write, in the last stage of the job: what a lost attempt of a task has counted is dropped
+    with it there, while the stages before it may run, and count, twice.
+    """
+
+    def __init__(self, checks: Iterable[Check] = (), **figures: Column):
+        self.checks = list(checks)
+        self._figures = figures
+        self._seen = Observation()
+
+    def on(self, df: DataFrame) -> DataFrame:
+        """``df`` with the measurement attached; to be written once."""
+        counts = [F.count_if(_violation(c)).alias(f"_c{i}") for i, c in enumerate(self.checks)]
+        return df.observe(self._seen, *counts, *[c.alias(name) for name, c in self._figures.items()])
+
+    def __getitem__(self, name: str):
+        """A figure, once the frame is written."""
+        return self._seen.get[name]
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """Report like that of ``run_checks``, one row per check."""
+        rows = [(c.table, c.column, c.kind, c.severity, self[f"_c{i}"]) for i, c in enumerate(self.checks)]
+        return spark.createDataFrame(rows, REPORT_SCHEMA)
+
+
 def raise_on_error(report: DataFrame) -> list:
     """Raise when an error-level check has violations; return the warnings that fired.
 

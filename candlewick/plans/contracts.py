@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from candlewick import schemas as S
 from candlewick.operators.checks import (
+    KEY_KINDS,
     Check,
     accepted_values,
     between,
@@ -27,6 +28,9 @@ SILVER_CONTRACTS: list[Check] = [
     unique_combination(SILVER, "price_date", "symbol"),
 ]
 
+#: Those that a load measures while it writes its new rows.
+SILVER_ROW_CONTRACTS = [c for c in SILVER_CONTRACTS if c.kind not in KEY_KINDS]
+
 STAGING_CONTRACTS: list[Check] = [
     *not_null(STAGING, "stock_symbol", "trade_date", "adjusted_close_price", "trade_volume"),
     matches(STAGING, "stock_symbol", S.TICKER_PATTERN).warn(),

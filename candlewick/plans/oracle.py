@@ -462,6 +462,23 @@ SELECT 'transform_load_silver' AS pipeline_step, symbol AS stock_symbol,
   CAST(sum(n_days) AS BIGINT) AS rows_processed, count(*) FILTER (WHERE is_kept) AS rows_inserted,
   CAST(sum(n_days) AS BIGINT) - count(*) FILTER (WHERE is_kept) AS rows_rejected
 FROM accepted GROUP BY symbol""",
+    "load_measured": f"""{_ON_PAYLOADS}, new_rows AS (SELECT DISTINCT ON (symbol, d) d AS price_date, symbol,
+  try_cast(t_adjusted AS DOUBLE) AS adjusted_close, try_cast(t_volume AS BIGINT) AS volume FROM accepted WHERE is_kept)
+SELECT unnest(['rows_processed', 'rows_loaded', 'n_rejected', 'rows_new', 'price_date not_null', 'symbol not_null',
+    'adjusted_close not_null', 'volume not_null', 'volume has_type']) AS figure,
+  unnest([(SELECT CAST(sum(n_days) AS BIGINT) FROM accepted), (SELECT count(*) FROM accepted WHERE is_kept),
+    (SELECT count(*) FROM judged WHERE reject IS NOT NULL), (SELECT count(*) FROM new_rows),
+    (SELECT count(*) - count(price_date) FROM new_rows), (SELECT count(*) - count(symbol) FROM new_rows),
+    (SELECT count(*) - count(adjusted_close) FROM new_rows), (SELECT count(*) - count(volume) FROM new_rows), 0]) AS value""",
+    "silver_bucketed": f"""{_SPLIT}
+SELECT {_SILVER_OUT} FROM (SELECT * FROM stored UNION ALL SELECT * EXCLUDE (l_returnflag) FROM fresh)""",
+    "dq_load_keys": f"""{_SPLIT}, broken AS (
+  SELECT price_date, symbol FROM batch GROUP BY ALL HAVING count(*) > 1
+  UNION SELECT price_date, symbol FROM batch SEMI JOIN stored USING (price_date, symbol))
+SELECT '{SILVER}' AS table_name, 'price_date,symbol' AS column_name, 'unique_combination' AS check_name,
+  'error' AS severity, count(*) AS n_violations FROM broken
+UNION ALL SELECT '{SILVER}', 'symbol', 'relationship', 'error', count(*) FROM batch
+WHERE symbol NOT IN (SELECT {_SYMBOL} FROM part WHERE p_type <> 'ECONOMY')""",
     "stream_pick_up": f"{_SILVER} SELECT {_SILVER_OUT} FROM prices",
     "dq_not_null": _checks(R.DQ_NOT_NULL),
     "dq_unique": _checks(R.DQ_UNIQUE),

@@ -29,7 +29,7 @@ from candlewick.operators.universe import in_universe, universe
 from candlewick.sources.bronze import latest_bronze, read_bronze, write_bronze
 from candlewick.sources.files import read_csv, read_seed
 from candlewick.sources.scratch import materialise, scratch_path
-from candlewick.sources.tables import AUDIT, QUARANTINE, SILVER, read_table, setup_tables
+from candlewick.sources.tables import AUDIT, QUARANTINE, SILVER, append_silver, read_table, setup_tables
 from candlewick.streaming.pickup import pick_up, refresh, track_newest, tracked_newest
 
 from . import mart as M
@@ -48,6 +48,8 @@ from .gold import (
 from .load import bronze_to_silver, land_payloads
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: Of silver tables whose loads may be too large for a broadcast.
+BUCKETS = 16
 RUN_TIME = "2002-01-01 00:00:00"
 UNIVERSE_JSON = '["b1.pr", "b2.pr", "b3.ec", "b4.sm", "b5.st", "b25.md", "nosuch"]'
 SECTORS = ["Tech & Comm", "Financial Services"]
@@ -453,9 +455,9 @@ def stream_newest(spark, folder):
     return tracked_newest(spark, out)
 
 
-def _fresh_schema(spark):
+def _fresh_schema(spark, buckets=None):
     name = f"cw_{uuid.uuid4().hex}"
-    setup_tables(spark, name, scratch_path(spark, name))
+    setup_tables(spark, name, scratch_path(spark, name), buckets)
     return name
 
 
@@ -612,6 +614,33 @@ def audit_table(spark, folder):
     return plain(audit.select("pipeline_step", "stock_symbol", "rows_processed", "rows_inserted", "rows_rejected"))
 
 
+def load_measured(spark, folder):
+    """Totals and row contracts of one load of the event payloads, as its writes measured them."""
+    load = bronze_to_silver(_event_load(spark, folder), _fresh_schema(spark), RUN_TIME)
+    totals = spark.createDataFrame(list(load.totals.items()), "figure string, value bigint")
+    checks = load.report.select(F.concat_ws(" ", "column_name", "check_name").alias("figure"), F.col("n_violations").alias("value"))
+    return totals.unionByName(checks)
+
+
+def silver_bucketed(spark, folder):
+    """Stored lines and a batch of open ones, loaded one after the other into a silver table cut by the hash of its keys."""
+    schema = _fresh_schema(spark, BUCKETS)
+    stored, batch = _split_load(spark, folder)
+    append_silver(stored, schema)
+    append_silver(insert_or_ignore(read_table(spark, schema, SILVER), batch, S.SILVER_KEY, ["l_returnflag"]), schema)
+    return plain(read_table(spark, schema, SILVER).drop("_ingestion_timestamp"))
+
+
+def dq_load_keys(spark, folder):
+    """Uniqueness and symbols of a batch of open lines, judged against stored ones before it is loaded."""
+    schema = _fresh_schema(spark, BUCKETS)
+    stored, batch = _split_load(spark, folder)
+    append_silver(stored, schema)
+    stocks = materialise(V.seed(spark, folder).select(F.lower("symbol").alias("symbol")).distinct(), "stocks")
+    checks = [Q.unique_combination(SILVER, *S.SILVER_KEY), Q.relationship(SILVER, "symbol", "dim_stock", "symbol")]
+    return Q.load_checks(read_table(spark, schema, SILVER), materialise(batch, "batch"), {"dim_stock": stocks}, checks)
+
+
 def stream_pick_up(spark, folder):
     """Files picked up by two runs of the stream, the second with only the later files left."""
     path, schema = scratch_path(spark, "bronze"), _fresh_schema(spark)
@@ -758,6 +787,9 @@ QUERIES: dict[str, Query] = {
     "bronze_latest": bronze_latest,
     "silver_load": silver_load,
     "audit_table": audit_table,
+    "load_measured": load_measured,
+    "silver_bucketed": silver_bucketed,
+    "dq_load_keys": dq_load_keys,
     "stream_pick_up": stream_pick_up,
     "load_rejects": load_rejects,
     "stream_rejects": stream_rejects,

@@ -30,16 +30,19 @@ def _columns(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema)
 
 
-def setup_tables(spark: SparkSession, schema: str, location: str | None = None) -> None:
+def setup_tables(spark: SparkSession, schema: str, location: str | None = None, buckets: int | None = None) -> None:
     """Create the schema and the silver, audit and quarantine tables where missing.
 
-    Silver is stored by year, so a load compares its keys with the years it touches and no others.
+    Silver is stored by year, so a load compares its keys with the years it touches and no others.  With ``buckets`` each year is
+    cut by the hash of the keys as well: a load too large for a broadcast is then shuffled to the stored keys, which stay where
+    they are.  That needs at least as many buckets as ``spark.sql.shuffle.partitions``, and costs a file per year and bucket.
     """
+    clustered = f" CLUSTERED BY ({', '.join(S.SILVER_KEY)}) INTO {buckets} BUCKETS" if buckets else ""
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{where}")
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {schema}.{SILVER} ({_columns(S.SILVER_SCHEMA)}, {S.SILVER_PART} int) USING parquet "
-        f"PARTITIONED BY ({S.SILVER_PART})"
+        f"PARTITIONED BY ({S.SILVER_PART}){clustered}"
     )
     for name, columns in ((AUDIT, S.AUDIT_SCHEMA), (CHANGES, S.CHANGES_SCHEMA), (REFRESHES, S.REFRESHES_SCHEMA)):
         spark.sql(f"CREATE TABLE IF NOT EXISTS {schema}.{name} ({_columns(columns)}) USING parquet")
@@ -60,9 +63,10 @@ def read_table(spark: SparkSession, schema: str, name: str) -> DataFrame:
     return df.drop(S.SILVER_PART) if name == SILVER else df
 
 
-def stored_years(batch: DataFrame, schema: str) -> DataFrame:
-    """Silver of the years that a batch touches; the number of years is the calendar's."""
-    years = [r[0] for r in batch.select(F.year("price_date")).distinct().collect()]
+def stored_years(batch: DataFrame, schema: str, years: Sequence[int] | None = None) -> DataFrame:
+    """Silver of the years that a batch touches, looked up unless given; the number of years is the calendar's."""
+    if years is None:
+        years = [r[0] for r in batch.select(F.year("price_date")).distinct().collect()]
     stored = fresh_table(batch.sparkSession, f"{schema}.{SILVER}")
     return stored.filter(F.col(S.SILVER_PART).isin(years)).drop(S.SILVER_PART)
 
@@ -176,14 +180,16 @@ def append_silver(rows: DataFrame, schema: str) -> None:
 
 
 def compact_silver(spark: SparkSession, schema: str, max_files: int = 16) -> list[int]:
-    """Write the years that have more than ``max_files`` files anew; returns them.
+    """Write the years that have more than ``max_files`` files, in any bucket if there are some, anew; returns them.
 
     Their rows are copied to scratch first, so a failure in between leaves the table as it was.
     """
     table = fresh_table(spark, f"{schema}.{SILVER}")
-    files = table.select(S.SILVER_PART, F.col("_metadata.file_path").alias("file")).distinct()
-    counts = files.groupBy(S.SILVER_PART).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_files)
-    years = sorted(r[S.SILVER_PART] for r in counts.collect())
+    # A file of a bucket ends in the number of the bucket; the others have none.
+    path = F.col("_metadata.file_path")
+    files = table.select(S.SILVER_PART, path.alias("file"), F.regexp_extract(path, r"_(\d+)\.c\d+\.[^/]*$", 1).alias("bucket")).distinct()
+    counts = files.groupBy(S.SILVER_PART, "bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_files)
+    years = sorted(r[S.SILVER_PART] for r in counts.select(S.SILVER_PART).distinct().collect())
     if years:
         used: list[str] = []
         rows = materialise(table.filter(F.col(S.SILVER_PART).isin(years)), "compact-years", used)
@@ -193,7 +199,7 @@ def compact_silver(spark: SparkSession, schema: str, max_files: int = 16) -> lis
     return years
 
 
-def append_quarantine(rejected: DataFrame, schema: str) -> None:
+def append_quarantine(rejected: DataFrame, schema: str, days: Sequence | None = None) -> None:
     """Keep rejected payloads with reason and origin; one that is there already is not stored again.
 
     The digest of a payload is stored with it, by the day of its landing, so only the digests of the days that the batch has
@@ -202,7 +208,8 @@ def append_quarantine(rejected: DataFrame, schema: str) -> None:
     columns, key = S.QUARANTINE_SCHEMA.names, [S.QUARANTINE_DAY, S.QUARANTINE_DIGEST]
     digest = F.sha2(F.to_json(F.struct(*columns)).cast("binary"), 256)
     marked = rejected.withColumn(S.QUARANTINE_DIGEST, digest).withColumn(S.QUARANTINE_DAY, F.to_date("loaded_at"))
-    days = [r[0] for r in marked.select(S.QUARANTINE_DAY).distinct().collect()]
+    if days is None:
+        days = [r[0] for r in marked.select(S.QUARANTINE_DAY).distinct().collect()]
     new = marked
     if days:
         new = marked.join(stored_digests(rejected.sparkSession, schema, days), [marked[k].eqNullSafe(F.col(f"__{k}")) for k in key], "left_anti")

@@ -1,16 +1,22 @@
 """Loads that are repeated, models that are refreshed and published, and what the stored layout prunes."""
 
+import uuid
+
 import pytest
 from pyspark.sql import functions as F
 
 from candlewick import schemas as S
 from candlewick.operators import parse
 from candlewick.operators.payload import READABLE
+from candlewick.operators import checks as Q
+from candlewick.operators.ranking import insert_or_ignore
 from candlewick.operators.stats import merged_moments, moments, with_zscore
 from candlewick.plans import bronze_to_silver, build_gold, gold_mart, select_rows
 from candlewick.plans import gold as G
 from candlewick.plans import views as V
+from candlewick.plans.contracts import SILVER_CONTRACTS
 from candlewick.plans.gold import check_layers, read_gold, refresh_gold
+from candlewick.plans.load import TOTALS
 from candlewick.plans.mart import chart_series, stored_zscores
 from candlewick.sources import latest_bronze, read_bronze, read_table
 from candlewick.sources.bronze import write_bronze
@@ -25,7 +31,9 @@ from candlewick.sources.tables import (
     compact_silver,
     pending_changes,
     publish,
+    setup_tables,
     stored_digests,
+    stored_years,
 )
 from candlewick.streaming import refresh, track_newest, tracked_newest
 
@@ -264,3 +272,72 @@ def test_newest_landing_survives_a_restart(spark, folder):
     got = {r["symbol"]: (r["date"], r["run"]) for r in tracked_newest(spark, out).collect()}
     latest = {r["symbol"]: (str(r["date"]), r["run"]) for r in latest_bronze(spark, folder).select("symbol", "date", "run").distinct().collect()}
     assert got == latest == {"A": ("2025-12-08", "093000"), "B+/1": ("2025-12-01", "093000")}
+
+
+# --- measured writes, keys that stay where they are ----------------------------------------
+
+
+def test_a_load_is_measured_by_its_own_writes(spark, schema):
+    broken = {**GOOD, "5. adjusted close": "NaN"}
+    rows = frame(
+        spark,
+        ("A", payload({"2019-03-15": GOOD, "2019-03-22": {**GOOD, "6. volume": "-1"}, "2020-03-20": broken})),
+        ("B", "no document"),
+        ("C", payload({})),
+    )
+    load = bronze_to_silver(rows, schema, NOW)
+    assert load.totals == {"rows_processed": 3, "rows_loaded": 2, "n_rejected": 1, "rows_new": 2}
+    counted = load.counts.groupBy().sum("rows_processed", "rows_loaded", "rows_new").first()
+    assert tuple(counted) == (3, 2, 2)
+    stored = Q.run_checks({SILVER: read_table(spark, schema, SILVER)}, [c for c in SILVER_CONTRACTS if c.kind not in Q.KEY_KINDS])
+    assert rows_of(load.report) == rows_of(stored)
+    assert {r["column_name"] for r in load.report.filter("n_violations > 0").collect()} == {"adjusted_close"}
+    again = bronze_to_silver(rows, schema, NOW)
+    assert again.totals["rows_new"] == 0 and again.report.filter("n_violations > 0").isEmpty()
+    assert read_table(spark, schema, QUARANTINE).count() == 1
+
+
+def test_a_checked_load_stops_before_silver(spark, schema):
+    rows = frame(spark, ("A", payload({"2019-03-15": {**GOOD, "5. adjusted close": "inf"}})))
+    with pytest.raises(Q.ContractViolation):
+        bronze_to_silver(rows, schema, NOW, check=True)
+    assert read_table(spark, schema, SILVER).isEmpty() and pending_changes(spark, schema).isEmpty()
+    assert bronze_to_silver(frame(spark), schema, NOW, check=True).totals == dict.fromkeys(TOTALS, 0)
+
+
+def test_stored_keys_of_a_bucketed_table_stay_where_they_are(spark):
+    schema = f"t_{uuid.uuid4().hex}"
+    setup_tables(spark, schema, scratch_path(spark, schema), buckets=8)
+    bronze_to_silver(frame(spark, ("A", payload({"2019-03-15": GOOD, "2020-03-20": GOOD}))), schema, NOW)
+    late = frame(spark, ("A", payload({"2019-03-15": GOOD, "2019-03-22": GOOD})), ("B", payload({"2019-03-15": GOOD})))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        silver = read_table(spark, schema, SILVER)
+        batch = materialise(silver.limit(1), "batch")
+        hits = Q.stored_hits(stored_years(batch, schema), batch, S.SILVER_KEY)
+        assert plan(hits).count("Exchange") == 1 and "Bucketed: true" in plan(hits)
+        assert hits.count() == 1
+        groups = silver.groupBy(*S.SILVER_KEY).count()
+        assert "Exchange" not in plan(groups)
+        assert bronze_to_silver(late, schema, NOW).totals["rows_new"] == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert bronze_to_silver(late, schema, NOW).totals["rows_new"] == 0
+    keys = sorted((str(r[0]), r[1]) for r in read_table(spark, schema, SILVER).select(*S.SILVER_KEY).collect())
+    assert keys == [("2019-03-15", "A"), ("2019-03-15", "B"), ("2019-03-22", "A"), ("2020-03-20", "A")]
+    compact_silver(spark, schema, max_files=0)
+    assert read_table(spark, schema, SILVER).groupBy(*S.SILVER_KEY).count().filter("count = 1").count() == 4
+
+
+def test_a_load_is_judged_by_its_own_keys(spark):
+    stored = spark.createDataFrame([(1, "a"), (2, "a")], "k int, s string")
+    batch = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b"), (3, "c"), (3, "c"), (None, "z")], "k int, s string")
+    parents = {"p": spark.createDataFrame([("a",), ("b",)], "name string")}
+    checks = [Q.unique_combination("t", "k", "s"), Q.unique("t", "k"), Q.relationship("t", "s", "p", "name").warn()]
+    report = Q.load_checks(stored, batch, parents, checks)
+    assert {r["column_name"]: r["n_violations"] for r in report.collect()} == {"k,s": 2, "k": 3, "s": 3}
+    clean = Q.load_checks(stored, batch.filter("k = 9"), parents, checks)
+    assert clean.filter("n_violations > 0").isEmpty() and clean.count() == 3
+    with pytest.raises(ValueError):
+        Q.load_checks(stored, batch, parents, Q.not_null("t", "k"))
