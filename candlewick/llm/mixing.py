@@ -1,7 +1,8 @@
 """Mixing sources to target weights.
 
 Sizes are summed per source, targets follow from weights with a ceiling on repetition, and each document is
-taken floor(rate) times, plus once more if a hash of its id and the seed falls below the fraction.  All of
+taken floor(rate) times, plus once more if a hash of its id and the seed falls below the fraction; rows that
+repeat an id draw by their place among such rows as well.  All of
 it is DataFrame expressions: a source with a third of the documents is summed before the shuffle, and its
 documents are joined to one row per source.
 """
@@ -27,9 +28,11 @@ def word_count(c: Column | str) -> Column:
     return F.regexp_count(text_or_empty(c), F.lit(r"[^\x20\x09-\x0D]+")).cast("bigint")
 
 
-def uniform(key: Column, seed: int = SEED) -> Column:
-    """A number in [0, 1) that depends on the key and the seed only; a null key is a key of its own."""
-    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(key.cast("string"), F.lit("null"))))
+def uniform(key: Column, seed: int = SEED, place: Column | None = None) -> Column:
+    """A number in [0, 1) that depends on the key, the seed and a place if there is one; a null key is a key of its own."""
+    parts = [F.lit(str(seed)), F.coalesce(key.cast("string"), F.lit("null"))]
+    # A null place is left out.
+    digest = F.md5(F.concat_ws(":", *parts, *([] if place is None else [place.cast("string")])))
     return F.conv(F.substring(digest, 1, 12), 16, 10).cast("bigint") / F.lit(float(1 << 48))
 
 
@@ -63,11 +66,30 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, max_rate: floa
     return placed.select("source", "source_size", F.coalesce(target, F.lit(0.0)).alias("target"))
 
 
+def _told_apart(sized: DataFrame) -> DataFrame:
+    """``sized`` with ``__place``: null, but for rows that repeat an id their number among all such rows.
+
+    They are ordered by id, source, size and text, so it does not matter how equal ones are stored.
+    """
+    ids = sized.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(F.col("doc_id").alias("__id"))
+    ids = materialise(ids, "repeated-ids")
+    if ids.isEmpty():
+        return sized.withColumn("__place", F.lit(None).cast("bigint"))
+    is_repeated = F.col("doc_id").eqNullSafe(F.col("__id"))
+    text = next((F.xxhash64(c) for c in ("__text", "text") if c in sized.columns), F.lit(0))
+    # The last sort key lets a range sort cut through equal rows.
+    rows = sized.join(ids, is_repeated, "left_semi").withColumns({"__hash": text, "__at_row": F.monotonically_increasing_id()})
+    numbered = ranked(materialise(rows, "repeated-rows"), "doc_id", "source", "size", "__hash", "__at_row")
+    numbered = numbered.withColumnRenamed("__rank", "__place").drop("__hash", "__at_row")
+    others = sized.join(ids, is_repeated, "left_anti").withColumn("__place", F.lit(None).cast("bigint"))
+    return others.unionByName(numbered)
+
+
 def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_rate: float = MAX_RATE, seed: int = SEED) -> DataFrame:
     """``docs`` with ``size``, ``source_size``, ``target`` and ``copies``.
 
-    A null text has size 0, a null source is a source of its own and the last one; rows that repeat an id share its
-    decision.  ``docs`` needs ``doc_id``, ``source`` and either ``text`` or a ``size`` counted before; other
+    A null text has size 0, a null source is a source of its own and the last one; rows that repeat an id are
+    drawn each for itself.  ``docs`` needs ``doc_id``, ``source`` and either ``text`` or a ``size`` counted before; other
     columns named like the added ones are replaced.
     """
     sized = docs if "size" in docs.columns else docs.withColumn("size", word_count("text"))
@@ -76,14 +98,15 @@ def plan(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_rate: float =
     goals = materialise(goals.withColumnRenamed("source", "__source"), "source-targets")
     columns = [c for c in sized.columns if c.lower() not in ("source_size", "target", "copies")]
     rate = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
-    extra = uniform(F.col("doc_id"), seed) < rate - F.floor(rate)
-    joined = sized.select(*columns).join(goals, F.col("source").eqNullSafe(F.col("__source")))
-    return joined.withColumn("copies", (F.floor(rate) + extra.cast("int")).cast("int")).drop("__source")
+    extra = uniform(F.col("doc_id"), seed, F.col("__place")) < rate - F.floor(rate)
+    joined = _told_apart(sized.select(*columns)).join(goals, F.col("source").eqNullSafe(F.col("__source")))
+    return joined.withColumn("copies", (F.floor(rate) + extra.cast("int")).cast("int")).drop("__source", "__place")
 
 
 def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_rate: float = MAX_RATE, seed: int = SEED) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with their own columns."""
     columns = docs.columns
-    planned = plan(docs.select(F.struct("*").alias("__row"), "doc_id", "source", word_count("text").alias("size")), weights, max_rate, seed)
+    rows = docs.select(F.struct("*").alias("__row"), "doc_id", "source", word_count("text").alias("size"), F.xxhash64("text").alias("__text"))
+    planned = plan(rows, weights, max_rate, seed)
     taken = planned.filter("copies > 0").select("__row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return taken.select(*[F.col(f"__row.`{c}`") for c in columns])
