@@ -74,27 +74,27 @@ def assign(
             F.sum("n_bytes").alias("bytes"), F.count(F.lit(1)).alias("n")
         )
         cells = materialise(cells, "hash-cells")
-        paths = cells.select("*", F.explode(F.sequence(F.lit(top), F.lit(depth))).alias("d")).select(
-            "cell", "bytes", "n", "d", F.col("cell").substr(F.lit(1), F.col("d")).alias("shard")
+        paths = cells.select("*", F.explode(F.sequence(F.lit(top), F.lit(depth))).alias("depth")).select(
+            "cell", "bytes", "n", "depth", F.col("cell").substr(F.lit(1), F.col("depth")).alias("shard")
         )
-        buckets = paths.groupBy("shard", "d").agg(F.sum("bytes").alias("shard_bytes"), F.sum("n").alias("shard_rows"))
+        buckets = paths.groupBy("shard", "depth").agg(F.sum("bytes").alias("shard_bytes"), F.sum("n").alias("shard_rows"))
         full = depth >= 2 * BITS
-        fits = buckets.filter((F.col("shard_bytes") <= limit) | (F.col("shard_rows") == 1) | F.lit(full) & (F.col("d") == depth))
+        fits = buckets.filter((F.col("shard_bytes") <= limit) | (F.col("shard_rows") == 1) | F.lit(full) & (F.col("depth") == depth))
         # The shortest prefix that fits; all shorter ones are too large, as sums only fall.
-        best = paths.select("cell", "shard", "d").join(fits, ["shard", "d"]).groupBy("cell").agg(
-            F.min(F.struct("d", "shard", "shard_bytes", "shard_rows")).alias("s")
+        best = paths.select("cell", "shard", "depth").join(fits, ["shard", "depth"]).groupBy("cell").agg(
+            F.min(F.struct("depth", "shard", "shard_bytes", "shard_rows")).alias("s")
         )
         directory = materialise(best.select(F.col("cell").alias("__cell"), "s.*"), "shard-directory")
         named = pending.withColumn("__cell", prefix(depth))
         out.append(
             named.join(directory, "__cell").select(
-                *kept, "n_bytes", "shard", F.col("d").alias("depth"), "shard_bytes", "shard_rows"
+                *kept, "n_bytes", "shard", "depth", "shard_bytes", "shard_rows"
             )
         )
-        open_cells = materialise(cells.join(directory, F.col("cell") == F.col("__cell"), "left_anti").select("cell"), "open-cells")
+        open_cells = materialise(cells.join(directory, F.col("cell") == F.col("__cell"), "left_anti").select(F.col("cell").alias("__open")), "open-cells")
         if open_cells.isEmpty():
             break
-        pending = materialise(named.join(open_cells, F.col("__cell") == F.col("cell"), "left_semi").drop("__cell"), "open-rows")
+        pending = materialise(named.join(open_cells, F.col("__cell") == F.col("__open"), "left_semi").drop("__cell"), "open-rows")
         top, depth = depth + 1, min(depth + 8, 2 * BITS) if depth != BITS else depth + 8
     shards = out[0]
     for part in out[1:]:
