@@ -257,6 +257,21 @@ def test_mix_comes_near_its_targets(spark):
     assert again == {tuple(r) for r in planned.select("doc_id", "copies").collect()}
 
 
+def test_rows_that_repeat_an_id_are_drawn_each_for_itself(spark):
+    docs = documents(spark, ["one two three four"] * 6000).select("doc_id", "text", F.when(F.col("doc_id") < 2000, "a").otherwise("b").alias("source"))
+    same = F.when(F.col("doc_id") < 2000, F.lit(7)).otherwise(F.col("doc_id")).cast("bigint")
+    docs = docs.withColumn("doc_id", same)
+    for rows in (docs, docs.withColumn("doc_id", F.nullif("doc_id", F.lit(7))), docs.repartition(3)):
+        by = mixing.plan(rows).groupBy("source").agg(F.max("target").alias("t"), F.sum(F.col("size") * F.col("copies")).alias("n"))
+        assert all(abs(r["n"] - r["t"]) < 0.05 * r["t"] for r in by.collect())
+        assert mixing.mix(rows).columns == rows.columns
+
+    def taken(rows):
+        return sorted((str(r["doc_id"]), r["copies"]) for r in mixing.plan(rows).select("doc_id", "copies").collect())
+
+    assert taken(docs) == taken(docs.repartition(3))
+
+
 def test_mixing_on_odd_rows(spark, odd):
     out = mixing.mix(odd)
     assert out.columns == odd.columns
@@ -318,6 +333,15 @@ def test_shards_fit(spark, odd, limit):
     assert all((r["shard_bytes"], r["shard_rows"]) == (sum(sums[r["shard"]]), len(sums[r["shard"]])) for r in got)
 
 
+def test_shards_keep_clashing_columns(spark):
+    clashing = ["d", "cell", "bytes", "n", "s", "depth", "Shard", "n_bytes"]
+    docs = documents(spark, [f"{i} " * 40 for i in range(60)]).select("doc_id", "text", *[F.lit("taken").alias(c) for c in clashing])
+    got = sharding.assign(docs, 2000)
+    assert [c for c in got.columns if c in clashing[:5]] == clashing[:5]
+    assert got.filter("d = 'taken' AND cell = 'taken' AND bytes = 'taken' AND n = 'taken' AND s = 'taken'").count() == 60
+    assert sharding.assign(docs, 10**9).count() == 60
+
+
 def test_equal_rows_split_too(spark):
     docs = spark.range(300).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit("x" * 100).alias("text"))
     got = sharding.assign(docs, 3000).select("shard", "shard_bytes").distinct().collect()
@@ -367,10 +391,69 @@ def test_passages(spark, odd):
     r = pairs.get((4, 3)) or pairs[3, 4]
     assert 0.9 < r["identity"] < 1 and r["end"] - r["start"] >= 85
     same = passage_dedup.find(odd).collect()
-    assert {(r["doc_id"], r["other_doc_id"]) for r in same} <= {(4, 4), (5, 4), (4, 5)} and same
+    # Row 3 says one sentence over and over.
+    assert {(r["doc_id"], r["other_doc_id"]) for r in same} - {(3, 3)} <= {(4, 4), (5, 4), (4, 5)} and len(same) > 1
+    assert (3, 3) in {(r["doc_id"], r["other_doc_id"]) for r in same}
     assert passage_dedup.find(odd.limit(0)).count() == 0
 
 
+def shared_runs(texts, least=passage_dedup.MIN_WORDS):
+    """Documents that have a run of ``least`` words at two places or with another document, by every run of every text."""
+    homes = {}
+    for i, words in enumerate(texts):
+        for at in range(len(words) - least + 1):
+            homes.setdefault(tuple(words[at : at + least]), []).append((i, at))
+    return {i for found in homes.values() if len(found) > 1 for i, _ in found}
+
+
+@pytest.mark.parametrize("block", [20, 25, 35, 45])
+def test_passages_of_frequent_blocks_are_found(spark, block):
+    rng = random.Random(block)
+
+    def prose(n):
+        return [f"{rng.choice('klmnp')}{rng.randrange(20_000)}" for _ in range(n)]
+
+    blocks = [prose(block) for _ in range(40)]
+    texts = [prose(30) + rng.choice(blocks) + prose(20) + rng.choice(blocks) + prose(10) for _ in range(300)]
+    for _ in range(40):
+        passage = sum(rng.sample(blocks, 3), [])
+        texts += [prose(40) + passage + prose(25), prose(15) + passage]
+    rng.shuffle(texts)
+    got = passage_dedup.find(documents(spark, [" ".join(t) for t in texts])).collect()
+    wanted = shared_runs(texts)
+    assert len(wanted) >= 80
+    assert wanted <= {i for r in got for i in (r["doc_id"], r["other_doc_id"])}
+    for r in got:
+        assert min(r["end"] - r["start"], r["other_end"] - r["other_start"]) >= 50 and r["identity"] >= 0.8
+
+
+def test_passages_that_a_document_repeats(spark):
+    rng = random.Random(11)
+
+    def prose(n):
+        return [f"{rng.choice('rstvw')}{rng.randrange(20_000)}" for _ in range(n)]
+
+    own, both = prose(80), prose(60)
+    texts = [
+        prose(20) + own + prose(30) + own + prose(5),
+        prose(60) + both + prose(80) + both + prose(40),
+        prose(10) + both + prose(10),
+        "lorem ipsum dolor sit".split() * 3000,
+        prose(200),
+    ]
+    rows = passage_dedup.find(documents(spark, [" ".join(t) for t in texts])).collect()
+    spans = {}
+    for r in rows:
+        spans.setdefault((r["doc_id"], r["other_doc_id"]), set()).add((r["start"], r["end"]))
+        if r["doc_id"] == r["other_doc_id"]:
+            assert r["other_end"] <= r["start"]
+    assert spans[0, 0] == {(130, 210)}
+    places = spans.get((1, 1), set()) | {(r["other_start"], r["other_end"]) for r in rows if r["other_doc_id"] == 1} | spans.get((1, 2), set())
+    assert {(60, 120), (200, 260)} <= places
+    assert (3, 3) in spans and not any(4 in k for k in spans)
+    assert {i for k in spans for i in k} == shared_runs(texts)
+
+
 def test_chains_are_collinear():
     rng = random.Random(7)
     for _ in range(50):
