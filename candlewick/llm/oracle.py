@@ -149,33 +149,52 @@ FROM rows_ JOIN (SELECT reach.rid, min(o.vec_id) AS component_id FROM reach JOIN
 
 # --- licences -----------------------------------------------------------------------
 
+_KNOWN = L.compiled(L.TEMPLATES)
 _TEMPLATES = ", ".join(
-    f"('{name}', {i}, {len(grams)}, '{g}')"
-    for name, texts in L.TEMPLATES.items()
-    for i, grams in enumerate(map(L.template_bigrams, texts))
-    for g in grams
+    f"({i}, '{t.license}', {len(t.words)}, {len(t.bigrams)}, '{g}')" for i, t in enumerate(_KNOWN) for g in t.bigrams
 )
-OP8 = f"""WITH known(license, template, n_template, bigram) AS (VALUES {_TEMPLATES}),
+_ANCHORS = ", ".join(f"('{g}', {t}, {at})" for g, spots in L.anchors(_KNOWN).items() for t, at in spots)
+
+
+def _best_of_overlapping(source: str, target: str, by: str) -> str:
+    return f"""{target}_open AS (SELECT *, coalesce(start < max(stop) OVER (PARTITION BY {by} ORDER BY start, stop, license
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), FALSE) AS joined FROM {source}),
+{target}_runs AS (SELECT *, count(*) FILTER (NOT joined) OVER (PARTITION BY {by} ORDER BY start, stop, license
+    ROWS UNBOUNDED PRECEDING) AS run FROM {target}_open),
+{target} AS (SELECT * EXCLUDE (joined, run) FROM {target}_runs
+  QUALIFY row_number() OVER (PARTITION BY {by}, run ORDER BY dice DESC, n_template DESC, template, start) = 1)"""
+
+
+OP8 = f"""WITH known(template, license, n_words, n_template, bigram) AS (VALUES {_TEMPLATES}),
+anchors(bigram, template, place) AS (VALUES {_ANCHORS}),
 docs AS (SELECT row_number() OVER () AS rid, doc_id,
     lower(regexp_replace(coalesce(text, ''), '[^\\p{{L}}\\p{{N}}\\n]+', ' ', 'g')) AS plain FROM documents),
-parted AS (SELECT *, string_split(plain, chr(10)) AS lines, string_split_regex(plain, '\\n *\\n') AS paragraphs FROM docs),
+parted AS (SELECT *, string_split(plain, chr(10)) AS lines, string_split_regex(plain, '\\n *\\n') AS paragraphs,
+  regexp_extract_all(plain, '[^ \\n]+') AS words FROM docs),
+pairs AS (SELECT rid, i, words[i] || ' ' || words[i + 1] AS bigram FROM (SELECT *, unnest(range(1, len(words))) AS i FROM parted)),
+windows AS (SELECT DISTINCT rid, greatest(i - 1 - place, 0) AS start, template FROM pairs JOIN anchors USING (bigram)),
 units AS (
-  SELECT rid, doc_id, 'line' AS unit, unnest(range(len(lines))) AS unit_no, unnest(lines) AS body FROM parted
-  UNION ALL SELECT * FROM (SELECT rid, doc_id, 'paragraph', unnest(range(len(paragraphs))), unnest(paragraphs) AS body
+  SELECT rid, doc_id, 'line' AS unit, unnest(range(len(lines))) AS start, unnest(lines) AS body, -1 AS only_ FROM parted
+  UNION ALL SELECT *, -1 FROM (SELECT rid, doc_id, 'paragraph', unnest(range(len(paragraphs))), unnest(paragraphs) AS body
     FROM parted) WHERE contains(body, chr(10))
-  UNION ALL SELECT rid, doc_id, 'document', 0, plain FROM parted WHERE len(paragraphs) > 1),
+  UNION ALL SELECT rid, doc_id, 'document', 0, plain, -1 FROM parted WHERE len(paragraphs) > 1
+  UNION ALL SELECT rid, doc_id, 'window', start, array_to_string(words[start + 1:start + n_words], ' '), template
+    FROM windows JOIN parted USING (rid) JOIN (SELECT DISTINCT template, n_words FROM known) USING (template)),
 worded AS (SELECT *, regexp_extract_all(body, '[^ \\n]+') AS w FROM units),
-grams AS (SELECT DISTINCT rid, doc_id, unit, unit_no, w[i] || ' ' || w[i + 1] AS bigram
+grams AS (SELECT DISTINCT rid, doc_id, unit, start, only_, w[i] || ' ' || w[i + 1] AS bigram
   FROM (SELECT *, unnest(range(1, len(w))) AS i FROM worded)),
-sized AS (SELECT *, count(*) OVER (PARTITION BY rid, unit, unit_no) AS n_bigrams FROM grams),
-counted AS (SELECT rid, doc_id, unit, unit_no, n_bigrams, license, template, n_template, count(*) AS shared
-  FROM sized JOIN known USING (bigram) GROUP BY ALL),
-hits AS (SELECT *, round(2 * shared / (n_bigrams + n_template), 6) AS dice FROM counted
-  WHERE 2 * shared / (n_bigrams + n_template) >= {L.THRESHOLD}),
-best AS (SELECT *, row_number() OVER (PARTITION BY rid, unit, unit_no ORDER BY dice DESC, license, template) AS k FROM hits)
-SELECT doc_id, unit, CAST(unit_no AS INTEGER) AS unit_no, license, CAST(shared AS BIGINT) AS shared,
+sized AS (SELECT *, count(*) OVER (PARTITION BY rid, unit, start, only_) AS n_bigrams FROM grams),
+counted AS (SELECT rid, doc_id, unit, start, only_, n_bigrams, license, template, n_words, n_template, count(*) AS shared
+  FROM sized JOIN known USING (bigram) WHERE only_ IN (-1, template) GROUP BY ALL),
+hits AS (SELECT *, round(2 * shared / (n_bigrams + n_template), 6) AS dice,
+    start + CASE WHEN unit = 'window' THEN n_words ELSE 1 END AS stop FROM counted
+  WHERE 2 * shared / (n_bigrams + n_template) >= {L.THRESHOLD}
+  QUALIFY row_number() OVER (PARTITION BY rid, unit, start, only_ ORDER BY dice DESC, n_template DESC, template) = 1),
+{_best_of_overlapping("hits", "shifted", "rid, unit, license")},
+{_best_of_overlapping("shifted", "best", "rid, unit")}
+SELECT doc_id, unit, CAST(start AS INTEGER) AS unit_no, license, CAST(shared AS BIGINT) AS shared,
   CAST(n_bigrams AS INTEGER) AS n_bigrams, CAST(n_template AS INTEGER) AS n_template, CAST(dice AS DOUBLE) AS dice
-FROM best WHERE k = 1"""
+FROM best"""
 
 # --- Merkle manifest -----------------------------------------------------------------
 

@@ -353,7 +353,7 @@ def test_equal_rows_split_too(spark):
 
 
 def test_licences(spark, odd):
-    mit = license_scan.TEMPLATES["MIT"][1]
+    mit = license_scan.MIT_GRANT
     texts = [
         "intro\nReleased under the  MIT License!\nmore text here",
         "a b c\n\n" + mit[:120] + "\n" + mit[120:].replace("merge", "join") + "\n\nend",
@@ -367,6 +367,52 @@ def test_licences(spark, odd):
     assert license_scan.find(odd).count() == license_scan.find(odd.limit(0)).count() == 0
 
 
+def test_licence_wordings(spark):
+    full = f"{license_scan.MIT_GRANT} {license_scan.MIT_REST}"
+    bsd = license_scan.TEMPLATES["BSD-3-Clause"][-1]
+    filler = "ner wand os tilly " * 300
+    cases = [
+        ("Released under the MIT License.", {"MIT"}),
+        ("MIT License Copyright 2020 X " + full, {"MIT"}),
+        ("Licensed under the MIT License.", {"MIT"}),
+        ("This project is licensed under the MIT License.", {"MIT"}),
+        ("Copyright 2020 X. Released under the MIT License. All rights reserved.", {"MIT"}),
+        ("// SPDX-License-Identifier: Apache-2.0", {"Apache-2.0"}),
+        (filler + full + " " + filler, {"MIT"}),
+        (filler + bsd.replace("copyright holder", "regents"), {"BSD-3-Clause"}),
+        (f"{full} {bsd}", {"MIT", "BSD-3-Clause"}),
+        ("you see it is distributed under the GNU General Public License v2.0 or so they say", {"GPL-2.0"}),
+        ("Licensed under CC BY-NC-SA 4.0", {"CC-BY-NC-SA-4.0"}),
+        ("the general public of the license office likes the software", set()),
+        ("Released under the Foo License.", set()),
+    ]
+    got = {i: set() for i in range(len(cases))}
+    for r in license_scan.find(documents(spark, [t for t, _ in cases])).collect():
+        got[r["doc_id"]].add(r["license"])
+    assert [got[i] for i in range(len(cases))] == [want for _, want in cases]
+
+
+def test_anchors_are_in_every_match():
+    """Whatever third of a template's bigrams is missing, an anchor is left."""
+    known = license_scan.compiled(license_scan.TEMPLATES)
+    places = license_scan.anchors(known)
+    for number, t in enumerate(known):
+        mine = {g for g in t.bigrams if any(n == number for n, _ in places.get(g, []))}
+        needed = license_scan.THRESHOLD / (2 - license_scan.THRESHOLD) * len(t.bigrams)
+        assert len(t.bigrams) - len(mine) < needed
+        assert all(t.words[at : at + 2] == g.split() for g in mine for n, at in places[g] if n == number)
+
+
+def test_licence_texts_of_a_folder(spark, tmp_path):
+    words = [f"w{i}" for i in range(900)]
+    (tmp_path / "House-1.0.txt").write_text(" ".join(words))
+    own = license_scan.read_templates(spark, str(tmp_path))
+    assert set(own) == {"House-1.0"}
+    changed = " ".join(w if i % 20 else "other" for i, w in enumerate(words))
+    [hit] = license_scan.find(documents(spark, ["a b c " + changed + " d e", "w1 w2 w3"]), own).filter("unit = 'window'").collect()
+    assert hit["license"] == "House-1.0" and hit["doc_id"] == 0 and hit["unit_no"] == 3 and hit["dice"] > 0.89
+
+
 # --- passages -----------------------------------------------------------------------
 
 
