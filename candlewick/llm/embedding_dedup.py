@@ -30,12 +30,14 @@ from .ranking import ranked
 
 THRESHOLD = 0.95
 RECALL = 0.999
-BLOCK = 1536
+BLOCK = 4096
 OVERLAP = 512
 BITS = 64
 SEED = 20261202
 #: Rows whose cosines are taken at once.
 CHUNK = 512
+#: What the key of a group has room for.
+MAX_BLOCKS, MAX_PASSES, MAX_LENGTH = 1 << 20, 1 << 8, 1 << 15
 
 
 def usable(vector: Column) -> Column:
@@ -55,10 +57,17 @@ def prefix_bits(n: int, block: int = BLOCK) -> int:
     return int(max(0.0, math.log2(max(n, 1) / block)))
 
 
-def unit_rows(vectors: list) -> np.ndarray:
-    m = np.array(vectors, dtype=np.float64)
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Lists of equal length without nulls as rows."""
+    parts = column.chunks if isinstance(column, pa.ChunkedArray) else [column]
+    return np.concatenate([p.flatten().to_numpy(zero_copy_only=False) for p in parts]).reshape(len(column), -1)
+
+
+def unit_rows(vectors: np.ndarray) -> np.ndarray:
+    m = vectors.astype(np.float64)
     m /= np.abs(m).max(axis=1, keepdims=True)
-    return m / np.sqrt((m * m).sum(axis=1, keepdims=True))
+    m /= np.sqrt((m * m).sum(axis=1, keepdims=True))
+    return m
 
 
 def _signatures(nodes: DataFrame, passes: int) -> DataFrame:
@@ -68,10 +77,10 @@ def _signatures(nodes: DataFrame, passes: int) -> DataFrame:
         planes: dict[int, np.ndarray] = {}
         for batch in batches:
             vectors = batch.column("vector")
-            dims = np.array([len(v) for v in vectors])
+            dims = vectors.value_lengths().to_numpy(zero_copy_only=False)
             for dim in np.unique(dims):
                 at = np.flatnonzero(dims == dim)
-                rows = unit_rows(vectors.take(pa.array(at)).to_pylist())
+                rows = unit_rows(_matrix(vectors.take(pa.array(at))))
                 names = batch.column("node").to_numpy()[at]
                 if dim not in planes:
                     planes[dim] = np.random.default_rng((SEED, int(dim))).standard_normal((dim, passes * BITS))
@@ -118,15 +127,15 @@ def _compare(table: pa.Table, threshold: float) -> tuple[np.ndarray, np.ndarray,
     """(vector, other or -1, links) rows of one block or pair of blocks: link counts, then edges of a spanning forest."""
     key = table.column("key")[0].as_py()
     step, left_block, right_block = key >> 40 & 0xFF, key >> 20 & 0xFFFFF, key & 0xFFFFF
-    places = np.array(table.column("places").to_pylist(), dtype=np.int64)
-    runs = np.array(table.column("runs").to_pylist(), dtype=np.int64)
+    places = _matrix(table.column("places")).astype(np.int64)
+    runs = _matrix(table.column("runs")).astype(np.int64)
     # Rows that were together before stand together, so that chunks of them are passed over.
     order = np.lexsort((*runs[:, :step].T[::-1], places[:, step] >> 1))
     places, runs = places[order], runs[order]
     node = table.column("node").to_numpy()[order]
     copies = table.column("copies").to_numpy()[order]
     home, over = places >> 1, places & 1
-    rows = unit_rows(table.column("vector").to_pylist())[order]
+    rows = unit_rows(_matrix(table.column("vector"))[order])
     n = len(rows)
     links = np.zeros(n, dtype=np.int64)
     top = np.arange(n)  # the root of each row so far
@@ -193,7 +202,8 @@ def near_duplicates(
 
     Vectors of different length never link; nor do null, zero and non-finite ones, which are components of their
     own.  Rows that repeat a vector link with each other, also where the id is repeated.  A component's id is its
-    smallest id; it is null, and its rows are kept, only where no row of it has one.
+    smallest id; it is null, and its rows are kept, only where no row of it has one.  An empty table gives no rows, and
+    other columns play no part.  More vectors than the key of a group can number are refused.
     """
     v = F.col(vector)
     good = vectors.filter(usable(v)).select(F.col(name).alias("id"), v.alias("vector"))
@@ -201,6 +211,9 @@ def near_duplicates(
     nodes = materialise(grouped.withColumn("node", F.monotonically_increasing_id()), "distinct-vectors")
     n_nodes = nodes.count()
     passes = pass_count(n_nodes, threshold, recall, BLOCK)
+    longest = nodes.agg(F.coalesce(F.max(F.size("vector")), F.lit(0))).first()[0]
+    if n_nodes // BLOCK + 2 > MAX_BLOCKS or passes > MAX_PASSES or longest >= MAX_LENGTH:
+        raise ValueError(f"{n_nodes} vectors of up to {longest} components in {passes} passes do not fit the group key")
     spots = _places(_signatures(nodes, passes), prefix_bits(n_nodes, BLOCK))
 
     carried = ["node", "vector", "copies", "places", "runs"]
