@@ -81,7 +81,8 @@ def assign(
         full = depth >= 2 * BITS
         fits = buckets.filter((F.col("shard_bytes") <= limit) | (F.col("shard_rows") == 1) | F.lit(full) & (F.col("depth") == depth))
         # The shortest prefix that fits; all shorter ones are too large, as sums only fall.
-        best = paths.select("cell", "shard", "depth").join(fits, ["shard", "depth"]).groupBy("cell").agg(
+        # Both sides grow with the number of shards, and lie by prefix already: no broadcast.
+        best = paths.select("cell", "shard", "depth").join(fits.hint("merge"), ["shard", "depth"]).groupBy("cell").agg(
             F.min(F.struct("depth", "shard", "shard_bytes", "shard_rows")).alias("s")
         )
         directory = materialise(best.select(F.col("cell").alias("__cell"), "s.*"), "shard-directory")
@@ -91,7 +92,7 @@ def assign(
                 *kept, "n_bytes", "shard", "depth", "shard_bytes", "shard_rows"
             )
         )
-        open_cells = materialise(cells.join(directory, F.col("cell") == F.col("__cell"), "left_anti").select(F.col("cell").alias("__open")), "open-cells")
+        open_cells = materialise(cells.join(directory.hint("merge"), F.col("cell") == F.col("__cell"), "left_anti").select(F.col("cell").alias("__open")), "open-cells")
         if open_cells.isEmpty():
             break
         pending = materialise(named.join(open_cells, F.col("__cell") == F.col("__open"), "left_semi").drop("__cell"), "open-rows")
