@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from candlewick import schemas as S
 from candlewick.functions import strict_date, to_price, tolerant_bigint, tolerant_double
 
-from .payload import ROWS, SERIES, quality_rule
+from .payload import ROWS, dated, quality_rule
 
 _TYPED = ["price_date", *S.SERIES_FIELDS.values()]
 
@@ -18,11 +18,10 @@ def flatten(parsed: DataFrame, keep: tuple[str, ...] = ("symbol",)) -> DataFrame
 
     A payload without the series gives no rows.  Unknown fields are dropped.
     """
-    rows = parsed.select(*keep, F.explode(SERIES).alias("price_date", "_fields"))
-    return rows.select(
+    return dated(parsed, keep).select(
         *keep,
-        "price_date",
-        *[F.col("_fields")[field].alias(name) for field, name in S.SERIES_FIELDS.items()],
+        F.col("day").alias("price_date"),
+        *[F.col("row")[field].alias(name) for field, name in S.SERIES_FIELDS.items()],
     )
 
 

@@ -18,6 +18,7 @@ from candlewick.operators import (
     universe,
     validate,
 )
+from candlewick.operators.payload import dated
 from candlewick.operators.universe import request_fields
 
 from helpers import GOOD, NEGATIVE, SERIES, frame, payload, without
@@ -222,3 +223,16 @@ def test_universe(spark):
     assert [r[0] for r in universe(spark).collect()] == ["IBM", "MSFT"]
     row = request_fields(universe(spark, '["V"]'), "u", "WEEKLY", "k").first()
     assert row["api_params"] == {"function": "WEEKLY", "apikey": "k", "symbol": "V"}
+
+
+@pytest.mark.parametrize("step", [flatten, dated])
+def test_entries_parse_a_payload_once(spark, step):
+    plan = step(parse(frame(spark, *CASES.items())))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1
+
+
+def test_entries_of_a_series(spark):
+    rows = dated(parse(frame(spark, *CASES.items())), ["symbol"]).groupBy("symbol").count()
+    got = {r["symbol"]: r["count"] for r in rows.collect()}
+    assert got["good"] == 1 and got["bad_date"] == 2 and got["null_entry"] == 2
+    assert not {"empty", "null_series", "no_series", "bad_text", "text_series"} & set(got)
