@@ -2,18 +2,22 @@
 
 One run lands a symbol in one folder, however many files it takes, so the newest landing of a symbol is the greatest
 (date, run) and all of its files.
+
+A folder and a file for each symbol cost more than their payloads where symbols are many and small.  Such a source is landed
+packed: JSON lines of symbol and payload under ``date=<d>/run=<HHMMSS>/``, with as many files as its size asks for.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 from pyspark.sql.utils import AnalysisException
 
 from candlewick.functions import strict_date
 
-from .scratch import materialise
+from .scratch import discard, materialise
 
 # Given, never inferred: a folder of numeric tickers would turn `symbol` into an integer.
 BRONZE_SCHEMA = T.StructType(
@@ -34,6 +38,18 @@ def folder_name(value: str) -> str:
     return "".join(f"%{ord(c):02X}" if c in _ESCAPED else c for c in value)
 
 
+def _run_names(run_time: str) -> tuple[Column, Column]:
+    """Date and run, as the folders of a landing have them."""
+    at = F.lit(run_time).cast("timestamp_ntz")
+    return F.date_format(at, "yyyy-MM-dd"), F.date_format(at, "HHmmss")
+
+
+def _lines(payloads: DataFrame, run_time: str) -> DataFrame:
+    day, run = _run_names(run_time)
+    text = F.regexp_replace("payload", r"[\r\n]+", " ")
+    return payloads.select(text.alias("payload"), "symbol", day.alias("date"), run.alias("run"))
+
+
 def write_bronze(payloads: DataFrame, path: str, run_time: str) -> DataFrame:
     """Land payloads (``symbol``, ``payload``) of one run; returns ``symbol`` and ``key`` of what it wrote.
 
@@ -43,15 +59,9 @@ def write_bronze(payloads: DataFrame, path: str, run_time: str) -> DataFrame:
     One line per payload.  JSON has no raw line breaks inside strings, so those between tokens are
     replaced by blanks and the document stays the same.
     """
-    at = F.lit(run_time).cast("timestamp_ntz")
-    day, run = F.date_format(at, "yyyy-MM-dd"), F.date_format(at, "HHmmss")
+    day, run = _run_names(run_time)
     (
-        payloads.select(
-            F.regexp_replace("payload", r"[\r\n]+", " ").alias("payload"),
-            "symbol",
-            day.alias("date"),
-            run.alias("run"),
-        )
+        _lines(payloads, run_time)
         # A few files per symbol instead of one per task; a large symbol is split again.
         .hint("rebalance", "symbol")
         .write.mode("overwrite")
@@ -63,6 +73,39 @@ def write_bronze(payloads: DataFrame, path: str, run_time: str) -> DataFrame:
     return payloads.select("symbol").distinct().select("symbol", key.alias("key"))
 
 
+def write_packed(payloads: DataFrame, path: str, run_time: str) -> None:
+    """Land payloads (``symbol``, ``payload``) of one run in files that many symbols share.
+
+    As in ``write_bronze`` a repeated run leaves each payload once and other symbols and runs stay: what the run has landed of
+    other symbols is written again beside the new payloads.  The folder of the run is replaced in one piece.
+    """
+    spark, rows, used = payloads.sparkSession, _lines(payloads, run_time), []
+    day, run = _run_names(run_time)
+    try:
+        landed = _packed(spark.read, path).filter((F.col("date") == day) & (F.col("run") == run))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        landed = None
+    if landed is not None and not landed.isEmpty():
+        rows = materialise(rows, "packed-payloads", used)
+        new = rows.select(F.col("symbol").alias("__symbol")).distinct()
+        others = landed.join(new, F.col("symbol").eqNullSafe(F.col("__symbol")), "left_anti")
+        rows = rows.unionByName(materialise(others, "packed-others", used))
+    (
+        rows.hint("rebalance", "symbol")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date", "run")
+        .json(path)
+    )
+    discard(spark, used)
+
+
+def _packed(reader: DataFrameReader | DataStreamReader, path: str) -> DataFrame:
+    return reader.schema(BRONZE_SCHEMA).json(path)
+
+
 def with_origin(df: DataFrame, whole_files: bool = False) -> DataFrame:
     """Add landing time and file of each payload; the time orders payloads of one symbol.
 
@@ -80,15 +123,23 @@ def with_origin(df: DataFrame, whole_files: bool = False) -> DataFrame:
     )
 
 
+def landed_lines(reader: DataFrameReader | DataStreamReader, path: str, whole_files: bool = False, packed: bool = False) -> DataFrame:
+    """Payloads under ``path`` with their origin, from a batch or a stream reader; packed files have no whole documents to read."""
+    if packed and whole_files:
+        raise ValueError("packed files hold a payload a line")
+    rows = _packed(reader, path) if packed else reader.schema(BRONZE_SCHEMA).text(path, wholetext=whole_files)
+    return with_origin(rows, whole_files)
+
+
 def _scan(spark: SparkSession, path: str, whole_files: bool, symbol: str | None = None) -> DataFrame:
     """Payload lines or files, of one symbol's folder only when one is named."""
     reader = spark.read.schema(BRONZE_SCHEMA).option("basePath", path)
     return reader.text(path if symbol is None else f"{path}/symbol={folder_name(symbol)}", wholetext=whole_files)
 
 
-def read_bronze(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
-    """All payloads: one per line, or one per file for documents printed over several lines."""
-    return with_origin(_scan(spark, path, whole_files), whole_files)
+def read_bronze(spark: SparkSession, path: str, whole_files: bool = False, packed: bool = False) -> DataFrame:
+    """All payloads: one per line, or one per file for documents printed over several lines; ``packed`` as ``write_packed`` lands them."""
+    return landed_lines(spark.read.option("basePath", path), path, whole_files, packed)
 
 
 FILE_SCHEMA = T.StructType(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from candlewick.plans.gold import Gold, check_layers, refresh_gold
 from candlewick.plans.load import Load, bronze_to_silver
-from candlewick.sources.bronze import BRONZE_SCHEMA, FILE_SCHEMA, landings, with_origin
+from candlewick.sources.bronze import FILE_SCHEMA, landed_lines, landings
 
 
 def pick_up(
@@ -22,13 +22,14 @@ def pick_up(
     files_per_batch: int | None = None,
     on_batch: Callable[[Load], None] | None = None,
     raise_on_reject: bool = False,
+    packed: bool = False,
 ) -> None:
-    """Load all files not seen under ``checkpoint`` yet, then stop.
+    """Load all files not seen under ``checkpoint`` yet, then stop; ``packed`` files are those of ``write_packed``.
 
     A batch that is delivered again is harmless, because the load ignores stored keys.  ``on_batch`` gets the whole load;
     its scratch tables are deleted after that.
     """
-    reader = spark.readStream.schema(BRONZE_SCHEMA)
+    reader = spark.readStream
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
@@ -39,7 +40,7 @@ def pick_up(
         result.release()
 
     query = (
-        with_origin(reader.text(path, wholetext=whole_files), whole_files)
+        landed_lines(reader, path, whole_files, packed)
         .writeStream.trigger(availableNow=True)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(load)

@@ -10,7 +10,7 @@ from candlewick.plans import SILVER_CONTRACTS, bronze_to_silver, build_gold, che
 from candlewick.plans.load import PayloadsRejected
 from candlewick.operators.checks import run_checks
 from candlewick.sources import append_audit, default_seed, latest_bronze, read_bronze, read_csv, read_seed, read_table
-from candlewick.sources.bronze import write_bronze
+from candlewick.sources.bronze import write_bronze, write_packed
 from candlewick.sources.scratch import materialise, scratch_path
 from candlewick.sources.tables import AUDIT, QUARANTINE, SILVER, append_silver, compact_silver, stored_years
 from candlewick.streaming import pick_up, refresh
@@ -279,6 +279,35 @@ def test_stream_picks_up_each_file_once(spark, schema, folder):
     assert set(silver(spark, schema)) == {("A", "2019-03-15"), ("A", "2019-03-22"), ("B", "2019-03-15")}
 
 
+def test_many_symbols_share_the_files_that_the_stream_picks_up(spark, schema, folder):
+    checkpoint, seen = scratch_path(spark, "pickup"), []
+
+    def run():
+        pick_up(spark, folder, schema, checkpoint, NOW, packed=True, on_batch=lambda load: seen.append(load.totals["rows_processed"]))
+
+    rows = [(f"S{i}", payload({"2019-03-15": GOOD})) for i in range(300)]
+    write_packed(frame(spark, *rows, ("BAD", "{bad\r\ntext"), ("600519", " "), (None, rows[0][1])), folder, NOW)
+    back = read_bronze(spark, folder, packed=True)
+    assert back.select("file_path").distinct().count() <= 8
+    texts = {r["symbol"]: r["payload"] for r in back.collect()}
+    assert len(texts) == 302 and texts["BAD"] == "{bad text" and texts[None] == rows[0][1]
+    run()
+    run()
+    assert seen == [300]
+    assert {(r["symbol"], r["reject_reason"]) for r in read_table(spark, schema, QUARANTINE).collect()} == {("BAD", "unreadable"), (None, "symbol")}
+    assert len(silver(spark, schema)) == 300
+
+
+def test_a_repeated_packed_landing_is_there_once(spark, folder):
+    one, two = payload({"2019-03-15": GOOD}), payload({"2019-03-22": GOOD})
+    write_packed(frame(spark, ("A", one)), folder, "2025-11-24 09:30:00")
+    for part in ([("A", one), (None, one)], [("A", one), ("B", one), ("B", two)], [("A", two), (None, two)]):
+        write_packed(frame(spark, *part), folder, NOW)
+    got = sorted((str(r["date"]), r["symbol"] or "", "03-22" in r["payload"]) for r in read_bronze(spark, folder, packed=True).collect())
+    new = "2025-12-01"
+    assert got == [("2025-11-24", "A", False), (new, "", True), (new, "A", True), (new, "B", False), (new, "B", True)]
+
+
 def test_refresh_builds_gold_in_the_catalog(spark, schema, folder):
     write_bronze(frame(spark, ("ibm", payload({"2019-03-15": GOOD})), ("ZZZ", payload({"2019-03-15": GOOD}))), folder, NOW)
     gold = refresh(spark, folder, schema, default_seed(spark), scratch_path(spark, "pickup"), NOW)
