@@ -43,6 +43,8 @@ MAX_BUCKET = 4096
 #: Wide fingerprints, for texts that are alike by five-word shingles: 64-bit words, similarity, chance to meet a pair at it.
 WORDS = 4
 WIDE = [f"f{i}" for i in range(WORDS)]
+#: Blocks of a word whose distances to the references are compared.
+WIDE_CUTS = 2
 #: What tells texts apart: the wide fingerprint and a digest of the set of shingles.
 MARKS = [*WIDE, "digest"]
 #: Documents whose shingles are compared in one block.
@@ -346,10 +348,12 @@ def _settled(table: pa.Table, distance: int, similarity: float) -> list[tuple[in
     node, block, lone = (table.column(c).to_numpy() for c in ("node", "block", "lone"))
     _, top = np.unique(table.column("label").to_numpy(), return_inverse=True)
     words = [table.column(c).to_numpy().view(np.uint64) for c in WIDE]
+    pivots = wide_distances(np.stack(words, axis=1), wide_blocks()).astype(np.int8)
     sets = [np.frombuffer(g.as_py(), dtype="<u8") for g in table.column("grams")]
     out = []
     for i in range(len(node)):
         later = i + 1 + np.flatnonzero((top[i + 1 :] != top[i]) & ((block[i + 1 :] != block[i]) | lone[i]))
+        later = later[least_distance(pivots[later], pivots[i]) <= distance]
         apart = sum(np.bitwise_count(w[later] ^ w[i]).astype(np.int32) for w in words)
         for j in later[apart <= distance]:
             few, many = sorted((len(sets[i]), len(sets[j])))
@@ -408,18 +412,51 @@ def sampled_bits(n_fingerprints: int, similarity: float) -> tuple[int, int]:
     return bits, math.ceil(math.log(1 - WIDE_RECALL) / math.log(1 - agree))
 
 
+def wide_distances(words: np.ndarray, masks: np.ndarray) -> np.ndarray:
+    """Distances to every reference within every block of the bits: wide fingerprints x blocks x references.
+
+    ``masks`` holds the bits of each block by word.  A word of a reference is one of ``references``, so that no two words of one are alike.
+    """
+    refs = np.stack([np.roll(references(), w) for w in range(WORDS)])
+    out = np.zeros((len(words), len(masks), REFERENCES), dtype=np.int16)
+    for w in range(WORDS):
+        apart = words[:, w, None] ^ refs[w][None, :]
+        for b in np.flatnonzero(masks[:, w]):
+            out[:, b] += np.bitwise_count(apart & masks[b, w])
+    return out
+
+
+def wide_blocks() -> np.ndarray:
+    """Masks of the blocks whose distances bound that of two wide fingerprints."""
+    masks = np.zeros((WORDS * WIDE_CUTS, WORDS), dtype=np.uint64)
+    for w in range(WORDS):
+        masks[w * WIDE_CUTS : (w + 1) * WIDE_CUTS, w] = block_masks(WIDE_CUTS)
+    return masks
+
+
+def least_distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A bound from below of the distances of fingerprints with these ``wide_distances``: in each block they differ by at least
+    the largest difference of a coordinate, and the blocks have no bit in common."""
+    return np.abs(a - b).max(axis=-1).sum(axis=-1, dtype=np.int32)
+
+
 def _sampled(rows: DataFrame, bits: int, n_keys: int) -> DataFrame:
-    """Entries (``key``, ``node``, the words): distances to one-bit references in samples of the bits, folded."""
+    """Entries (``key``, ``node``, the words): distances to all references in samples of the bits, folded.
+
+    Fingerprints that agree in a sample have all its distances in common.
+    """
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng = np.random.default_rng((REFERENCE_SEED, 0))
-        picks = [rng.choice(BITS * WORDS, size=bits, replace=False) for _ in range(n_keys)]
+        masks = np.zeros((n_keys, WORDS), dtype=np.uint64)
+        for mask in masks:
+            pick = rng.choice(BITS * WORDS, size=bits, replace=False)
+            np.bitwise_or.at(mask, pick // BITS, np.uint64(1) << (pick % BITS).astype(np.uint64))
         for batch in pieces(batches, 10_000):
             words = np.stack([batch.column(c).to_numpy() for c in WIDE], axis=1).view(np.uint64)
-            table = np.unpackbits(words.view(np.uint8).reshape(len(words), -1), axis=1, bitorder="little")
             old = batch.column("key").to_numpy().view(np.uint64)
-            for i, pick in enumerate(picks):
-                key = _fold(table[:, pick], old + np.uint64(i + 1))
+            for i in range(n_keys):
+                key = _fold(wide_distances(words, masks[i : i + 1])[:, 0], old + np.uint64(i + 1))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key), *[batch.column(c) for c in ("node", *WIDE)]], names=["key", "node", *WIDE]
                 )
@@ -462,6 +499,7 @@ def _alike(table: pa.Table, distance: int) -> tuple[np.ndarray, np.ndarray]:
         block, lone = table.column("block").to_numpy(), table.column("lone").to_numpy()
     key, node = table.column("key").to_numpy(), table.column("node").to_numpy()
     words = [table.column(c).to_numpy().view(np.uint64) for c in WIDE]
+    pivots = wide_distances(np.stack(words, axis=1), wide_blocks()).astype(np.int8)
     n = len(key)
     new = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     end = np.repeat(np.r_[new[1:], n], np.diff(np.r_[new, n]))
@@ -473,6 +511,8 @@ def _alike(table: pa.Table, distance: int) -> tuple[np.ndarray, np.ndarray]:
         at = rows[top[rows] != top[rows + step]]
         if dealt:
             at = at[(block[at] != block[at + step]) | lone[at]]
+        # The pivots refuse most, the distance itself decides on the rest.
+        at = at[least_distance(pivots[at], pivots[at + step]) <= distance]
         apart = sum(np.bitwise_count(w[at] ^ w[at + step]).astype(np.int32) for w in words)
         at = at[apart <= distance]
         while len(at):
@@ -570,7 +610,9 @@ def drop_near_duplicates(docs: DataFrame, text: str = "text", similarity: float
     """One document of each component, one with its smallest doc_id, with its own columns.
 
     Components come from fingerprints at up to ``MAX_DISTANCE`` bits, or, with a Jaccard similarity of five-word shingles,
-    from exact comparison of the shingles of texts that wide fingerprints propose.  Rows that repeat an id are told apart by their
+    from exact comparison of the shingles of texts that wide fingerprints propose: those that have the distances to all
+    references in a sample of the bits in common, and whose distances in the blocks of all bits bound theirs by no more than
+    the allowed bits.  Rows that repeat an id are told apart by their
     fingerprints; of rows with equal id and component, and of the rows of a component that has no id at all, one stays.
     """
     if similarity is None:

@@ -561,6 +561,41 @@ def test_alike_pairs_are_joined_as_a_forest():
         assert all(root(i) == root(j) for j in near)
 
 
+def test_pivots_bound_the_distance_and_refuse_most_pairs():
+    rng = np.random.default_rng(15)
+    words = rng.integers(0, 2**64, (3000, simhash.WORDS), dtype=np.uint64)
+    near = words.copy()
+    for row in near:
+        for bit in rng.choice(256, 50, replace=False):
+            row[bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+    pivots, close, allowed = *(simhash.wide_distances(w, simhash.wide_blocks()) for w in (words, near)), simhash.differing_bits(0.8)
+    assert pivots.shape == (3000, simhash.WORDS * simhash.WIDE_CUTS, simhash.REFERENCES)
+    assert (simhash.least_distance(pivots, close) <= 50).all()
+    others = simhash.least_distance(pivots[1:], pivots[:-1])
+    assert (others <= np.bitwise_count(words[1:] ^ words[:-1]).sum(axis=1)).all()
+    assert (others <= allowed).mean() < 0.1
+
+
+def test_sampled_keys_are_distances_to_the_references(spark):
+    rng = np.random.default_rng(16)
+    words = rng.integers(0, 2**63, (50, simhash.WORDS), dtype=np.uint64)
+    rows = [(0, i, *map(int, w)) for i, w in enumerate(words.view(np.int64))]
+    nodes = spark.createDataFrame(rows, f"key bigint, node bigint, {', '.join(f'{c} bigint' for c in simhash.WIDE)}")
+    got = {}
+    for r in simhash._sampled(nodes, 9, 3).collect():
+        got.setdefault(r["node"], []).append(r["key"])
+    picks, draw = [], np.random.default_rng((simhash.REFERENCE_SEED, 0))
+    for _ in range(3):
+        picks.append(draw.choice(256, size=9, replace=False))
+    bits = np.unpackbits(words.view(np.uint8).reshape(50, -1), axis=1, bitorder="little")
+    refs = np.stack([np.roll(simhash.references(), w) for w in range(simhash.WORDS)], axis=1)
+    marks = np.unpackbits(np.ascontiguousarray(refs).view(np.uint8).reshape(simhash.REFERENCES, -1), axis=1, bitorder="little")
+    for i, pick in enumerate(picks):
+        apart = (bits[:, None, pick] != marks[None, :, pick]).sum(axis=2)
+        keys = simhash._fold(apart, np.full(50, i + 1, dtype=np.uint64))
+        assert {n: k[i] for n, k in got.items()} == dict(enumerate(keys.tolist()))
+
+
 def test_similar_texts_and_clean_ones(spark, odd):
     rng = random.Random(10)
     base = [[f"w{rng.randrange(4000)}" for _ in range(250)] for _ in range(60)]
