@@ -473,6 +473,45 @@ def test_passages_of_frequent_blocks_are_found(spark, block):
         assert min(r["end"] - r["start"], r["other_end"] - r["other_start"]) >= 50 and r["identity"] >= 0.8
 
 
+def test_exact_passages_are_found_where_nearly_all_of_them_is_frequent(spark):
+    rng = random.Random(21)
+
+    def prose(n):
+        return [f"{rng.choice('klmnp')}{rng.randrange(20_000)}" for _ in range(n)]
+
+    heads, tails = [prose(45) for _ in range(12)], [prose(7) for _ in range(12)]
+    texts = [prose(12) + rng.choice(heads) + prose(20) + rng.choice(tails) + prose(10) for _ in range(200)]
+    for h, t in rng.sample([(h, t) for h in heads for t in tails], 100):
+        texts += [prose(40) + h + t + prose(25), prose(15) + h + t]
+    rng.shuffle(texts)
+    rows = passage_dedup.find(documents(spark, [" ".join(t) for t in texts])).collect()
+    assert len(shared_runs(texts)) == 200
+    spans = {}
+    for r in rows:
+        spans.setdefault(r["doc_id"], []).append((r["start"], r["end"]))
+    first = {}
+    for i, words in enumerate(texts):
+        for at in range(len(words) - 51):
+            run = tuple(words[at : at + 52])
+            assert run not in first or any(s <= at and at + 52 <= e for s, e in spans.get(i, [])), (i, first[run])
+            first.setdefault(run, i)
+
+
+def test_a_passage_is_not_lost_in_a_chain_that_goes_on_too_far(spark):
+    rng = random.Random(22)
+
+    def prose(n):
+        return [f"{rng.choice('klmnp')}{rng.randrange(20_000)}" for _ in range(n)]
+
+    passage, other = prose(55), prose(24)
+    texts = [prose(30) + passage + prose(37) + other + prose(30) for _ in range(2)]
+    texts += [prose(20) + other + prose(37) + passage + prose(20) for _ in range(2)]
+    rows = passage_dedup.find(documents(spark, [" ".join(t) for t in texts])).collect()
+    at = [30, 30, 81, 81]
+    assert {r["doc_id"] for r in rows} == {1, 2, 3}
+    assert all((r["start"], r["end"], r["identity"]) == (at[r["doc_id"]], at[r["doc_id"]] + 55, 1) for r in rows)
+
+
 def test_passages_that_a_document_repeats(spark):
     rng = random.Random(11)
 
