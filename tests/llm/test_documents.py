@@ -512,6 +512,24 @@ def test_a_passage_is_not_lost_in_a_chain_that_goes_on_too_far(spark):
     assert all((r["start"], r["end"], r["identity"]) == (at[r["doc_id"]], at[r["doc_id"]] + 55, 1) for r in rows)
 
 
+def test_steps_of_the_passages_leave_no_shuffle_and_no_sketch(spark):
+    rng = random.Random(23)
+
+    def files():
+        found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+    texts = [" ".join(f"w{rng.randrange(60_000)}" for _ in range(400)) for _ in range(20)]
+    docs = documents(spark, [*texts, *texts])
+    sketches = passage_dedup.sketch(docs)
+    assert sketches.columns == ["node", "key", "letters", "short", "long"]
+    before = files()
+    found = passage_dedup.find(docs)
+    assert not files() - before
+    assert found.count() == 20
+    assert not [f for f in found.inputFiles() if "sketches" in f]
+
+
 def test_passages_that_a_document_repeats(spark):
     rng = random.Random(11)
 
